@@ -3,8 +3,10 @@
 Each SQL text is used verbatim by both engines: Spark binds the ``{table}``
 placeholders to DataFrames read from ``sf_dir`` (``spark.sql(text, **dfs)``),
 the DuckDB oracle binds them to its pre-registered views. The texts stay in
-the common subset of Spark SQL and DuckDB (no ``//``, decimal literals so
-arithmetic is exact before the final cast to double).
+the common subset of Spark SQL and DuckDB (no ``//``; coordinates are built
+by multiplying with decimal literals, never dividing, because DuckDB divides
+decimals in double while Spark divides them exactly, and an ulp of
+difference moves points across polygon edges).
 """
 
 from __future__ import annotations
@@ -42,9 +44,9 @@ SELECT l_orderkey*10+l_linenumber AS ListingKey,
   concat(CAST(90000+c_custkey%400 AS varchar(10)),'.0') AS PostalCode,
   r_name AS MLSAreaMajor,
   CAST(CASE WHEN s_suppkey%9=0 THEN NULL WHEN s_suppkey%41=2 THEN 0.0
-       ELSE 32.3+(l_partkey%980)/100.0 END AS double) AS Latitude,
+       ELSE 32.3+(l_partkey%980)*0.01 END AS double) AS Latitude,
   CAST(CASE WHEN s_suppkey%23=3 THEN 118.0
-       ELSE -124.6+(l_orderkey%1060)/100.0 END AS double) AS Longitude,
+       ELSE -124.6+(l_orderkey%1060)*0.01 END AS double) AS Longitude,
   s_name AS ListOfficeName,
   CASE WHEN l_suppkey%10=0 THEN ' nonmember  mrml' ELSE s_name END AS BuyerOfficeName
 FROM {lineitem} JOIN {orders} ON l_orderkey=o_orderkey JOIN {customer} ON o_custkey=c_custkey
