@@ -52,13 +52,11 @@ def iqr_fences(df: DataFrame, fields: Sequence[str] = C.IQR_FIELDS, k: float = C
     return out
 
 
-def _fence_row(fences: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Pivot the per-field fences to one row: ``<field>__lo``, ``<field>__hi``."""
-    aggs = []
-    for f in fields:
-        aggs += [F.max(F.when(F.col("field") == f, F.col("lo"))).alias(f"{f}__lo"),
-                 F.max(F.when(F.col("field") == f, F.col("hi"))).alias(f"{f}__hi")]
-    return fences.agg(*aggs)
+def fence_values(fences: DataFrame) -> dict[str, tuple[float, float]]:
+    """The fence table has one row per field, so it is read back once and
+    the bounds enter the flagging plan as literals: no re-evaluation of the
+    quantile passes by every consumer, no join on the fact side."""
+    return {r["field"]: (r["lo"], r["hi"]) for r in fences.select("field", "lo", "hi").collect()}
 
 
 def iqr_flags(df: DataFrame, fields: Sequence[str] = C.IQR_FIELDS,
@@ -71,13 +69,16 @@ def iqr_flags(df: DataFrame, fields: Sequence[str] = C.IQR_FIELDS,
             raise ValueError(f"flag name collision: {flag_of[f]}")
     if fences is None:
         fences = iqr_fences(df, fields, k, probs=[], accuracy=accuracy, with_counts=False)
-    row = F.broadcast(_fence_row(fences, fields))
-    j = df.crossJoin(row)
+    bounds = fence_values(fences)
     flags = {}
     for f in fields:
         v = F.col(f).cast("double")
-        flags[flag_of[f]] = F.coalesce((v < F.col(f"{f}__lo")) | (v > F.col(f"{f}__hi")), F.lit(False))
-    out = j.withColumns({n: c.cast("tinyint") for n, c in flags.items()})
+        lo, hi = bounds.get(f, (None, None))
+        if lo is None:  # no non-null value at all: nothing can flag
+            flags[flag_of[f]] = F.lit(False)
+        else:
+            flags[flag_of[f]] = F.coalesce((v < F.lit(float(lo))) | (v > F.lit(float(hi))), F.lit(False))
+    out = df.withColumns({n: c.cast("tinyint") for n, c in flags.items()})
     anyf = F.greatest(*[F.col(flag_of[f]) for f in fields]) if len(fields) > 1 else F.col(flag_of[fields[0]])
     out = out.withColumn("any_iqr_outlier_flag", anyf.cast("tinyint"))
     return out.select(*df.columns, *[flag_of[f] for f in fields], "any_iqr_outlier_flag")

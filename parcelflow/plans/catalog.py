@@ -433,7 +433,7 @@ for _name, _by in [("segment_subtype", ["PropertySubType"]), ("segment_county",
                    ("segment_buyer_office", ["BuyerOfficeName"]),
                    ("segment_county_area", ["CountyOrParish", "MLSAreaMajor"])]:
     reg(_name, _segment_sql(_by))(
-        (lambda by: lambda spark, sf: metrics.segment(P.sold(spark, sf).enriched, by, digits=D,
+        (lambda by: lambda spark, sf: metrics.segment(P.sold(spark, sf).enriched_stage, by, digits=D,
                                                       accuracy=ACC))(_by))
 
 
@@ -443,14 +443,14 @@ SELECT count(*) AS n, {_pct('count(*) FILTER (WHERE price_ratio > 1)', 'count(*)
   {_pct('count(*) FILTER (WHERE price_ratio < 1)', 'count(*)')} AS below_pct,
   round(quantile_cont(price_ratio, 0.5), 6) AS median_ratio FROM districted WHERE price_ratio IS NOT NULL""")
 def q_ask_split(spark, sf):
-    return rnd(metrics.ask_split(P.sold(spark, sf).enriched, accuracy=ACC), "median_ratio")
+    return rnd(metrics.ask_split(P.sold(spark, sf).enriched_stage, accuracy=ACC), "median_ratio")
 
 
 @reg("median_durations", S + f"""
 SELECT {R(_q('listing_to_contract_days', 0.5))} AS median_listing_to_contract,
        {R(_q('contract_to_close_days', 0.5))} AS median_contract_to_close FROM districted""")
 def q_median_durations(spark, sf):
-    return rnd(metrics.median_durations(P.sold(spark, sf).enriched, accuracy=ACC),
+    return rnd(metrics.median_durations(P.sold(spark, sf).enriched_stage, accuracy=ACC),
                "median_listing_to_contract", "median_contract_to_close")
 
 
@@ -460,7 +460,7 @@ SELECT CountyOrParish, round(quantile_cont(price_per_sqft, 0.5), 6) AS median_pp
 WHERE CountyOrParish IS NOT NULL GROUP BY 1
 HAVING count(price_per_sqft) + count(price_ratio) > 0""")
 def q_county_ppsf_ratio(spark, sf):
-    return rnd(metrics.county_ppsf_ratio(P.sold(spark, sf).enriched, accuracy=ACC), "median_ppsf", "median_price_ratio")
+    return rnd(metrics.county_ppsf_ratio(P.sold(spark, sf).enriched_stage, accuracy=ACC), "median_ppsf", "median_price_ratio")
 
 
 # ---------------------------------------------------------------- phase 6
@@ -548,7 +548,7 @@ def _fences_sql(fields, probs, src, p=""):
 
 @reg("iqr_fences", S + ", " + _fences_sql(C.IQR_FIELDS, C.PERCENTILES, "districted") + "\nSELECT * FROM fall")
 def q_iqr_fences(spark, sf):
-    return rnd(outliers.iqr_fences(P.sold(spark, sf).enriched, accuracy=ACC),
+    return rnd(outliers.iqr_fences(P.sold(spark, sf).enriched_stage, accuracy=ACC),
                "q1", "q3", "iqr", "lo", "hi", *[f"p{int(round(p * 100))}" for p in C.PERCENTILES])
 
 
@@ -576,7 +576,7 @@ def q_iqr_share(spark, sf):
                                                "districted") + """
 SELECT field, p50 AS median, p95, p99, lo, hi, flagged AS would_flag, flagged_pct_of_rows AS would_flag_pct FROM fall""")
 def q_iqr_diagnostics(spark, sf):
-    return rnd(outliers.iqr_diagnostics(P.sold(spark, sf).enriched, accuracy=ACC),
+    return rnd(outliers.iqr_diagnostics(P.sold(spark, sf).enriched_stage, accuracy=ACC),
                "median", "p95", "p99", "lo", "hi")
 
 
@@ -628,7 +628,7 @@ def q_status_counts(spark, sf):
 SELECT 'sold' AS dataset, field, q1, q3, lo, hi, below, above, flagged_pct_of_rows FROM fall
 UNION ALL SELECT 'listings' AS dataset, field, q1, q3, lo, hi, below, above, flagged_pct_of_rows FROM l_fall""")
 def q_fence_rates_both(spark, sf):
-    return rnd(outliers.fence_rates_both(P.sold(spark, sf).enriched, P.listings(spark, sf).enriched, accuracy=ACC),
+    return rnd(outliers.fence_rates_both(P.sold(spark, sf).enriched_stage, P.listings(spark, sf).enriched_stage, accuracy=ACC),
                "q1", "q3", "lo", "hi")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from parcelflow import config as C
 from parcelflow.operators import metrics, outliers, quality, rates, shape, spatial
 from parcelflow.plans import standin
+from parcelflow.session import cut_lineage
 
 # Registered queries pin the run-date-dependent bound (G15) so results do not
 # drift with the calendar.
@@ -90,9 +91,16 @@ class Stages:
     def enriched_counted(self) -> DataFrame:
         return spatial.district_join(self.metrics, self.polygons, self.params, keep_match_count=True)
 
+    @cached_property
+    def enriched_stage(self) -> DataFrame:
+        """The enriched table cut from its lineage (reliable checkpoint in the
+        shared checkpoint folder): multi-pass consumers (fences, medians) read
+        it instead of replaying scan, joins and the spatial test per pass."""
+        return cut_lineage(self.enriched)
+
     @cached_property
     def iqr(self) -> DataFrame:
-        return outliers.iqr_flags(self.enriched, accuracy=self.params.quantile_accuracy)
+        return outliers.iqr_flags(self.enriched_stage, accuracy=self.params.quantile_accuracy)
 
 
 def sold(spark: SparkSession, sf_dir: str) -> Stages:

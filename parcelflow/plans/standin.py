@@ -84,6 +84,8 @@ FROM {nation} JOIN (VALUES
 """
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+# fact tables: spread over the cluster's cores when a scan yields too few splits
+FACT_TABLES = {"lineitem", "orders"}
 
 
 def tables_of(sql: str) -> list[str]:
@@ -92,10 +94,23 @@ def tables_of(sql: str) -> list[str]:
 
 def load(spark: SparkSession, sql: str, sf_dir: str) -> DataFrame:
     """Run a stand-in text on Spark over the parquet tables in ``sf_dir``."""
-    dfs = {t: spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")) for t in tables_of(sql)}
+    dfs = {}
+    for t in tables_of(sql):
+        df = spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet"))
+        dfs[t] = ensure_parallelism(df) if t in FACT_TABLES else df
     return spark.sql(sql, **dfs)
 
 
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the session has
+    cores (a single-row-group file is read by one task). On a many-file
+    input the scan already has enough splits and nothing is added."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def for_duckdb(sql: str) -> str:
     """The same text with placeholders bound to the driver's DuckDB views."""
     return sql.format(**{t: t for t in tables_of(sql)})

@@ -1,0 +1,48 @@
+"""Incremental ingest of newly landed monthly files (the Structured Streaming
+form of S6: the data grows by whole monthly files).
+
+A file-source stream picks up only files it has not seen (its checkpoint
+records them), so re-running after a new month lands processes that month
+alone; each micro-batch is typed, flagged and written with dynamic
+partition overwrite keyed by ``yyyymm``. ``availableNow`` drains what has
+landed and stops, which suits a scheduled monthly job; the checkpoint makes
+the run restartable after a lost executor or driver.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from parcelflow import config as C
+from parcelflow.operators import quality
+from parcelflow.sources.sinks import write_monthly
+
+
+def monthly_stream(spark: SparkSession, landing_dir: str, prefix: str, columns: Sequence[str]) -> DataFrame:
+    """Streaming DataFrame over ``CRMLS<prefix><YYYYMM>.csv`` files, all
+    columns as string plus the ``yyyymm`` taken from the file name."""
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    pattern = C.MONTH_FILE_PATTERN.format(prefix=prefix)
+    raw = (spark.readStream.schema(schema).option("header", True).option("multiLine", True)
+           .option("escape", '"').option("pathGlobFilter", f"CRMLS{prefix}*.csv").csv(landing_dir))
+    name = F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1)
+    return raw.withColumn("yyyymm", F.regexp_extract(name, pattern, 1)).where(F.col("yyyymm") != "")
+
+
+def ingest_monthly(spark: SparkSession, landing_dir: str, out_dir: str, checkpoint_dir: str,
+                   prefix: str = "Sold", columns: Sequence[str] = C.KEEP_COLUMNS,
+                   params: C.Params = C.DEFAULT) -> StreamingQuery:
+    """Type and flag each new monthly file and write it under ``yyyymm``."""
+    stream = monthly_stream(spark, landing_dir, prefix, columns)
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        flagged = quality.add_flags(quality.type_convert(df), params)
+        write_monthly(flagged, out_dir, "yyyymm")
+
+    return (stream.writeStream.foreachBatch(batch)
+            .option("checkpointLocation", checkpoint_dir)
+            .trigger(availableNow=True).start())
