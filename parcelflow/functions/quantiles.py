@@ -14,6 +14,11 @@ work is split in two passes, both partial-aggregated on the map side:
    (about ``8 n / accuracy`` distinct values) reaches a window, which then
    reads off the values at ranks ``floor(p (n-1))`` and ``ceil(p (n-1))``.
 
+The per-group statistics are cut from their lineage once (reliable
+checkpoint; one row per group and field) and counted, so the bracket table
+is broadcast only when its row count is known to be small; otherwise it is
+joined on the group key and a hot group is left to AQE's skew-join split.
+
 Small groups (``n <= small_n``) use ``[min, max]`` as the bracket, which makes
 them exact without relying on the sketch. The interpolation is
 ``lo + (hi - lo) * frac`` with ``pos = (n - 1) * p``, the same linear method
@@ -28,6 +33,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelflow.session import cut_lineage
+
 _KEYS = ("field", "p")
 
 
@@ -53,6 +60,7 @@ def exact_percentiles(
     by: Sequence[str] = (),
     accuracy: int = 10_000,
     small_n: int | None = None,
+    broadcast_rows: int = 200_000,
 ) -> DataFrame:
     """Exact quantiles per group, field and probability.
 
@@ -78,6 +86,8 @@ def exact_percentiles(
         F.max("v").alias("vmax"),
         F.percentile_approx("v", probes, accuracy).alias("apx"),
     )
+    stats = cut_lineage(stats)
+    small_table = stats.count() * len(probs) <= broadcast_rows
     targets = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(i).alias("i"))
                         for i, p in enumerate(probs)])
     small = F.col("n") <= F.lit(small_n)
@@ -97,8 +107,9 @@ def exact_percentiles(
     )
 
     keys = [*by, *_KEYS]
+    br = brackets.select(*by, "field", "p", "lo", "hi")
     counted = (
-        long.join(brackets.select(*by, "field", "p", "lo", "hi"), on=[*by, "field"])
+        long.join(F.broadcast(br) if small_table else br, on=[*by, "field"])
         .where(F.col("v") <= F.col("hi"))
         .groupBy(*keys, F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("bv"))
         .agg(F.count(F.lit(1)).alias("c"))

@@ -73,8 +73,8 @@ def test_fixture_rules(spark, tmpdir_path):
 
 def test_on_edge_excluded_and_brute_force(spark):
     verts = spark.createDataFrame(
-        [("A", "Unified", 0, 0, i, x, y) for i, (x, y) in enumerate([(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)])]
-        + [("B", "Unified", 0, 0, i, x, y) for i, (x, y) in enumerate([(1, 1), (3, 1), (2, 3), (1, 1)])],
+        [("A", "Unified", 0, 0, i, float(x), float(y)) for i, (x, y) in enumerate([(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)])]
+        + [("B", "Unified", 0, 0, i, float(x), float(y)) for i, (x, y) in enumerate([(1, 1), (3, 1), (2, 3), (1, 1)])],
         "DistrictName string, DistrictType string, part int, ring int, idx int, x double, y double")
     polys = spatial.unified(spatial.polygons_from_vertices(verts))
     rng = np.random.default_rng(3)
