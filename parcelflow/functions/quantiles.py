@@ -69,7 +69,7 @@ def exact_percentiles(
     dropped, as pandas ``groupby`` drops them.
     """
     by = list(by)
-    probs = [float(p) for p in probs]
+    probs = sorted({float(p) for p in probs})
     small_n = 4 * accuracy if small_n is None else small_n
     margin = 4.0 / accuracy
     long = _long_values(df, fields, by)
@@ -88,36 +88,44 @@ def exact_percentiles(
     )
     stats = cut_lineage(stats)
     small_table = stats.count() * len(probs) <= broadcast_rows
-    targets = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(i).alias("i"))
-                        for i, p in enumerate(probs)])
     small = F.col("n") <= F.lit(small_n)
+    # Lower bounds are made non-decreasing in p (a prefix max keeps each one
+    # a valid lower bracket, since a lower probability's bound ranks lower).
+    los = [F.when(small, F.col("vmin")).otherwise(F.element_at("apx", 2 * i + 1)) for i in range(len(probs))]
+    los = [los[0] if i == 0 else F.greatest(*los[: i + 1]) for i in range(len(probs))]
+    bs = F.array(*[
+        F.struct(F.lit(p).alias("p"), F.lit(i).alias("i"), los[i].alias("lo"),
+                 F.when(small, F.col("vmax")).otherwise(F.element_at("apx", 2 * i + 2)).alias("hi"))
+        for i, p in enumerate(probs)])
+    wide = stats.select(*by, "field", "n", bs.alias("bs"))
     pos = (F.col("n") - 1).cast("double") * F.col("p")
-    brackets = (
-        stats.select(*by, "field", "n", "vmin", "vmax", "apx", F.inline(targets))
-        .select(
-            *by, "field", "p", "n",
-            F.when(small, F.col("vmin"))
-             .otherwise(F.element_at("apx", F.col("i") * 2 + 1)).alias("lo"),
-            F.when(small, F.col("vmax"))
-             .otherwise(F.element_at("apx", F.col("i") * 2 + 2)).alias("hi"),
-            pos.alias("pos"),
-        )
-        .withColumn("k_lo", F.floor("pos"))
-        .withColumn("k_hi", F.ceil("pos"))
-    )
+    brackets = (wide.select(*by, "field", "n", F.inline("bs"))
+                .withColumn("pos", pos)
+                .withColumn("k_lo", F.floor("pos"))
+                .withColumn("k_hi", F.ceil("pos")))
 
     keys = [*by, *_KEYS]
-    br = brackets.select(*by, "field", "p", "lo", "hi")
-    counted = (
-        long.join(F.broadcast(br) if small_table else br, on=[*by, "field"])
-        .where(F.col("v") <= F.col("hi"))
-        .groupBy(*keys, F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("bv"))
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    below = counted.where(F.col("bv").isNull()).select(*keys, F.col("c").alias("below"))
+    side = wide.select(*by, "field", "bs")
+    j = long.join(F.broadcast(side) if small_table else side, on=[*by, "field"])
+    # One pass. Each value emits (a) its bucket: how many lower bounds are <=
+    # it (p = -1), so "values below bracket i" is a prefix sum over at most
+    # P + 1 buckets, and (b) one entry per bracket it falls inside. Partial
+    # aggregation collapses the bucket entries on the map side.
+    v = F.col("v")
+    bucket = F.struct(F.lit(-1.0).alias("p"), F.size(F.filter("bs", lambda b: b["lo"] <= v)).cast("double").alias("bv"))
+    ins = F.transform(F.filter("bs", lambda b: (v >= b["lo"]) & (v <= b["hi"])),
+                      lambda b: F.struct(b["p"].alias("p"), v.alias("bv")))
+    agg = (j.select(*by, "field", F.inline(F.concat(F.array(bucket), ins)))
+           .groupBy(*keys, "bv").agg(F.count(F.lit(1)).alias("c")))
+    idx = F.array(*[F.struct(F.lit(p).alias("pp"), F.lit(i).alias("i")) for i, p in enumerate(probs)])
+    below = (agg.where(F.col("p") == -1.0)
+             .select(*by, "field", F.col("bv").cast("int").alias("k"), "c", F.inline(idx))
+             .where(F.col("k") <= F.col("i"))
+             .groupBy(*by, "field", F.col("pp").alias("p")).agg(F.sum("c").alias("below")))
+    counted = agg.where(F.col("p") != -1.0)
     w = Window.partitionBy(*keys).orderBy("bv").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (
-        counted.where(F.col("bv").isNotNull())
+        counted
         .withColumn("cum", F.sum("c").over(w))
         .join(below, on=keys, how="left")
         .join(brackets.select(*keys, "k_lo", "k_hi"), on=keys)

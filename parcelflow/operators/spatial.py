@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import config as C
 from parcelflow.functions.scalars import web_mercator_to_lonlat
+from parcelflow.session import cut_lineage
 
 EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
 
@@ -108,7 +109,9 @@ def district_join(df: DataFrame, polys: DataFrame, params: C.Params = C.DEFAULT,
     polygon containing each trusted point, and ``district_match_status``.
     Row count and order of columns are preserved; two columns are added."""
     cell = params.cell_deg
-    cells = cell_index(polygon_edges(polys), cell)
+    # the cell table is bounded by the polygons, not the points: cut it once so
+    # the size check and the join read the same materialized copy
+    cells = cut_lineage(cell_index(polygon_edges(polys), cell))
     bad_geo = F.greatest(*[F.col(f) for f in C.BAD_GEO_FLAGS]) == 1
     lon, lat = F.col("Longitude"), F.col("Latitude")
     pts = (df.withColumn("_cx", F.when(~bad_geo, F.floor(lon / cell)))

@@ -92,13 +92,26 @@ def tables_of(sql: str) -> list[str]:
     return sorted(set(re.findall(r"\{(\w+)\}", sql)))
 
 
+# Table handles per session and folder: resolving a parquet table (listing,
+# footer, schema) is driver work that need not be repeated per query. Only the
+# lazy handle is kept; every query still reads the data when it runs.
+_HANDLES: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    key = (id(spark), os.path.abspath(sf_dir), name)
+    df = _HANDLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+        if name in FACT_TABLES:
+            df = ensure_parallelism(df)
+        _HANDLES[key] = df
+    return df
+
+
 def load(spark: SparkSession, sql: str, sf_dir: str) -> DataFrame:
     """Run a stand-in text on Spark over the parquet tables in ``sf_dir``."""
-    dfs = {}
-    for t in tables_of(sql):
-        df = spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet"))
-        dfs[t] = ensure_parallelism(df) if t in FACT_TABLES else df
-    return spark.sql(sql, **dfs)
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in tables_of(sql)})
 
 
 def ensure_parallelism(df: DataFrame) -> DataFrame:
