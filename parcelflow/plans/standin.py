@@ -118,10 +118,12 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer splits than the session has
     cores (a single-row-group file is read by one task). On a many-file
     input the scan already has enough splits and nothing is added."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def for_duckdb(sql: str) -> str:

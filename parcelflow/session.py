@@ -37,7 +37,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's setting always wins; a scratch folder is set only when the
     session has none (local tests)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return d or ""
     if not d:
         d = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="parcelflow-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
