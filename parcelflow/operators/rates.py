@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.functions.scalars import month_key
+from pyspark.sql import types as T
+
+from parcelflow.functions.scalars import lenient_date, month_key
 
 # The monthly series has one row per calendar month since 1971 (~700 rows);
 # its size bound is structural, so it is always broadcast to the fact side.
@@ -41,7 +43,10 @@ def rate_join(df: DataFrame, monthly: DataFrame, date_col: str) -> DataFrame:
 
     The month table is bounded by the calendar (``MAX_MONTHS``), so it is
     broadcast; the fact side is never shuffled."""
-    keyed = df.withColumn("year_month", month_key(date_col))
+    d = F.col(date_col)
+    if not isinstance(df.schema[date_col].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        d = lenient_date(d)  # raw text dates: unparseable -> no month, no rate
+    keyed = df.withColumn("year_month", month_key(d))
     return keyed.join(F.broadcast(monthly.select("year_month", "rate_30yr_fixed")),
                       "year_month", "left").select(*keyed.columns, "rate_30yr_fixed")
 
