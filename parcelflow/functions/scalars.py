@@ -79,13 +79,15 @@ def contains_ci(x: ColLike, pattern: str) -> Column:
 
 def yyyymm_valid(x: ColLike) -> Column:
     """exactly six digits forming a real month."""
-    v = _c(x)
-    return null_false(v.rlike(r"^\d{6}$") & yyyymm_start(v).isNotNull())
+    return null_false(yyyymm_start(x).isNotNull())
 
 
 def yyyymm_start(x: ColLike) -> Column:
-    """first day of the month named by yyyyMM (null when invalid)."""
-    return F.try_to_timestamp(F.concat(_c(x), F.lit("01")), F.lit("yyyyMMdd")).cast("date")
+    """first day of the month named by yyyyMM (null unless six digits
+    forming a real month)."""
+    v = _c(x)
+    return F.when(v.rlike(r"^\d{6}$"),
+                  F.try_to_timestamp(F.concat(v, F.lit("01")), F.lit("yyyyMMdd")).cast("date"))
 
 
 def yyyymm_end(x: ColLike) -> Column:

@@ -127,3 +127,10 @@ def schema_report(df: DataFrame) -> DataFrame:
 def shape(df: DataFrame) -> DataFrame:
     """A5: rows x columns."""
     return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
+
+
+def preview(df: DataFrame, cols: Sequence[str], n: int = 5) -> DataFrame:
+    """P35 + T5: the first ``n`` rows of a projection. Ordered by the
+    projected columns so the sample is the same on every run; the limit is
+    the feature here (a stage preview), never a way to shrink work."""
+    return df.select(*cols).orderBy(*[F.asc_nulls_first(c) for c in cols]).limit(n)

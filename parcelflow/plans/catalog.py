@@ -767,6 +767,35 @@ def q_office_key(spark, sf):
             .distinct())
 
 
+_PREVIEW = ["ClosePrice", "LivingArea", "DaysOnMarket", "YrMo", "CountyOrParish"]
+
+
+@reg("preview", S + f"""
+SELECT {", ".join(_PREVIEW)} FROM iqr ORDER BY {", ".join(c + " ASC NULLS FIRST" for c in _PREVIEW)} LIMIT 5""")
+def q_preview(spark, sf):
+    return shape.preview(P.sold(spark, sf).iqr, _PREVIEW, 5)
+
+
+@reg("month_bounds", S + r"""
+, m AS (SELECT DISTINCT strftime(CloseDate, '%Y%m') AS t FROM raw WHERE CloseDate IS NOT NULL
+        UNION SELECT DISTINCT substr(strftime(CloseDate, '%Y%m'), 1, 4) || '13' FROM raw WHERE CloseDate IS NOT NULL
+        UNION SELECT DISTINCT substr(strftime(CloseDate, '%Y%m'), 1, 5) FROM raw WHERE CloseDate IS NOT NULL)
+SELECT t AS yyyymm,
+  coalesce(regexp_full_match(t, '\d{6}') AND try_strptime(t || '01', '%Y%m%d') IS NOT NULL, false) AS valid,
+  CASE WHEN regexp_full_match(t, '\d{6}') THEN CAST(try_strptime(t || '01', '%Y%m%d') AS DATE) END AS start,
+  CASE WHEN regexp_full_match(t, '\d{6}') THEN CAST(try_strptime(t || '01', '%Y%m%d') + INTERVAL 1 MONTH AS DATE) END
+    AS "end" FROM m""")
+def q_month_bounds(spark, sf):
+    from parcelflow.functions.scalars import yyyymm_end, yyyymm_start, yyyymm_valid
+    raw = P.sold(spark, sf).raw.where(F.col("CloseDate").isNotNull())
+    m = F.date_format("CloseDate", "yyyyMM")
+    texts = (raw.select(m.alias("t"))
+             .union(raw.select(F.concat(F.substring(m, 1, 4), F.lit("13")).alias("t")))
+             .union(raw.select(F.substring(m, 1, 5).alias("t"))).distinct())
+    return texts.select(F.col("t").alias("yyyymm"), yyyymm_valid("t").alias("valid"),
+                        yyyymm_start("t").alias("start"), yyyymm_end("t").alias("end"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
