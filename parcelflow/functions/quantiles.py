@@ -86,8 +86,13 @@ def exact_percentiles(
         F.max("v").alias("vmax"),
         F.percentile_approx("v", probes, accuracy).alias("apx"),
     )
-    stats = cut_lineage(stats)
-    small_table = stats.count() * len(probs) <= broadcast_rows
+    if by:
+        # group count unknown: cut the (one row per group) stats and count them
+        stats = cut_lineage(stats)
+        small_table = stats.count() * len(probs) <= broadcast_rows
+    else:
+        # no group key: one row per field, a bound known without running anything
+        small_table = True
     small = F.col("n") <= F.lit(small_n)
     # Lower bounds are made non-decreasing in p (a prefix max keeps each one
     # a valid lower bracket, since a lower probability's bound ranks lower).

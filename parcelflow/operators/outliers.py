@@ -24,7 +24,7 @@ def _pname(p: float) -> str:
 
 def iqr_fences(df: DataFrame, fields: Sequence[str] = C.IQR_FIELDS, k: float = C.IQR_K,
                probs: Sequence[float] = C.PERCENTILES, accuracy: int = 10_000,
-               with_counts: bool = True) -> DataFrame:
+               with_counts: bool = True, minimal: bool = False) -> DataFrame:
     """Per field q1, q3, iqr, fences, n (non-null), min, max, the
     percentile evidence and, optionally, rows below / above the fences with
     their share of **all** rows (G13: two denominators)."""
@@ -37,6 +37,8 @@ def iqr_fences(df: DataFrame, fields: Sequence[str] = C.IQR_FIELDS, k: float = C
               .withColumn("iqr", F.col("q3") - F.col("q1"))
               .withColumn("lo", F.col("q1") - k * F.col("iqr"))
               .withColumn("hi", F.col("q3") + k * F.col("iqr")))
+    if minimal:  # only what flagging needs: no min/max/row-count pass
+        return fences
     arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("v")) for f in fields])
     long = df.select(F.inline(arr))
     stats = long.groupBy("field").agg(F.min("v").alias("min"), F.max("v").alias("max"),
@@ -68,7 +70,7 @@ def iqr_flags(df: DataFrame, fields: Sequence[str] = C.IQR_FIELDS,
         if flag_of[f] in df.columns:
             raise ValueError(f"flag name collision: {flag_of[f]}")
     if fences is None:
-        fences = iqr_fences(df, fields, k, probs=[], accuracy=accuracy, with_counts=False)
+        fences = iqr_fences(df, fields, k, probs=[], accuracy=accuracy, with_counts=False, minimal=True)
     bounds = fence_values(fences)
     flags = {}
     for f in fields:
