@@ -1,10 +1,10 @@
 """Stage 6: IQR fences, outlier flags, filtered view and the filter-skew
 reports (P24-P28, A32-A40, F12, V6).
 
-Fences come from one exact-quantile pass over all fields at once; the
-resulting one-row-per-field table is pivoted to a single row and broadcast
-(its size is the number of fields) to the fact side, which is never
-shuffled for flagging."""
+Fences come from one exact-quantile computation over all fields at once;
+the result has one row per field, so it is read back once and the bounds
+enter the flagging plan as literals: the fact side is never shuffled or
+joined for flagging, and consumers do not re-run the quantile passes."""
 
 from __future__ import annotations
 
@@ -41,15 +41,15 @@ def iqr_fences(df: DataFrame, fields: Sequence[str] = C.IQR_FIELDS, k: float = C
         return fences
     arr = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).cast("double").alias("v")) for f in fields])
     long = df.select(F.inline(arr))
-    stats = long.groupBy("field").agg(F.min("v").alias("min"), F.max("v").alias("max"),
-                                      F.count(F.lit(1)).alias("rows"))
-    out = fences.join(stats, "field")
+    # one pass for min / max / all-row count and, optionally, the fence counts
+    aggs = [F.min("v").alias("min"), F.max("v").alias("max"), F.count(F.lit(1)).alias("rows")]
     if with_counts:
-        cnt = (long.join(F.broadcast(fences.select("field", "lo", "hi")), "field")
-               .groupBy("field").agg(F.count_if(F.col("v") < F.col("lo")).alias("below"),
-                                     F.count_if(F.col("v") > F.col("hi")).alias("above")))
-        out = (out.join(cnt, "field")
-               .withColumn("flagged", F.col("below") + F.col("above"))
+        long = long.join(F.broadcast(fences.select("field", "lo", "hi")), "field")
+        aggs += [F.count_if(F.col("v") < F.col("lo")).alias("below"),
+                 F.count_if(F.col("v") > F.col("hi")).alias("above")]
+    out = fences.join(long.groupBy("field").agg(*aggs), "field")
+    if with_counts:
+        out = (out.withColumn("flagged", F.col("below") + F.col("above"))
                .withColumn("flagged_pct_of_rows", F.col("flagged") * 100.0 / F.col("rows")))
     return out
 
