@@ -129,18 +129,20 @@ def exact_percentiles(
              .groupBy(*by, "field", F.col("pp").alias("p")).agg(F.sum("c").alias("below")))
     counted = agg.where(F.col("p") != -1.0)
     w = Window.partitionBy(*keys).orderBy("bv").rowsBetween(Window.unboundedPreceding, 0)
+    # below and brackets have one row per group, field and probability
+    bc = F.broadcast if small_table else (lambda d: d)
     ranked = (
         counted
         .withColumn("cum", F.sum("c").over(w))
-        .join(below, on=keys, how="left")
-        .join(brackets.select(*keys, "k_lo", "k_hi"), on=keys)
+        .join(bc(below), on=keys, how="left")
+        .join(bc(brackets.select(*keys, "k_lo", "k_hi")), on=keys)
         .withColumn("end", F.coalesce("below", F.lit(0)) + F.col("cum"))
         .withColumn("start", F.col("end") - F.col("c"))
     )
     hit = lambda k: F.max(F.when((F.col("start") <= F.col(k)) & (F.col(k) < F.col("end")),
                                  F.col("bv")))
     picked = ranked.groupBy(*keys).agg(hit("k_lo").alias("v_lo"), hit("k_hi").alias("v_hi"))
-    out = brackets.select(*keys, "n", "pos", "k_lo", "k_hi").join(picked, on=keys, how="left")
+    out = brackets.select(*keys, "n", "pos", "k_lo", "k_hi").join(bc(picked), on=keys, how="left")
     value = (
         F.when(F.col("v_lo").isNull() | F.col("v_hi").isNull(),
                F.raise_error(F.lit("exact_percentiles: bracket missed its rank")).cast("double"))

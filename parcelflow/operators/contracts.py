@@ -58,8 +58,9 @@ def month_gaps(found: DataFrame, month_col: str, first: str, last: str) -> DataF
         F.to_date(F.lit(first), "yyyyMM"), F.to_date(F.lit(last), "yyyyMM"),
         F.expr("INTERVAL 1 MONTH"))).alias("d")).select(F.date_format("d", "yyyyMM").alias("yyyymm"))
     have = found.select(F.col(month_col).alias("yyyymm")).where(F.col("yyyymm").isNotNull()).distinct()
-    missing = expected.join(have, "yyyymm", "left_anti").withColumn("status", F.lit("missing"))
-    extra = have.join(expected, "yyyymm", "left_anti").withColumn("status", F.lit("extra"))
+    # both sides are bounded by the calendar (distinct months)
+    missing = expected.join(F.broadcast(have), "yyyymm", "left_anti").withColumn("status", F.lit("missing"))
+    extra = have.join(F.broadcast(expected), "yyyymm", "left_anti").withColumn("status", F.lit("extra"))
     return missing.unionByName(extra)
 
 
