@@ -19,6 +19,12 @@ checkpoint; one row per group and field) and counted, so the bracket table
 is broadcast only when its row count is known to be small; otherwise it is
 joined on the group key and a hot group is left to AQE's skew-join split.
 
+When the sketch bound says a bracket could hold more than
+``bracket_limit`` rows (groups of roughly ``accuracy * bracket_limit / 10``
+rows and more), refinement levels re-sketch only the values inside each
+large bracket on a fixed probe grid, shrinking it by about ``accuracy / 8``
+per level, so the exact finish never gathers an unbounded set into one task.
+
 Small groups (``n <= small_n``) use ``[min, max]`` as the bracket, which makes
 them exact without relying on the sketch. The interpolation is
 ``lo + (hi - lo) * frac`` with ``pos = (n - 1) * p``, the same linear method
@@ -61,6 +67,9 @@ def exact_percentiles(
     accuracy: int = 10_000,
     small_n: int | None = None,
     broadcast_rows: int = 200_000,
+    bracket_limit: int = 2_000_000,
+    max_levels: int = 3,
+    grid: int = 1_000,
 ) -> DataFrame:
     """Exact quantiles per group, field and probability.
 
@@ -76,7 +85,9 @@ def exact_percentiles(
     if by:
         for b in by:
             long = long.where(F.col(b).isNotNull())
+    spark = df.sparkSession
 
+    # ---- pass 1: count, range and a sketch probed around every target
     probes = []
     for p in probs:
         probes += [max(0.0, p - margin), min(1.0, p + margin)]
@@ -90,19 +101,59 @@ def exact_percentiles(
         # group count unknown: cut the (one row per group) stats and count them
         stats = cut_lineage(stats)
         small_table = stats.count() * len(probs) <= broadcast_rows
+        n_max = stats.agg(F.max("n")).first()[0] or 0
     else:
-        # no group key: one row per field, a bound known without running anything
+        # no group key: one row per field, so the stats are read back (bounded)
+        # and re-entered as a tiny local table; nothing upstream is re-run
+        rows = stats.collect()
+        n_max = max((r["n"] for r in rows), default=0)
+        stats = spark.createDataFrame(rows, stats.schema)
         small_table = True
+    bc = F.broadcast if small_table else (lambda d: d)
     small = F.col("n") <= F.lit(small_n)
-    # Lower bounds are made non-decreasing in p (a prefix max keeps each one
-    # a valid lower bracket, since a lower probability's bound ranks lower).
-    los = [F.when(small, F.col("vmin")).otherwise(F.element_at("apx", 2 * i + 1)) for i in range(len(probs))]
-    los = [los[0] if i == 0 else F.greatest(*los[: i + 1]) for i in range(len(probs))]
-    bs = F.array(*[
-        F.struct(F.lit(p).alias("p"), F.lit(i).alias("i"), los[i].alias("lo"),
-                 F.when(small, F.col("vmax")).otherwise(F.element_at("apx", 2 * i + 2)).alias("hi"))
-        for i, p in enumerate(probs)])
-    wide = stats.select(*by, "field", "n", bs.alias("bs"))
+    targets = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(i).alias("i")) for i, p in enumerate(probs)])
+    brk = (stats.select(*by, "field", "n", "vmin", "vmax", "apx", F.inline(targets))
+           .select(*by, "field", "n", "p",
+                   F.when(small, F.col("vmin")).otherwise(F.element_at("apx", F.col("i") * 2 + 1)).alias("lo"),
+                   F.when(small, F.col("vmax")).otherwise(F.element_at("apx", F.col("i") * 2 + 2)).alias("hi")))
+
+    # ---- optional refinement: re-sketch the values inside large brackets on
+    # a fixed probe grid until no bracket holds more than `bracket_limit` rows
+    # (only when the sketch bound 10 n / accuracy could exceed the limit)
+    if n_max > small_n and 10 * n_max / accuracy > bracket_limit:
+        gprobes = [i / grid for i in range(grid + 1)]
+        m2 = margin + 1.0 / grid
+        for _ in range(max_levels):
+            brk = cut_lineage(brk)
+            inb = F.col("v") >= F.col("lo")
+            lv = (long.join(bc(brk), on=[*by, "field"]).where(F.col("v") <= F.col("hi"))
+                  .groupBy(*by, "field", "n", "p", "lo", "hi")
+                  .agg(F.count_if(~inb).alias("below"), F.count_if(inb).alias("m"),
+                       F.percentile_approx(F.when(inb, F.col("v")), gprobes, accuracy).alias("sk")))
+            lv = cut_lineage(lv)
+            if (lv.agg(F.max("m")).first()[0] or 0) <= bracket_limit:
+                break
+            pos = (F.col("n") - 1).cast("double") * F.col("p")
+            t_lo = (F.floor(pos) - F.col("below")) / F.col("m")
+            t_hi = (F.ceil(pos) - F.col("below")) / F.col("m")
+            i_lo = F.greatest(F.lit(0), F.least(F.lit(grid), F.floor((t_lo - m2) * grid))).cast("int")
+            i_hi = F.greatest(F.lit(0), F.least(F.lit(grid), F.ceil((t_hi + m2) * grid))).cast("int")
+            big = F.col("m") > F.lit(bracket_limit)
+            brk = lv.select(*by, "field", "n", "p",
+                            F.when(big, F.element_at("sk", i_lo + 1)).otherwise(F.col("lo")).alias("lo"),
+                            F.when(big, F.element_at("sk", i_hi + 1)).otherwise(F.col("hi")).alias("hi"))
+
+    # ---- brackets as one array per group and field; lower bounds made
+    # non-decreasing in p (a prefix max keeps each a valid lower bracket,
+    # since a lower probability's bound ranks lower)
+    bs0 = F.sort_array(F.collect_list(F.struct("p", "lo", "hi")))
+    wide = (brk.groupBy(*by, "field", "n").agg(bs0.alias("bs0"))
+            .select(*by, "field", "n", F.transform("bs0", lambda b, i: F.struct(
+                b["p"].alias("p"), i.alias("i"),
+                F.array_max(F.transform(F.slice("bs0", 1, i + 1), lambda x: x["lo"])).alias("lo"),
+                b["hi"].alias("hi"))).alias("bs")))
+    if not by:  # one row per field: keep it as a local table
+        wide = spark.createDataFrame(wide.collect(), wide.schema)
     pos = (F.col("n") - 1).cast("double") * F.col("p")
     brackets = (wide.select(*by, "field", "n", F.inline("bs"))
                 .withColumn("pos", pos)
@@ -111,7 +162,7 @@ def exact_percentiles(
 
     keys = [*by, *_KEYS]
     side = wide.select(*by, "field", "bs")
-    j = long.join(F.broadcast(side) if small_table else side, on=[*by, "field"])
+    j = long.join(bc(side), on=[*by, "field"])
     # One pass. Each value emits (a) its bucket: how many lower bounds are <=
     # it (p = -1), so "values below bracket i" is a prefix sum over at most
     # P + 1 buckets, and (b) one entry per bracket it falls inside. Partial
@@ -130,7 +181,6 @@ def exact_percentiles(
     counted = agg.where(F.col("p") != -1.0)
     w = Window.partitionBy(*keys).orderBy("bv").rowsBetween(Window.unboundedPreceding, 0)
     # below and brackets have one row per group, field and probability
-    bc = F.broadcast if small_table else (lambda d: d)
     ranked = (
         counted
         .withColumn("cum", F.sum("c").over(w))

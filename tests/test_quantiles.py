@@ -53,3 +53,17 @@ def test_property_small_lists(spark, xs, p):
     df = spark.createDataFrame([(float(x),) for x in xs], "v double")
     r = exact_percentiles(df, ["v"], [p]).first()
     assert _close(r.value, float(np.quantile(np.array(xs, dtype=float), p)))
+
+
+def test_refinement_levels(spark):
+    # tiny accuracy and bracket limit force the refinement path; the result
+    # must still be the exact linear quantile
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"g": rng.integers(0, 2, 20000).astype(str), "v": rng.normal(0, 1, 20000)})
+    df = spark.createDataFrame(pdf)
+    for by in ([], ["g"]):
+        got = exact_percentiles(df, ["v"], [0.01, 0.5, 0.9], by=by, accuracy=50, small_n=100,
+                                bracket_limit=300).collect()
+        for r in got:
+            s = pdf.v if not by else pdf.loc[pdf.g == r.g, "v"]
+            assert _close(r.value, float(s.quantile(r.p))), (by, r)
