@@ -100,8 +100,9 @@ def exact_percentiles(
     if by:
         # group count unknown: cut the (one row per group) stats and count them
         stats = cut_lineage(stats)
-        small_table = stats.count() * len(probs) <= broadcast_rows
-        n_max = stats.agg(F.max("n")).first()[0] or 0
+        groups, n_max = stats.agg(F.count(F.lit(1)), F.max("n")).first()
+        small_table = groups * len(probs) <= broadcast_rows
+        n_max = n_max or 0
     else:
         # no group key: one row per field, so the stats are read back (bounded)
         # and re-entered as a tiny local table; nothing upstream is re-run
