@@ -1,10 +1,10 @@
-"""Session helpers: builder for tests/bench and a lineage cut that survives
-executor loss (reliable checkpoint into the cluster's shared folder)."""
+"""Session helpers: builder for tests/bench, and Parquet stage tables in the
+cluster's shared folder that cut lineage and survive executor loss."""
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,36 +34,43 @@ def local_session(cpus: int | str = "*", app: str = "parcelflow", **conf) -> Spa
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a scratch folder is set only when the
-    session has none (local tests)."""
+    The cluster's setting always wins. Only a local session (one machine, as
+    in tests) gets a scratch folder of its own; a cluster session without the
+    setting raises, for each of its machines would write to its own disk."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
         return d or ""
+    d = d or sc.getCheckpointDir()
     if not d:
-        d = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="parcelflow-ckpt-", dir="/tmp")
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="parcelflow-ckpt-", dir="/tmp")
+    if spark.conf.get("spark.checkpoint.dir", None) != d:
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable lineage cut (``DataFrame.checkpoint``): the rows land in the
-    shared checkpoint folder named by ``spark.checkpoint.dir``, so a lost
-    executor re-reads them instead of replaying the upstream plan. (A Parquet
-    table via ``stage_table`` is the alternative for stage outputs that are
-    also consumed outside the job; for short-lived cuts the checkpoint
-    measured faster here.)"""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared folder and read it
+    back: readers prune columns and push filters down, a lost executor costs a
+    re-read and not a replay. Each call has a folder of its own, which the
+    file system removes when the application ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/stages/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        jvm = spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(where)
+    except AttributeError:  # Spark Connect: the server's retention rules apply
+        pass
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_table(df: DataFrame, name: str, mode: str = "overwrite") -> DataFrame:
-    """Write a stage output as Parquet under the shared checkpoint folder and
-    read it back (the Spark form of the reference's stage-to-stage files)."""
-    root = ensure_checkpoint_dir(df.sparkSession)
-    path = os.path.join(root, "stages", name)
-    df.write.mode(mode).parquet(path)
-    return df.sparkSession.read.parquet(path)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """A stage table without a lasting name."""
+    return stage_table(df, "cut")
