@@ -23,9 +23,10 @@ segments and the other doesn't, below 1e-15 under the hash.
 
 Candidates are verified exactly, on the words of both texts. Equal sets count
 as one class, found by grouping. Within an index bucket not all pairs are made:
-first each member meets the bucket's smallest; then only members of different
-components meet, in further rounds with other pivots while those pairs are
-many, and at last all of them, so that no link between components is lost.
+first each member meets the smallest member of its buckets; then only members
+of different components meet, pair by pair in small buckets. Crowded buckets
+are joined block by block (``crowded_links``), which returns only links that
+join components. So no link between components is lost.
 
 Defined results: a null text is an empty one; texts without words have an empty
 set, link with nothing and are their own component; a row without an id takes
@@ -47,10 +48,11 @@ from parcelflow.llm import textspans as T
 from parcelflow.llm.frames import components, keyed, staged
 
 _UNIVERSE = 52
-#: Pivot rounds before the remaining pairs are all made, and the pairs per
-#: bucket row up to which they are made at once.
-PIVOT_ROUNDS = 3
+#: Pairs per bucket row up to which a bucket's pairs are made as rows.
 PAIRS_PER_ROW = 4
+#: Bounds of a block in a crowd.
+BLOCK_SETS, BLOCK_ELEMENTS = 2000, 1_500_000
+_COLUMNS = 4096
 
 
 class Bands:
@@ -209,6 +211,110 @@ def verify(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Dat
             .mapInArrow(run, "a long, b long, link boolean").groupBy("a", "b").agg(F.max("link").alias("link")))
 
 
+def elements(texts: DataFrame, shingle: int) -> DataFrame:
+    """(doc_id, set) with the set's elements sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in T.pieces(batches):
+            data, off = T.text_buffer(piece.column("text"))
+            key, n = shingle_keys(T.Words(T.lowered(data), off, T.NON_SPACE), shingle)
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), T.lists(pa.array((key & np.uint64((1 << _UNIVERSE) - 1)).view(np.int64)), n)],
+                                             names=["doc_id", "set"])
+
+    return texts.mapInArrow(run, "doc_id long, set array<long>")
+
+
+def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Intersection sizes of every left set with every right set, as products
+    of 0/1 matrices over the elements that more than one set has."""
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    element, index, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    column = (np.cumsum(shared) - 1)[index]
+    keep = shared[index]
+    row, column = row[keep], column[keep]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    place = np.full((2, len(sets)), -1)
+    place[0, left], place[1, right] = np.arange(len(left)), np.arange(len(right))
+    out = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, int(shared.sum()), _COLUMNS):
+        a, b = np.searchsorted(column, (at, at + _COLUMNS))
+        sides = []
+        for side, n in ((place[0], len(left)), (place[1], len(right))):
+            m = np.zeros((n, _COLUMNS), np.float32)
+            r = side[row[a:b]]
+            m[r[r >= 0], column[a:b][r >= 0] - at] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def crowded_links(left: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the components of crowded buckets.
+
+    Buckets that share members form a crowd; its sets are dealt to blocks of
+    bounded size, each pair of blocks is one group, and within it all pairs of
+    different components are counted as matrix products. Of the links only those
+    that join two components are returned, so neither pairs nor links are made
+    by the square of the crowd."""
+    hubs = left.groupBy("sig").agg(F.min("doc_id").alias("b"))
+    crowd = components(left.join(hubs, "sig").select(F.col("doc_id").alias("a"), "b").distinct())
+    members = left.select("doc_id", "n", "comp").distinct().join(crowd, F.col("doc_id") == F.col("node")).drop("node")
+    size = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
+    members = staged(members.join(size, "component"), "crowds")
+    ids = members.select("doc_id").distinct()
+    sets = elements(texts.join(keyed(ids, ids.count()), "doc_id", "left_semi"), shingle)
+    dealt = (members.join(sets, "doc_id").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+             .select("component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "comp", "set"))
+
+    def links(rows: list[tuple], i: int, j: int) -> list[tuple[int, int]]:
+        own, ids, comp = (np.array([r[c] for r in rows]) for c in range(3))
+        sets = [r[3] for r in rows]
+        n = np.array([len(x) for x in sets])
+        a, b = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        if not len(a) or not len(b):
+            return []
+        both = shared_counts(sets, a, b)
+        x, y = np.nonzero((100 * both >= percent * (n[a][:, None] + n[b][None, :] - both)) & (both > 0) & (comp[a][:, None] != comp[b][None, :]))
+        low, high = np.minimum(comp[a][x], comp[b][y]), np.maximum(comp[a][x], comp[b][y])
+        _, first = np.unique(np.stack([low, high], 1), axis=0, return_index=True)
+        parent, out = {}, []
+
+        def root(c: int) -> int:
+            while parent.setdefault(c, c) != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        for k in first:
+            p, q = root(int(low[k])), root(int(high[k]))
+            if p != q:
+                parent[q] = p
+                out.append((int(ids[a][x[k]]), int(ids[b][y[k]])))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows, out = None, [], []
+        for batch in batches:
+            flat, at = batch.column("set").flatten().to_numpy(), batch.column("set").offsets.to_numpy()
+            at = at - at[0]
+            for k, (g, i, j, own, doc, comp) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("component", "i", "j", "own", "doc_id", "comp")), strict=True)):
+                if (g, i, j) != group:
+                    if rows:
+                        out += links(rows, *group[1:])
+                    group, rows = (g, i, j), []
+                rows.append((own, doc, comp, flat[at[k] : at[k + 1]].copy()))
+        if rows:
+            out += links(rows, *group[1:])
+        yield pa.RecordBatch.from_arrays([pa.array([max(p) for p in out], pa.int64()), pa.array([min(p) for p in out], pa.int64())], names=["a", "b"])
+
+    # one id's set comes once for each of its blocks; equal rows are dropped before
+    return (dealt.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "doc_id")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
 def _near(percent: int):
     """Sizes that can reach the bound."""
     return 100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")
@@ -216,8 +322,8 @@ def _near(percent: int):
 
 def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row; the component
-    is the smallest id reachable, ``n_links`` the verified links of the row's
-    class that were needed."""
+    is the smallest id reachable, ``n_links`` the number of verified links of
+    the row's id that the components were made of."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = staged(index_rows(texts, shingle, percent), "index")
     known = rows.where("doc_id is not null and n > 0")
@@ -230,42 +336,24 @@ def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90,
     # one id may stand for several sets
     same = known.select("doc_id", "one", "two", "n").join(classes, ["one", "two", "n"]).where("doc_id <> rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
-    done, links, left, turn = None, [], buckets.withColumn("comp", F.col("doc_id")), 0
-    while True:
-        mixed = left.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("sig")
-        left = staged(left.join(mixed, "sig"), f"open-{turn}")
-        per_comp = left.groupBy("sig", "comp").agg(F.count("*").alias("c"))
-        sums = per_comp.groupBy("sig").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-        size, cross = sums.agg(F.coalesce(F.sum("s"), F.lit(0)), F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0))).first()
-        if not size:
-            break
-        last = cross <= PAIRS_PER_ROW * size or turn >= PIVOT_ROUNDS
-        if last:  # all pairs of different components
-            other = left.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("pivot_n"), F.col("comp").alias("other"))
-            pairs = left.join(other, "sig").where("comp < other")
-        else:  # each member and a pivot of its bucket, another one in each round
-            order = F.col("doc_id") if turn == 0 else F.xxhash64("doc_id", F.lit(turn))
-            pivots = left.groupBy("sig").agg(F.min(F.struct(order.alias("o"), "doc_id", "n", "comp")).alias("p")).select(
-                "sig", F.col("p.doc_id").alias("b"), F.col("p.n").alias("pivot_n"), F.col("p.comp").alias("other"))
-            pairs = left.join(pivots, "sig").where("comp <> other")
-        pairs = pairs.where(_near(percent)).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        answers = staged(verify(staged(pairs, f"pairs-{turn}"), texts, shingle, percent), f"answers-{turn}")
-        done = answers.select("a", "b") if done is None else done.union(answers.select("a", "b"))
-        links.append(answers.where("link").select("a", "b"))
-        if last:
-            break
-        turn += 1
-        found = links[0]
-        for more in links[1:]:
-            found = found.union(more)
-        comp = components(found)
-        left = left.drop("comp").join(comp.select(F.col("node").alias("doc_id"), F.col("component").alias("comp")), "doc_id", "left")
-        left = left.withColumn("comp", F.coalesce("comp", "doc_id"))
-    found = same
-    for more in links:
-        found = found.union(more)
+    # first each member and one pivot: the smallest member of its buckets
+    pivots = buckets.groupBy("sig").agg(F.min(F.struct("doc_id", "n")).alias("p"))
+    pairs = (buckets.join(pivots, "sig").select("doc_id", "n", F.col("p.doc_id").alias("b"), F.col("p.n").alias("pivot_n")).where("doc_id <> b").where(_near(percent))
+             .groupBy("doc_id").agg(F.min("b").alias("b")).select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct())
+    answers = staged(verify(staged(pairs, "pivot-pairs"), texts, shingle, percent), "pivot-answers")
+    found = answers.where("link").select("a", "b")
+    comp = components(found)
+    left = buckets.join(comp.select(F.col("node").alias("doc_id"), F.col("component").alias("comp")), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    # then members of different components, where a bucket still has some
+    sums = left.groupBy("sig", "comp").agg(F.count("*").alias("c")).groupBy("sig").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
+    open_ = sums.where("q < s * s").select("sig", (F.col("s") * F.col("s") - F.col("q") <= 2 * PAIRS_PER_ROW * F.col("s")).alias("small"))
+    left = staged(left.join(open_, "sig"), "open")
+    few = left.where("small")
+    other = few.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("pivot_n"), F.col("comp").alias("other"))
+    pairs = few.join(other, "sig").where("comp < other").where(_near(percent)).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")).distinct()
+    near = staged(pairs.join(answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+                  .union(crowded_links(left.where("not small"), texts, shingle, percent)).distinct(), "pairs")
+    found = staged(same.union(found).union(verify(near, texts, shingle, percent).where("link").select("a", "b")), "found")
     comp = components(found)
     count = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     return (rows.select("doc_id", F.col("n").alias("n_shingles")).join(comp, F.col("doc_id") == F.col("node"), "left").drop("node")
