@@ -2,7 +2,8 @@
 
 Rows of equal texts are a group; a group is placed, as a vector of its bytes,
 tokens and rows relative to a shard's capacity, where the dot product with the
-residual capacity is highest, largest groups first. A group over 1/50 of a
+residual capacity is highest, largest groups first; one that fits nowhere goes
+where most bytes are left. A group over 1/50 of a
 shard is split into parts of about that size first, so that even a group with a
 third of all rows spreads.
 
@@ -46,8 +47,11 @@ class Bins:
         self.left = np.ones((n, len(self.scale)))
 
     def place(self, item: np.ndarray) -> int:
+        """The bin with the highest dot product among those that the item still
+        fits; where it fits none, the one with most bytes left, as the law asks."""
         v = item * self.scale
-        at = int(np.argmax(self.left @ v))
+        fits = (self.left >= v).all(axis=1)
+        at = int(np.argmax(np.where(fits, self.left @ v, -1.0) if fits.any() else self.left[:, 0]))
         self.left[at] -= v
         return at
 
