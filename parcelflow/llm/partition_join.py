@@ -19,7 +19,15 @@ its one-deletion neighbourhoods: each other part, less one element, is indexed
 too, so parts that differ in one element meet. Only where half of three or more
 parts are empty are the empty ones indexed after all; a pair could slip through
 only if one set of it crowds all its elements into less than half of its
-segments and the other doesn't, below 1e-15 under the hash.
+segments and the other doesn't, below 1e-15 under the hash. With 32 segments or
+more nothing is paid back: a pair is lost only if its differences, fewer than
+the segments, hit every segment that isn't empty in both, below 1e-9.
+
+Signatures travel as sorted blocks of bytes, one per mapper flush and slot of
+the signature range, and a slot's blocks are merged in one task to find the
+signatures of several sets. Of equal signatures in a flush only one goes to the
+slot; all of them are known to share a bucket, so they go on as bucket rows. A
+signature that a third of all sets have is thus one row per flush.
 
 Candidates are verified exactly, on the words of both texts. Equal sets count
 as one class, found by grouping. Within an index bucket not all pairs are made:
@@ -48,6 +56,10 @@ from parcelflow.llm import textspans as T
 from parcelflow.llm.frames import components, keyed, staged
 
 _UNIVERSE = 52
+#: From this number of segments on, empty ones need no paying back.
+SURE_UNITS = 32
+#: Signatures that a mapper sorts and sends at a time.
+FLUSH = 2_000_000
 #: Pairs per bucket row up to which a bucket's pairs are made as rows.
 PAIRS_PER_ROW = 4
 #: Bounds of a block in a crowd.
@@ -125,7 +137,7 @@ def signatures(element: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands
         label = T.mix64((k[d] + 1).astype(np.uint64) << np.uint64(40) | s.astype(np.uint64))
         out_doc.append(part_doc)
         out_sig.append(T.mix64(total + label[starts]))
-        empty = units - np.bincount(part_doc, minlength=len(n))
+        empty = np.where(units < SURE_UNITS, units - np.bincount(part_doc, minlength=len(n)), 0)
         lone = np.flatnonzero(empty > 0)
         if len(lone):
             run = np.cumsum(new) - 1
@@ -143,41 +155,119 @@ def signatures(element: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands
     return np.concatenate(out_doc), np.concatenate(out_sig)
 
 
-def index_rows(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Per row its set's size, two digests and signatures. Of equal sets of one
-    batch only the one with the smallest id lists signatures."""
+def _sets(piece: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Elements of all sets of a piece, their text, and the sets' sizes."""
+    data, off = T.text_buffer(piece.column("text"))
+    key, n = shingle_keys(T.Words(T.lowered(data), off, T.NON_SPACE), shingle)
+    return key & np.uint64((1 << _UNIVERSE) - 1), (key >> np.uint64(_UNIVERSE)).astype(np.int64), n
+
+
+def _digests(element: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent digests of each set."""
+    first = np.flatnonzero(n)
+    starts = (np.cumsum(n) - n)[first]
+    one, two = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
+    one[first] = T.mix64(_sums(T.mix64(element + np.uint64(7)), starts))
+    two[first] = T.mix64(_sums(T.mix64(element ^ np.uint64(0x5555555555555)), starts))
+    return one, two
+
+
+def index_rows(docs: DataFrame, shingle: int) -> DataFrame:
+    """Per row its set's size and digests."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
         for piece in T.pieces(batches):
-            data, off = T.text_buffer(piece.column("text"))
-            words = T.Words(T.lowered(data), off, T.NON_SPACE)
-            key, n = shingle_keys(words, shingle)
-            doc = (key >> np.uint64(_UNIVERSE)).astype(np.int64)
-            element = key & np.uint64((1 << _UNIVERSE) - 1)
-            first = np.flatnonzero(n)
-            starts = (np.cumsum(n) - n)[first]
-            one, two = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
-            one[first] = T.mix64(_sums(T.mix64(element + np.uint64(7)), starts))
-            two[first] = T.mix64(_sums(T.mix64(element ^ np.uint64(0x5555555555555)), starts))
-            ids = piece.column("doc_id")
-            known = ~np.asarray(ids.is_null())
-            number = np.where(known, ids.fill_null(0).to_numpy(), 0)
-            order = np.lexsort((number, ~known, n, two, one))
+            element, _, n = _sets(piece, shingle)
+            one, two = _digests(element, n)
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n, pa.int64()), pa.array(T.signed(one)), pa.array(T.signed(two))],
+                                             names=["doc_id", "n", "one", "two"])
+
+    return docs.mapInArrow(run, "doc_id long, n long, one long, two long")
+
+
+def _pack(values: np.ndarray) -> bytes:
+    """Bytes of equal weight side by side, which compress in sorted values."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def _unpack(blocks: list[bytes], kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.concatenate([np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, -1).T).view(kind).ravel() for b in blocks])
+
+
+def bucket_rows(docs: DataFrame, shingle: int, percent: int, parts: int) -> DataFrame:
+    """(sig, doc_id, n) of the signatures that several sets have. Of equal sets
+    of one piece only the one with the smallest id is indexed; a set's smallest
+    id always is."""
+    slots = 8 * parts
+
+    def block(slot: int, sig: np.ndarray, ids: np.ndarray, n: np.ndarray) -> tuple:
+        return slot, _pack(sig), _pack(ids), _pack(n)
+
+    def flush(held: list[tuple]) -> pa.RecordBatch:
+        sig, ids, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((ids, sig))
+        sig, ids, n = sig[order], ids[order], n[order].astype(np.int32)
+        new = np.ones(len(sig), bool)
+        new[1:] = sig[1:] != sig[:-1]
+        several = ~new
+        several[:-1] |= ~new[1:]
+        rows = []
+        if several.any():
+            rows.append(block(-1 - int(sig[0] >> np.uint64(40)), sig[several], ids[several], n[several]))
+        sig, ids, n = sig[new], ids[new], n[new]
+        slot = ((sig >> np.uint64(32)) * np.uint64(slots) >> np.uint64(32)).astype(np.int64)
+        at = np.searchsorted(slot, np.arange(slots + 1))
+        rows += [block(k, sig[a:b], ids[a:b], n[a:b]) for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)) if a < b]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int64(), *[pa.binary()] * 3], strict=True)],
+                                          names=["slot", "sigs", "ids", "sizes"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, held, waiting = Bands(percent), [], 0
+        for piece in T.pieces(batches):
+            element, doc, n = _sets(piece, shingle)
+            one, two = _digests(element, n)
+            ids = piece.column("doc_id").to_numpy()
+            order = np.lexsort((ids, n, two, one))
             leader = np.ones(len(n), bool)
-            same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1]) & (n[order][1:] == n[order][:-1])
-            leader[order[1:]] = ~same
-            leader &= known
-            sig_doc, sig = signatures(element, doc, n, bands)
-            keep = leader[sig_doc]
-            sig_doc, sig = sig_doc[keep], sig[keep]
-            by = np.argsort(sig_doc, kind="stable")
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(n, pa.int64()), pa.array(T.signed(one)), pa.array(T.signed(two)),
-                 T.lists(pa.array(T.signed(sig[by])), np.bincount(sig_doc, minlength=len(n)))],
-                names=["doc_id", "n", "one", "two", "sigs"])
+            leader[order[1:]] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]) | (n[order][1:] != n[order][:-1])
+            at, sig = signatures(element, doc, n, bands)
+            at, sig = at[leader[at]], sig[leader[at]]
+            if len(sig):
+                held.append((sig, ids[at], n[at]))
+                waiting += len(sig)
+            if waiting >= FLUSH:
+                yield flush(held)
+                held, waiting = [], 0
+        if held:
+            yield flush(held)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot, blocks = None, []
+
+        def close() -> pa.RecordBatch:
+            sig, ids, n = (_unpack([b[c] for b in blocks], k) for c, k in enumerate((np.uint64, np.int64, np.int32)))
+            if slot >= 0:
+                order = np.argsort(sig, kind="stable")
+                sig, ids, n = sig[order], ids[order], n[order]
+                same = np.zeros(len(sig), bool)
+                same[1:] = sig[1:] == sig[:-1]
+                same[:-1] |= same[1:]
+                sig, ids, n = sig[same], ids[same], n[same]
+            return pa.RecordBatch.from_arrays([pa.array(T.signed(sig)), pa.array(ids), pa.array(n.astype(np.int64))], names=["sig", "doc_id", "n"])
+
+        for batch in batches:
+            for k, *block in zip(*(batch.column(c).to_pylist() for c in ("slot", "sigs", "ids", "sizes")), strict=True):
+                if k != slot and blocks:
+                    yield close()
+                    blocks = []
+                slot = k
+                blocks.append(block)
+        if blocks:
+            yield close()
 
-    return docs.mapInArrow(run, "doc_id long, n long, one long, two long, sigs array<long>")
+    sent = docs.where("doc_id is not null").mapInArrow(send, "slot long, sigs binary, ids binary, sizes binary")
+    return sent.repartition(parts, "slot").sortWithinPartitions("slot").mapInArrow(merge, "sig long, doc_id long, n long")
 
 
 def shingle_set(text: str | None, k: int) -> set:
@@ -325,14 +415,12 @@ def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90,
     is the smallest id reachable, ``n_links`` the number of verified links of
     the row's id that the components were made of."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = staged(index_rows(texts, shingle, percent), "index")
+    rows = staged(index_rows(texts, shingle), "index")
     known = rows.where("doc_id is not null and n > 0")
     classes = staged(known.groupBy("one", "two", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    parts = known.select("doc_id", "n", F.explode("sigs").alias("sig"))
-    # buckets that more than one row reaches; the minima are taken before the shuffle
-    wide = parts.groupBy("sig").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("sig")
-    buckets = staged(parts.join(wide, "sig").join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-                     .select("sig", "doc_id", "n").distinct(), "buckets")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = staged(bucket_rows(texts, shingle, percent, parts).join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+                     .distinct(), "buckets")
     # one id may stand for several sets
     same = known.select("doc_id", "one", "two", "n").join(classes, ["one", "two", "n"]).where("doc_id <> rep").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
