@@ -12,7 +12,14 @@ from parcelflow.session import stage_table
 BROADCAST_ROWS = 1_000_000
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows of whole texts go to Python in batches of 1000, a few MB each, in
+    place of 10,000: two workers an executor hold one batch each."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

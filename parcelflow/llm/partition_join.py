@@ -53,13 +53,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm import textspans as T
-from parcelflow.llm.frames import components, keyed, staged
+from parcelflow.llm.frames import components, keyed, small_batches, staged
 
 _UNIVERSE = 52
 #: From this number of segments on, empty ones need no paying back.
 SURE_UNITS = 32
 #: Signatures that a mapper sorts and sends at a time.
-FLUSH = 2_000_000
+FLUSH = 500_000
 #: Pairs per bucket row up to which a bucket's pairs are made as rows.
 PAIRS_PER_ROW = 4
 #: Bounds of a block in a crowd.
@@ -285,7 +285,7 @@ def verify(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept_id, kept = None, set()
-        for batch in batches:
+        for batch in T.pieces(batches, "left"):
             link = []
             for b, left, right in zip(*(batch.column(c).to_pylist() for c in ("b", "left", "right")), strict=True):
                 if kept_id != (b, right):
@@ -414,6 +414,7 @@ def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90,
     """(doc_id, n_shingles, component_id, n_links) of every row; the component
     is the smallest id reachable, ``n_links`` the number of verified links of
     the row's id that the components were made of."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = staged(index_rows(texts, shingle), "index")
     known = rows.where("doc_id is not null and n > 0")

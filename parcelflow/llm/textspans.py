@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15  # odd, so powers of it are invertible mod 2**64
@@ -51,11 +51,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the step and of its inverse mod 2**64."""
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, 2 * PIECE_BYTES)
+        size = max(n, PIECE_BYTES + 64)
         up, down = np.full(size, _STEP, _U), np.full(size, pow(_STEP, -1, 1 << 64), _U)
         up[0] = down[0] = 1
         made = np.multiply.accumulate(up), np.multiply.accumulate(down)
-        if n > 2 * PIECE_BYTES:
+        if n > PIECE_BYTES + 64:
             return made  # for one very long text; not kept
         _powers = made
     return _powers
