@@ -21,7 +21,8 @@ def lenient_double(x: ColLike) -> Column:
     """number parse, unparseable -> null; NaN is null too (pandas semantics)."""
     v = F.expr("try_cast(NULL AS double)") if x is None else _c(x)
     d = v.try_cast("double")
-    return F.when(~F.isnan(d), d)
+    # a Java type suffix (12d, 5f) is no number
+    return F.when(~F.isnan(d) & ~F.rtrim(v.cast("string")).rlike("[0-9.][dDfF]$"), d)
 
 
 def lenient_date(x: ColLike) -> Column:

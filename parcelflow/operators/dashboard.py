@@ -110,11 +110,11 @@ def extract_sold(iqr_flagged: DataFrame) -> DataFrame:
     """S13 + P36 + F8 + F11: the trimmed, typed sold extract (12 columns)."""
     return iqr_flagged.select(
         F.col("CloseDate").cast("date").alias("CloseDate"), F.col("YrMo").cast("string").alias("YrMo"),
-        *[F.col(c).cast("double").alias(c) for c in ["ClosePrice", "price_ratio", "days_on_market",
-                                                     "rate_30yr_fixed"]],
+        *[F.col(c).cast("double").alias(c) for c in ["ClosePrice", "price_ratio", "days_on_market"]],
         F.col("City").cast("string"), F.col("CountyOrParish").cast("string"),
         postal_text("PostalCode").alias("PostalCode"), F.col("PropertySubType").cast("string"),
-        F.col("DistrictName").cast("string"), F.col("any_iqr_outlier_flag").cast("long"))
+        F.col("DistrictName").cast("string"), F.col("any_iqr_outlier_flag").cast("long"),
+        F.col("rate_30yr_fixed").cast("double"))
 
 
 def extract_listings(iqr_flagged: DataFrame) -> DataFrame:

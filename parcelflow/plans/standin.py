@@ -54,8 +54,8 @@ JOIN {nation} ON c_nationkey=n_nationkey JOIN {region} ON n_regionkey=r_regionke
 JOIN {part} ON l_partkey=p_partkey JOIN {supplier} ON l_suppkey=s_suppkey
 """
 
-# Listings: open orders plus a shared slice of closed ones, so keys overlap.
-LISTINGS_SQL = SOLD_SQL + "WHERE o_orderstatus <> 'F' OR l_linenumber <= 2\n"
+# Listings: every row; some keys are of listings that were never sold.
+LISTINGS_SQL = SOLD_SQL.replace("l_orderkey*10+l_linenumber AS", "(CASE WHEN l_partkey%13=0 THEN -1 ELSE 1 END)*(l_orderkey*10+l_linenumber) AS")
 
 # Weekly rate series stand-in (several observations per day; averaged per month).
 RATES_SQL = """
@@ -103,8 +103,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = _HANDLES.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-        if name in FACT_TABLES:
-            df = ensure_parallelism(df)
         _HANDLES[key] = df
     return df
 
@@ -114,18 +112,6 @@ def load(spark: SparkSession, sql: str, sf_dir: str) -> DataFrame:
     return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in tables_of(sql)})
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the session has
-    cores (a single-row-group file is read by one task). On a many-file
-    input the scan already has enough splits and nothing is added."""
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave the scan as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def for_duckdb(sql: str) -> str:
     """The same text with placeholders bound to the driver's DuckDB views."""
     return sql.format(**{t: t for t in tables_of(sql)})

@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,8 +40,10 @@ def list_monthly_files(spark: SparkSession, dirs: Sequence[str], prefix: str,
         try:
             df = (spark.read.format("binaryFile").option("pathGlobFilter", f"CRMLS{prefix}*.csv")
                   .load(d).select("path", "length"))
-        except Exception:  # noqa: BLE001 - a missing folder contributes no files
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue  # a missing folder contributes no files
         frames.append(df.withColumn("dir_rank", F.lit(rank)))
     if not frames:
         return spark.createDataFrame([], "yyyymm string, path string, dir_rank int, length long")
@@ -114,9 +117,8 @@ def read_monthly(spark: SparkSession, files: DataFrame) -> DataFrame:
         e = enc.get(r["path"], "utf8")
         groups.setdefault((tuple(header_of(spark, r["path"], e)), e), []).append(r["path"])
     parts = [read_csv_group(spark, paths, list(h), e) for (h, e), paths in groups.items()]
-    month = spark.createDataFrame([(r["path"], r["yyyymm"]) for r in listing], "path string, yyyymm string")
     out = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    # binaryFile and input_file_name spell local URIs differently; compare paths
-    norm = lambda c: F.regexp_replace(c, r"^file:/+", "/")
-    return (out.join(F.broadcast(month), norm(out["_source_file"]) == norm(month["path"]), "left")
-            .drop("path"))
+    # the month is in the row's own file name, whatever its folder is called
+    name = F.regexp_extract("_source_file", r"([^/]+)$", 1)
+    month = F.regexp_extract(name, r"([0-9]{6})\.csv$", 1)
+    return out.withColumn("yyyymm", F.when(month != "", month).otherwise(F.raise_error(F.concat(F.lit("no month in file name: "), name))))

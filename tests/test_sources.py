@@ -64,16 +64,19 @@ def test_rates_sinks(spark, tmpdir_path):
     assert sinks.write_extract(df, os.path.join(tmpdir_path, "ext")) == 2
 
 
-def test_streaming_ingest(spark, tmpdir_path):
-    from parcelflow.streaming.monthly_drop import ingest_monthly
-    land = os.path.join(tmpdir_path, "landing")
-    _write(f"{land}/CRMLSSold202401.csv", "ListingKey,ClosePrice,LivingArea\n1,100,0\n2,-5,10\n")
-    out, ck = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ck")
-    cols = ["ListingKey", "ClosePrice", "LivingArea"]
-    ingest_monthly(spark, land, out, ck, columns=cols).awaitTermination(120)
-    _write(f"{land}/CRMLSSold202402.csv", "ListingKey,ClosePrice,LivingArea\n3,300,30\n")
-    ingest_monthly(spark, land, out, ck, columns=cols).awaitTermination(120)
-    res = spark.read.parquet(out)
-    got = {r.ListingKey: r for r in res.collect()}
-    assert sorted(got) == ["1", "2", "3"] and str(got["3"].yyyymm) == "202402"
-    assert got["1"].invalid_livingarea_flag == 1 and got["2"].invalid_closeprice_flag == 1
+def test_month_of_a_folder_with_spaces(spark, tmpdir_path):
+    import os
+    from parcelflow.sources.monthly import list_monthly_files, read_monthly
+    folder = os.path.join(tmpdir_path, "Listing & Sold (Jan 2024 - May 2026)")
+    os.makedirs(folder)
+    for month in ("202401", "202402"):
+        with open(os.path.join(folder, f"CRMLSSold{month}.csv"), "w", encoding="utf-8") as f:
+            f.write(f"ListingKey,City\nk{month},Irvine\n")
+    rows = read_monthly(spark, list_monthly_files(spark, [folder, os.path.join(tmpdir_path, "missing")], "Sold")).collect()
+    assert {(r.ListingKey, r.yyyymm) for r in rows} == {("k202401", "202401"), ("k202402", "202402")}
+
+
+def test_number_with_a_type_suffix_is_missing(spark):
+    from parcelflow.functions.scalars import lenient_double
+    got = spark.createDataFrame([("12d",), ("5f",), ("12",), ("1e3",), (" 7.5 ",), ("NaN",), ("x",)], "v string").select(lenient_double("v").alias("d")).collect()
+    assert [r.d for r in got] == [None, None, 12.0, 1000.0, 7.5, None, None]
