@@ -66,12 +66,15 @@ def month_gaps(found: DataFrame, month_col: str, first: str, last: str) -> DataF
 
 def key_overlap(sold: DataFrame, listings: DataFrame, key: str = "ListingKey") -> DataFrame:
     """Sold rows whose key also appears among listings, and listing rows
-    that never sold (the anti-join used when combining)."""
-    s_in = sold.join(listings.select(key).distinct(), key, "left_semi").agg(
-        F.count(F.lit(1)).alias("sold_keys_in_listings"))
-    l_out = listings.join(sold.select(key).distinct(), key, "left_anti").agg(
-        F.count(F.lit(1)).alias("listings_not_sold"))
-    return s_in.crossJoin(l_out)
+    that never sold (the anti-join used when combining). Both sides are counted
+    per key in one shuffle; a null key meets no other key."""
+    tagged = sold.select(key, F.lit(1).alias("s"), F.lit(0).alias("l")).unionAll(
+        listings.select(key, F.lit(0).alias("s"), F.lit(1).alias("l")))
+    per_key = tagged.groupBy(key).agg(F.sum("s").alias("s"), F.sum("l").alias("l"))
+    known = F.col(key).isNotNull()
+    return per_key.agg(
+        F.coalesce(F.sum(F.when(known & (F.col("l") > 0), F.col("s"))), F.lit(0)).alias("sold_keys_in_listings"),
+        F.coalesce(F.sum(F.when(~known | (F.col("s") == 0), F.col("l"))), F.lit(0)).alias("listings_not_sold"))
 
 
 def logged_probes(flagged_sold: DataFrame, iqr_sold: DataFrame, listings: DataFrame,

@@ -39,10 +39,10 @@ def segment(df: DataFrame, by: str | Sequence[str], top: int = 10, accuracy: int
             digits: int | None = 2) -> DataFrame:
     """Rows per segment (all rows) and medians of price, price per
     sqft, price ratio and days on market; top ``top`` by rows, ties by key.
-    Rows with a null key are dropped; medians ignore nulls. ``digits=None``
-    keeps the medians unrounded."""
+    Rows with a null key are dropped; medians ignore nulls and are rounded half
+    to even. ``digits=None`` keeps them unrounded."""
     by = [by] if isinstance(by, str) else list(by)
-    keyed = df.where(F.greatest(*[F.col(b).isNull() for b in by] + [F.lit(False)]) == F.lit(False))
+    keyed = df.dropna(subset=by)
     counts = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("n_sales"))
     top_keys = counts.orderBy(F.desc("n_sales"), *by).limit(top)
     # medians only for the top segments: a broadcast semi-join of <= top keys
@@ -54,7 +54,7 @@ def segment(df: DataFrame, by: str | Sequence[str], top: int = 10, accuracy: int
         ("median_dom", "days_on_market", 0.5),
     ], by=by, accuracy=accuracy)
     meds = ["median_close", "median_ppsf", "median_price_ratio", "median_dom"]
-    rnd = (lambda c: F.col(c)) if digits is None else (lambda c: F.round(c, digits).alias(c))
+    rnd = (lambda c: F.col(c)) if digits is None else (lambda c: F.bround(c, digits).alias(c))
     return (top_keys.join(med, by, "left")
             .select(*by, "n_sales", *[rnd(c) for c in meds])
             .orderBy(F.desc("n_sales"), *by))

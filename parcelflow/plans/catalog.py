@@ -89,7 +89,7 @@ def _q(col: str, p: float) -> str:
 SELECT CAST(date_trunc('month', CloseDate) AS DATE) AS month, round(quantile_cont(ClosePrice, 0.5), 6) AS median_close_price
 FROM iqr WHERE CloseDate IS NOT NULL GROUP BY 1""")
 def q_monthly_median_price(spark, sf):
-    return rnd(dashboard.monthly_median_price(P.sold(spark, sf).iqr, accuracy=ACC), "median_close_price")
+    return rnd(dashboard.monthly_median_price(P.sold(spark, sf).market_stage, accuracy=ACC), "median_close_price")
 
 
 # ---------------------------------------------------------------- phase 1
@@ -624,7 +624,7 @@ def q_dom_tail(spark, sf):
 
 @reg("status_counts", S + "SELECT district_match_status, count(*) AS n FROM iqr GROUP BY 1")
 def q_status_counts(spark, sf):
-    return outliers.status_counts(P.sold(spark, sf).iqr)
+    return outliers.status_counts(P.sold(spark, sf).enriched)
 
 
 @reg("fence_rates_both", B + ", " + _fences_sql(C.IQR_FIELDS, [], "districted") + ", "
@@ -666,30 +666,28 @@ def q_new_listings(spark, sf):
 SELECT {_M.format(d='CloseDate')} AS month, count(ClosePrice) AS closed_sales FROM iqr
 WHERE CloseDate IS NOT NULL GROUP BY 1""")
 def q_closed_sales(spark, sf):
-    return dashboard.closed_sales(P.sold(spark, sf).iqr)
+    return dashboard.closed_sales(P.sold(spark, sf).metrics)
 
 
 @reg("rates_and_market", S + f"""
 SELECT {_M.format(d='CloseDate')} AS month, round(quantile_cont(ClosePrice, 0.5), 6) AS median_close_price,
   round(avg(rate_30yr_fixed), 6) AS avg_rate FROM iqr WHERE CloseDate IS NOT NULL GROUP BY 1""")
 def q_rates_and_market(spark, sf):
-    return rnd(dashboard.rates_and_market(P.sold(spark, sf).iqr, accuracy=ACC), "median_close_price", "avg_rate")
+    return rnd(dashboard.rates_and_market(P.sold(spark, sf).market_stage, accuracy=ACC), "median_close_price", "avg_rate")
 
 
 @reg("filter_members", S + "\n UNION ".join(
     f"SELECT DISTINCT '{d}' AS dimension, CAST({d} AS VARCHAR) AS member FROM iqr WHERE {d} IS NOT NULL"
     for d in C.FILTER_DIMS))
 def q_filter_members(spark, sf):
-    return dashboard.filter_members(P.sold(spark, sf).iqr)
-
-
+    return dashboard.filter_members(P.sold(spark, sf).metrics)
 
 
 @reg("dashboard_filtered", S + f"""
 SELECT {_M.format(d='CloseDate')} AS month, round(quantile_cont(ClosePrice, 0.5), 6) AS median_close_price FROM iqr
 WHERE CountyOrParish IN ('NATION_1', 'NATION_2', 'NATION_3') AND PropertySubType IN ('MEDIUM', 'LARGE') AND CloseDate IS NOT NULL GROUP BY 1""")
 def q_dashboard_filtered(spark, sf):
-    return rnd(dashboard.monthly_median_price(P.sold(spark, sf).iqr, FILTERS, accuracy=ACC), "median_close_price")
+    return rnd(dashboard.monthly_median_price(P.sold(spark, sf).market_stage, FILTERS, accuracy=ACC), "median_close_price")
 
 
 @reg("extract_sold", S + """

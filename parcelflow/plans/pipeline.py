@@ -75,6 +75,12 @@ class Stages:
     def metrics(self) -> DataFrame:
         return metrics.engineer_metrics(self.clean)
 
+    @cached_property
+    def market_stage(self) -> DataFrame:
+        """The clean rows' columns of the monthly medians, which read them in
+        several passes; neither districts nor fences are needed for them."""
+        return cut_lineage(self.metrics.select("CloseDate", "ClosePrice", "rate_30yr_fixed", *C.FILTER_DIMS))
+
     @cached_property
     def boundaries(self) -> DataFrame:
         return spatial.polygons_from_vertices(standin.district_vertices(self.spark, self.sf_dir))

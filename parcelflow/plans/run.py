@@ -12,9 +12,10 @@ fence rows) is read back to the driver.
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelflow import config as C
 from parcelflow.operators import contracts, dashboard, metrics, outliers, quality, rates, shape, spatial
@@ -22,6 +23,12 @@ from parcelflow.sources import monthly, sinks
 from parcelflow.sources.side import read_geojson_polygons, read_rate_csv
 
 PREFIX = {"sold": "Sold", "listings": "Listing"}
+#: Contracts that a run evaluates.
+CHECKS = ("month_gaps", "rates", "flagged_schema", "single_type", "row_anchor", "row_conservation", "outlier_share")
+
+
+class ContractError(ValueError):
+    """A data contract that must hold does not."""
 
 
 def _table(df: DataFrame, path: str) -> DataFrame:
@@ -31,7 +38,10 @@ def _table(df: DataFrame, path: str) -> DataFrame:
 
 def run_pipeline(spark: SparkSession, *, dataset: str, dirs: Sequence[str], rate_csv: str,
                  boundaries: str, out_dir: str, months: tuple[str, str] | None = None,
-                 boundaries_in_3857: bool = True, params: C.Params = C.DEFAULT) -> dict[str, str]:
+                 boundaries_in_3857: bool = True, params: C.Params = C.DEFAULT, expected_rows: int | None = None,
+                 strict: Collection[str] = CHECKS) -> dict[str, str]:
+    """``expected_rows`` anchors the Residential rows; a check named in
+    ``strict`` that fails stops the run, any other is only reported."""
     out = os.path.join(out_dir, dataset)
     paths: dict[str, str] = {}
 
@@ -40,9 +50,16 @@ def run_pipeline(spark: SparkSession, *, dataset: str, dirs: Sequence[str], rate
         sinks.write_small_table(df, p)
         paths[name] = p
 
+    def check(name: str, df: DataFrame, failed: str = "NOT coalesce(ok, false)") -> None:
+        report(name, df)
+        rows = df.where(failed).limit(10).collect()
+        if rows and name in strict:
+            raise ContractError(f"{dataset}: check {name!r} failed: {[r.asDict() for r in rows]}")
+
     files = monthly.list_monthly_files(spark, dirs, PREFIX[dataset])
-    if months is not None:
-        report("month_gaps", contracts.month_gaps(files, "yyyymm", *months))
+    if months is None:  # the files themselves must be a gapless range
+        months = files.agg(F.min("yyyymm"), F.max("yyyymm")).first()
+    check("month_gaps", contracts.month_gaps(files, "yyyymm", *months), failed="true")
     raw = monthly.read_monthly(spark, files)
     report("null_report", shape.null_report(raw))
     report("column_drop", shape.column_drop_report(raw))
@@ -51,10 +68,16 @@ def run_pipeline(spark: SparkSession, *, dataset: str, dirs: Sequence[str], rate
     monthly_rate = rates.monthly_rates(read_rate_csv(spark, rate_csv))
     rated = rates.rate_join(reduced, monthly_rate, C.JOIN_KEYS[dataset])
     report("rate_unmatched", rates.rate_unmatched(rated))
+    check("rates", contracts.no_nulls(rated, "rate_30yr_fixed"))
 
     flagged = _table(quality.add_flags(quality.type_convert(rated), params), os.path.join(out, "flagged"))
     paths["flagged"] = os.path.join(out, "flagged")
+    check("flagged_schema", contracts.schema_contract(spark, rated, flagged, len(C.ALL_FLAGS), C.ALL_FLAGS))
+    check("single_type", contracts.single_value(flagged, "PropertyType"))
+    if expected_rows is not None:
+        check("row_anchor", contracts.expect_rows(flagged, expected_rows, "residential_rows"))
     clean = quality.clean_view(flagged)
+    check("row_conservation", contracts.row_conservation(flagged, clean, "hard_invalid_flag"))
     report("flag_summary", quality.flag_summary(flagged))
     report("clean_summary", quality.clean_summary(flagged))
 
@@ -74,6 +97,7 @@ def run_pipeline(spark: SparkSession, *, dataset: str, dirs: Sequence[str], rate
     iqr = _table(outliers.iqr_flags(enriched, fences=fences, accuracy=params.quantile_accuracy),
                  os.path.join(out, "iqr_flagged"))
     paths["iqr_flagged"] = os.path.join(out, "iqr_flagged")
+    check("outlier_share", outliers.iqr_share(iqr), failed="NOT coalesce(in_band, false)")
     paths["iqr_filtered"] = os.path.join(out, "iqr_filtered")
     outliers.iqr_filtered(iqr).write.mode("overwrite").parquet(paths["iqr_filtered"])
     report("iqr_comparison", outliers.iqr_comparison(iqr, accuracy=params.quantile_accuracy))
@@ -89,5 +113,4 @@ def run_pipeline(spark: SparkSession, *, dataset: str, dirs: Sequence[str], rate
         report("sheet_rates_and_market", dashboard.rates_and_market(iqr, accuracy=params.quantile_accuracy))
     else:
         report("sheet_new_listings", dashboard.new_listings(ext))
-    report("row_conservation", contracts.row_conservation(flagged, clean, "hard_invalid_flag"))
     return paths

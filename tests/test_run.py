@@ -1,18 +1,21 @@
 import os
 
+import pytest
 from test_sources import _write
 from test_spatial import _geojson
 
-from parcelflow.plans.run import run_pipeline
+from parcelflow.plans.run import ContractError, run_pipeline
 
 HEAD = ("ListingKey,PropertyType,ClosePrice,OriginalListPrice,ListPrice,LivingArea,DaysOnMarket,"
         "CloseDate,ListingContractDate,PurchaseContractDate,Latitude,Longitude,CountyOrParish,City,"
         "PostalCode,PropertySubType,MLSAreaMajor,ListOfficeName,BuyerOfficeName,BedroomsTotal,"
         "BathroomsTotalInteger,YearBuilt,Extra\n")
+RATES = "observation_date,MORTGAGE30US\n2023-12-07,7.0\n2024-01-04,6.6\n2024-01-11,6.7\n2024-02-01,6.6\n"
 
 
-def test_end_to_end(spark, tmpdir_path):
-    d = os.path.join(tmpdir_path, "landing")
+def landed(folder: str, rates: str = RATES) -> dict:
+    """Two monthly files, a rate file and boundaries, as arguments of a run."""
+    d = os.path.join(folder, "landing")
     rows1 = "".join(f"{i},Residential,{500000 + 1000 * i},{510000 + 900 * i},{505000 + 900 * i},{1500 + i},"
                     f"{10 + i % 30},2024-01-{1 + i % 28:02d},2023-12-01,2023-12-20,34.{i % 9 + 1},-119.{i % 9 + 1},"
                     f"Orange,Irvine,92618.0,SingleFamilyResidence,OC,Office A,Office B,3,2,1990,x\n" for i in range(60))
@@ -21,12 +24,15 @@ def test_end_to_end(spark, tmpdir_path):
                     for i in range(20))
     _write(f"{d}/CRMLSSold202401.csv", HEAD + rows1 + "999,Land,1,1,1,1,1,2024-01-02,2024-01-01,,,,,,,,,,,,,,z\n")
     _write(f"{d}/CRMLSSold202402.csv", HEAD + rows2)
-    rate = os.path.join(tmpdir_path, "rates.csv")
-    _write(rate, "observation_date,MORTGAGE30US\n2023-12-07,7.0\n2024-01-04,6.6\n2024-01-11,6.7\n2024-02-01,6.6\n")
-    geo = os.path.join(tmpdir_path, "d.geojson")
+    rate = os.path.join(folder, "rates.csv")
+    _write(rate, rates)
+    geo = os.path.join(folder, "d.geojson")
     _geojson(geo)
-    paths = run_pipeline(spark, dataset="sold", dirs=[d], rate_csv=rate, boundaries=geo,
-                         out_dir=os.path.join(tmpdir_path, "out"), months=("202401", "202402"))
+    return {"dataset": "sold", "dirs": [d], "rate_csv": rate, "boundaries": geo, "out_dir": os.path.join(folder, "out")}
+
+
+def test_end_to_end(spark, tmpdir_path):
+    paths = run_pipeline(spark, **landed(tmpdir_path), months=("202401", "202402"), expected_rows=80)
     flagged = spark.read.parquet(paths["flagged"])
     assert flagged.count() == 80  # the Land row is filtered out, nothing else dropped
     assert flagged.where("rate_30yr_fixed IS NULL").count() == 0
@@ -34,5 +40,16 @@ def test_end_to_end(spark, tmpdir_path):
     assert enriched.where("DistrictName = 'Square'").count() > 0
     assert int(paths["extract_rows"]) == spark.read.parquet(paths["iqr_flagged"]).count()
     assert spark.read.option("header", True).csv(paths["month_gaps"]).count() == 0
-    cons = spark.read.option("header", True).csv(paths["row_conservation"]).first()
-    assert cons.ok == "true"
+    for name in ("row_conservation", "row_anchor", "rates", "single_type"):
+        assert spark.read.option("header", True).csv(paths[name]).first().ok == "true", name
+    assert spark.read.option("header", True).csv(paths["outlier_share"]).first().in_band == "true"
+
+
+@pytest.mark.parametrize("name,rates,more", [
+    ("month_gaps", RATES, {"months": ("202401", "202403")}),
+    ("rates", RATES.replace("2024-02-01", "2024-03-01"), {}),
+    ("row_anchor", RATES, {"expected_rows": 81}),
+])
+def test_failed_contract_stops_the_run(spark, tmpdir_path, name, rates, more):
+    with pytest.raises(ContractError, match=name):
+        run_pipeline(spark, **landed(tmpdir_path, rates), **more)
