@@ -37,13 +37,12 @@ def components(links: DataFrame) -> DataFrame:
     """(node, component) of every node of ``links(a, b)``; the component is the
     smallest node reachable.
 
-    Alternating large-star and small-star rounds: every round is two
-    pre-aggregated minima and two joins, its edges are staged as Parquet, and
-    nothing but two totals reaches the driver. A hub's rows are split by the
-    skew join."""
+    Alternating large-star and small-star rounds until the edges are stars,
+    which one grouping tells; a round is two pre-aggregated minima and two
+    joins, its edges are staged as Parquet, and nothing but a count reaches the
+    driver. A hub's rows are split by the skew join."""
     edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    before = None
-    while True:
+    while not _stars(edges):
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -51,9 +50,14 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = staged(small.union(low.select("u", "m")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "small-star")
-        now = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
-        if now == before:
-            break
-        before = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node is either a smallest node or has one edge, to such a
+    node; holds for no edges."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.agg(F.count_if((F.col("up") > 1) | ((F.col("up") == 1) & (F.col("down") == 1)))).first()[0] == 0
