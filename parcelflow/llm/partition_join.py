@@ -39,8 +39,9 @@ join components. So no link between components is lost.
 Defined results: a null text is an empty one; texts without words have an empty
 set, link with nothing and are their own component; a row without an id takes
 part in no link and has a null component; rows that repeat an id are one node,
-which has the links of each of its texts. Other columns are ignored, or kept by
-``keep_one``; an empty table gives an empty table.
+which has the links of each of its texts; ``keep_one`` judges each row by itself.
+Other columns are ignored, or kept by ``keep_one``; an empty table gives an empty
+table.
 """
 
 from __future__ import annotations
@@ -65,6 +66,7 @@ PAIRS_PER_ROW = 4
 #: Bounds of a block in a crowd.
 BLOCK_SETS, BLOCK_ELEMENTS = 2000, 1_500_000
 _COLUMNS = 4096
+_LONG = (1 << 63) - 1
 
 
 class Bands:
@@ -450,10 +452,50 @@ def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90,
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
 
 
+def _row_nodes(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose id no other row has, which are their own nodes, and the
+    rows with a null or repeated id, staged with a node each in ``_keep_node``
+    beyond the ids of the others; None if there are none."""
+    doc_id = F.col(id_col).cast("long")
+    several = staged(docs.groupBy(doc_id.alias("_several")).agg(F.count("*").alias("c")).where("_several is null or c > 1").select("_several"), "several")
+    n = several.count()
+    if not n:
+        return docs, None
+    same = doc_id.eqNullSafe(F.col("_several"))
+    plain = docs.join(keyed(several, n), same, "left_anti")
+    odd = staged(docs.join(keyed(several, n), same, "left_semi").withColumn("_keep_node", F.monotonically_increasing_id()), "odd-rows")
+    low, high = plain.agg(F.min(doc_id), F.max(doc_id)).first()
+    top = odd.agg(F.max("_keep_node")).first()[0]
+    if high is None or high < _LONG - top:
+        base = 0 if high is None else high + 1
+    elif low >= top - _LONG:
+        base = low - 1 - top
+    else:  # ids at both ends of the range leave no room: every row gets a node
+        return docs.where("false"), staged(docs.withColumn("_keep_node", F.monotonically_increasing_id()), "odd-rows")
+    return plain, odd.withColumn("_keep_node", F.col("_keep_node") + F.lit(base).cast("long"))
+
+
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of each component the rows of the smallest id, with all their columns,
-    repeated rows once; rows without an id or without words all stay."""
-    comp = similarity_components(docs, shingle, percent, id_col, text_col).where("doc_id <> component_id").select(
-        F.col("doc_id").alias("_gone")).distinct()
-    comp = staged(comp, "gone")
-    return docs.join(keyed(comp, comp.count()), F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """Of each component one row, with all its columns: that of the smallest id.
+
+    Rows are judged, not ids: a repeated row stays once, copies without an id go
+    for one that has an id (or for one of them), and of rows that share an id
+    each is judged by its own text. Rows without words link with nothing and all
+    stay."""
+    plain, odd = _row_nodes(docs, id_col)
+    doc_id = F.col(id_col).cast("long")
+    if odd is None:
+        gone = similarity_components(docs, shingle, percent, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    else:
+        nodes = plain.select(doc_id.alias("node"), F.col(text_col).alias("text")).union(odd.select("_keep_node", text_col))
+        comp = staged(similarity_components(nodes, shingle, percent, "node", "text").select(F.col("doc_id").alias("node"), "component_id"), "row-components")
+        # rows with an id come first, by id; a row alone with its id is its node
+        own = odd.select(F.col("_keep_node").alias("node"), F.lit(1).alias("odd"), doc_id.alias("own"), F.xxhash64(text_col).alias("hash"))
+        real = F.when(F.col("odd").isNull(), F.col("node")).otherwise(F.col("own"))
+        ranked = comp.join(own, "node", "left").select("node", "component_id", F.struct(real.isNull().alias("none"), real.alias("id"), F.coalesce("hash", F.lit(0)).alias("hash"), "node").alias("rank"))
+        first = ranked.groupBy("component_id").agg(F.min("rank").alias("first"))
+        gone = comp.join(first, "component_id").where("node <> first.node").select(F.col("node").alias("_gone"))
+    gone = staged(gone.distinct(), "gone")
+    gone = keyed(gone, gone.count())
+    kept = plain.join(gone, doc_id == F.col("_gone"), "left_anti")
+    return kept if odd is None else kept.union(odd.join(gone, F.col("_keep_node") == F.col("_gone"), "left_anti").drop("_keep_node"))

@@ -110,6 +110,34 @@ def test_similarity_join_empty(spark):
     assert partition_join.similarity_components(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("far", [[], [(1 << 63) - 1], [(1 << 63) - 1, -(1 << 63)]])
+def test_keep_one_judges_rows(spark, far):
+    """Repeated, conflicting and null ids: one row a component, by id."""
+    rng = random.Random(8)
+    a, b, c, d, e, f = (prose(rng, 80) for _ in range(6))
+    rows = [(5, a)] * 40 + [(None, a)] * 3  # a repeated row and copies without an id
+    rows += [(None, b)] * 4 + [(None, None), (None, ""), (None, "")]
+    rows += [(3, c), (7, c + " tail"), (7, d)]  # an id with a near and a clean text
+    rows += [(9, e), (9, e + " end"), (8, e)] + [(11, f)] + [(100 + i, prose(rng, 60)) for i in range(5)]
+    rows += [(i, prose(rng, 60)) for i in far]
+    rng.shuffle(rows)
+    got = partition_join.keep_one(frame(spark, rows))
+    assert got.schema.names == frame(spark, rows).schema.names
+    kept = [(5, a), (None, b), (None, None), (None, ""), (None, ""), (3, c), (7, d), (8, e), (11, f)] + [r for r in rows if r[0] and (r[0] >= 100 or r[0] < 0)]
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(kept)
+
+
+def test_keep_one_odd_rows(spark):
+    """Rows as nodes against brute force."""
+    rows = odd_rows()
+    best = {}
+    for (i, x), ((node, n, comp), _) in zip(rows, sorted(join_brute(list(enumerate(x for _, x in rows)), 5, 80).items()), strict=True):
+        key = comp if n else ("alone", node)
+        best[key] = min(best.get(key, (True, 0)), (i is None, i or 0))
+    got = Counter((r.doc_id is None, r.doc_id or 0) for r in partition_join.keep_one(frame(spark, rows)).collect())
+    assert got == Counter(best.values())
+
+
 def test_signatures_miss_no_pair():
     """Random pairs just within the bound share a signature at every size."""
     rng = np.random.default_rng(9)
