@@ -1,9 +1,9 @@
 """Benchmark decontamination by greedy string tiling.
 
-Seeds are runs of five words (a shorter item is its own seed). A document that
-shares a seed with an item is tiled against it: the longest runs of words that
-both have, not overlapping earlier ones, are marked again and again, found by
-running Karp-Rabin hashes at falling search lengths. Tiles may stand in any
+Seeds are runs of as many words as the least tile has (a shorter item is its own
+seed), so no pair that tiles could cover is missed. A document whose seeds touch
+enough of an item's words is tiled against it: the longest runs of words that both
+have, not overlapping earlier ones, are marked again and again, found by running Karp-Rabin hashes at falling search lengths. Tiles may stand in any
 order in the document, so reordered passages still cover the item; a pair is a
 leak when its tiles cover at least ``coverage`` of the item's words.
 
@@ -11,7 +11,8 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` with A-Z lower-cased.
 
 The seeds join runs as a lookup in a broadcast seed table while the benchmark's
 text is at most ``BROADCAST_BYTES``, else as a shuffled join; both give the same
-pairs.
+pairs. Tiles lie within the words that seeds touch, so pairs whose seeds touch less
+than ``coverage`` of the item are dropped before they are tiled.
 
 Defined results: a null text on either side is an empty one; items without words
 match nothing; each input row is judged by its own text, so repeated rows are
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.llm import textspans as T
 
-SEED = 5
 LEAST_TILE = 3
+SEED = LEAST_TILE
 COVERAGE = 0.8
 BROADCAST_BYTES = 16 << 20
 
@@ -85,33 +86,42 @@ def tile(item: np.ndarray, text: np.ndarray, least: int = LEAST_TILE) -> list[tu
 class Items:
     """A benchmark as word hashes, with its seeds sorted for lookups."""
 
-    def __init__(self, rows: list[tuple[int, str | None]], seed: int):
+    def __init__(self, rows: list[tuple[int, str | None]], seed: int, coverage: float):
         self.ids = [r[0] for r in rows]
         words = T.Words(T.lowered((buf := T.text_buffer(pa.array([r[1] for r in rows], pa.string())))[0]), buf[1], T.LETTERS)
         h = words.hashes()
         self.codes = [h[a:b] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+        self.needed, self.doc = coverage * words.counts, words.doc
         self.seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        made: dict[int, list] = {}
-        for i, c in enumerate(self.codes):
-            if len(c):
-                k = min(seed, len(c))
-                made.setdefault(k, []).append((T.gram_hash(c, k), np.full(len(c) - k + 1, i)))
-        for k, parts in made.items():
-            g, i = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.argsort(g, kind="stable")
-            self.seeds[k] = g[order], i[order]
-
-    def candidates(self, words: T.Words, h: np.ndarray) -> dict[int, set[int]]:
-        """Items that share a seed with each text of the piece."""
-        out: dict[int, set[int]] = {}
         left = words.left()
-        for k, (grams, items) in self.seeds.items():
+        for k in range(1, seed + 1):
+            g = T.gram_hash(h, k)
+            at = np.flatnonzero((left[: len(g)] >= k) & (np.minimum(words.counts[words.doc[: len(g)]], seed) == k))
+            if len(at):
+                at = at[np.argsort(g[at], kind="stable")]
+                self.seeds[k] = g[at], at
+
+    def candidates(self, words: T.Words, h: np.ndarray) -> dict[int, list[int]]:
+        """Items of which each text of the piece has seeds that touch enough
+        words."""
+        out: dict[int, list[int]] = {}
+        left = words.left()
+        for k, (grams, place) in self.seeds.items():
             g = T.gram_hash(h, k)
-            g = g[: len(h)]
             hit = np.flatnonzero(_among(g, grams) & (left[: len(g)] >= k))
-            for at in hit.tolist():
-                a, b = np.searchsorted(grams, g[at], "left"), np.searchsorted(grams, g[at], "right")
-                out.setdefault(int(words.doc[at]), set()).update(items[a:b].tolist())
+            doc = words.doc[hit]
+            for at in np.split(hit, np.flatnonzero(np.diff(doc)) + 1) if len(hit) else ():
+                found = np.unique(g[at])
+                low, high = np.searchsorted(grams, found, "left"), np.searchsorted(grams, found, "right")
+                n = high - low
+                start = np.sort(place[np.arange(n.sum()) + np.repeat(low - np.cumsum(n) + n, n)])
+                item = self.doc[start]
+                touched = np.full(len(start), k)  # by each run, up to the next one's start
+                touched[:-1] = np.where(item[1:] == item[:-1], np.minimum(np.diff(start), k), k)
+                first = np.flatnonzero(np.diff(item, prepend=-1))
+                enough = np.add.reduceat(touched, first) >= self.needed[item[first]]
+                if enough.any():
+                    out.setdefault(int(words.doc[at[0]]), []).extend(item[first][enough].tolist())
         return out
 
 
@@ -140,8 +150,9 @@ def _small(benchmark: DataFrame) -> list[tuple[int, str | None]] | None:
     return [(r.item_id, r.text) for r in benchmark.orderBy("item_id", "text").collect()] if size <= BROADCAST_BYTES else None
 
 
-def _pairs(docs: DataFrame, benchmark: DataFrame, seed: int) -> DataFrame:
-    """(text_key, item_id, item_text) by a shuffled join on seeds."""
+def _pairs(docs: DataFrame, benchmark: DataFrame, seed: int, coverage: float) -> DataFrame:
+    """(text_key, item_id) by a shuffled join on seeds; a pair has runs enough
+    to touch ``coverage`` of the item."""
 
     def grams(name: str, short: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,12 +166,15 @@ def _pairs(docs: DataFrame, benchmark: DataFrame, seed: int) -> DataFrame:
                     if short and k < seed:  # an item's seed is shorter only if the item is
                         at = at[words.counts[words.doc[at]] == k]
                     yield pa.RecordBatch.from_arrays(
-                        [piece.column(name).take(pa.array(words.doc[at])), pa.array(T.signed(T.mix64(g[at] + np.uint64(k))))], names=[name, "seed"])
+                        [piece.column(name).take(pa.array(words.doc[at])), pa.array(T.signed(T.mix64(g[at] + np.uint64(k)))),
+                         pa.array(words.counts[words.doc[at]], pa.int64())], names=[name, "seed", "n"])
         return run
 
-    items = benchmark.select("item_id", "text").mapInArrow(grams("item_id", True), "item_id long, seed long").distinct()
-    texts = docs.select("text_key", "text").mapInArrow(grams("text_key", False), "text_key long, seed long").distinct()
-    return texts.join(items, "seed").select("text_key", "item_id").distinct()
+    items = benchmark.select("item_id", "text").mapInArrow(grams("item_id", True), "item_id long, seed long, n long").groupBy("item_id", "seed", "n").agg(
+        F.count("*").alias("c"))
+    texts = docs.select("text_key", "text").mapInArrow(grams("text_key", False), "text_key long, seed long, n long").select("text_key", "seed").distinct()
+    return (texts.join(items, "seed").groupBy("text_key", "item_id", "n").agg(F.sum("c").alias("c")).where(F.col("c") * seed >= F.lit(coverage) * F.col("n"))
+            .select("text_key", "item_id").distinct())
 
 
 def _normal(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -173,6 +187,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     """One row per leaking (document, item); ``tiles`` lists item start:text
     start:length in words."""
     docs, benchmark = _normal(docs, benchmark, id_col, text_col)
+    seed = min(seed, least)
     rows = _small(benchmark)
 
     def batch(out: list) -> pa.RecordBatch:
@@ -186,7 +201,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 
     if rows is not None:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = Items(rows, seed)
+            items = Items(rows, seed, coverage)
             for piece in T.pieces(batches):
                 ids = piece.column("doc_id")
                 out = [report(ids[d].as_py(), items, i, covered, tiles) for d, i, covered, tiles in _leaks(piece.column("text"), items, coverage, least)]
@@ -199,13 +214,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
         for piece in T.pieces(batches):
             out = []
             for doc, text, item, wording in zip(*(piece.column(c).to_pylist() for c in ("doc_id", "text", "item_id", "wording")), strict=True):
-                items = Items([(item, wording)], seed)
+                items = Items([(item, wording)], seed, coverage)
                 out += [report(doc, items, i, covered, tiles) for _, i, covered, tiles in _leaks(pa.array([text], pa.string()), items, coverage, least)]
             if out:
                 yield batch(out)
 
     keyed = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    pairs = _pairs(keyed, benchmark, seed)
+    pairs = _pairs(keyed, benchmark, seed, coverage)
     return (keyed.join(pairs, "text_key").join(benchmark.withColumnRenamed("text", "wording"), "item_id")
             .select("doc_id", "text", "item_id", "wording").mapInArrow(verify, SCHEMA))
 
@@ -217,7 +232,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     rows = _small(benchmark)
     if rows is not None:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = Items(rows, seed)
+            items = Items(rows, min(seed, least), coverage)
             for piece in T.pieces(batches, text_col):
                 keep = np.ones(piece.num_rows, bool)
                 for d, *_ in _leaks(piece.column(text_col), items, coverage, least):

@@ -155,6 +155,23 @@ def test_leaks(spark, monkeypatch):
     assert tiling.find_leaks(docs, bench.where("false")).count() == 0 and tiling.find_leaks(docs.where("false"), bench).count() == 0
 
 
+def test_leaks_reordered_in_short_blocks(spark, monkeypatch):
+    """Passages in blocks of three and four words, and with every fifth word
+    replaced, share no run of five words with their item."""
+    items = [(i, " ".join(f"{'abc'[i]}{chr(97 + j // 26)}{chr(97 + j % 26)}" for j in range(60))) for i in range(3)]
+    words = [x.split() for _, x in items]
+    three = [words[0][i : i + 3] for i in range(0, 60, 3)][::-1]
+    four = [words[1][i : i + 4] for i in range(0, 60, 4)][::-1]
+    fifth = [w if i % 5 < 4 else f"new{w}" for i, w in enumerate(words[2])]
+    pair = [words[0][i : i + 2] for i in range(0, 60, 2)][::-1]  # below the least tile
+    rows = [(1, "x y " + " ".join(sum(three, [])) + " z"), (2, " ".join(sum(four, []))), (3, " ".join(fifth)), (4, " ".join(sum(pair, []))), (5, " ".join(words[0][:47]))]
+    docs, bench = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    for size in (tiling.BROADCAST_BYTES, -1):
+        monkeypatch.setattr(tiling, "BROADCAST_BYTES", size)
+        assert {(r.doc_id, r.item_id, r.covered) for r in tiling.find_leaks(docs, bench).collect()} == {(1, 0, 60), (2, 1, 60), (3, 2, 48)}
+        assert {r.doc_id for r in tiling.decontaminate(docs, bench).collect()} == {4, 5}
+
+
 PII = ("born 1990-02-28, 3/14/2001, 28.02.1999 SSN 123-45-6789 IBAN DE89370400440532013000 card 4111 1111 1111 1111 and 4111111111111111 "
        "tel +49 30 901820 (212) 555-0100 ip 8.8.8.8 mail joe.smith7@corp.example.org then +1 (826) 555-4081 190.137.223.204")
 
