@@ -14,9 +14,11 @@ or grouped), ``ip`` (four octets), ``date`` (calendar days of 1900 to 2099), ``s
 
 Defined results: a null text stays null and has no values; an empty text stays
 empty; each input row gives one row; a text without a valid value is unchanged;
-other columns are ignored; an empty table gives an empty table. A permutation
-may leave a value of a small domain as it is; domains under 100 are not touched
-(an address with a one-letter local part keeps it).
+other columns are ignored; an empty table gives an empty table. Domains under
+100 (an address with a one-letter local part) are permuted without a fixed point;
+a permutation may leave a value of a larger one as it is, and an address whose
+local part has no letter or digit has no other form. Such values keep their place
+from later kinds, but aren't reported: what is counted was replaced.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ from parcelflow.llm import textspans as T
 ROUNDS = 10
 _DAY0 = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _DAY0
-_LEAST_DOMAIN = 100
+_SMALL_DOMAIN = 100
 
 
 def permute(value: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
@@ -66,6 +68,13 @@ _ALPHABETS = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTU
 _CLASS = {c: a for a in _ALPHABETS for c in a}
 
 
+def displace(value: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
+    """A keyed permutation of 0..size-1 that leaves no value in its place: the
+    next value in a keyed order."""
+    place = permute(value, size, key, tweak)
+    return permute((place + (-1 if back else 1)) % size, size, key, tweak, True)
+
+
 def permute_characters(text: str, key: bytes, kind: str, back: bool = False) -> str:
     """Letters and digits permuted jointly, each within its class; all other
     characters, and so the format, stay."""
@@ -74,9 +83,9 @@ def permute_characters(text: str, key: bytes, kind: str, back: bool = False) ->
         if a := _CLASS.get(c):
             value, size = value * len(a) + a.index(c), size * len(a)
         form.append(a[0] if a else c)
-    if size < _LEAST_DOMAIN:
+    if size == 1:
         return text
-    value, out = permute(value, size, key, kind + "".join(form), back), []
+    value, out = (displace if size < _SMALL_DOMAIN else permute)(value, size, key, kind + "".join(form), back), []
     for c in reversed(text):
         if a := _CLASS.get(c):
             value, at = divmod(value, len(a))
@@ -191,7 +200,7 @@ _DIGIT = re.compile("[0-9]")
 
 
 def find_values(text: str, key: bytes, back: bool = False) -> list[tuple[str, int, int, str]]:
-    """(kind, start, end, pseudonym) of all valid values by start; a stretch
+    """(kind, start, end, pseudonym) of all replaced values by start; a stretch
     claimed by one kind is blank for the later ones."""
     has_digit, found, left = bool(_DIGIT.search(text)), [], text
     for kind, sign, pattern, replace in KINDS:
@@ -203,7 +212,7 @@ def find_values(text: str, key: bytes, back: bool = False) -> list[tuple[str, in
             for _, s, e, _ in reversed(taken):
                 left = left[:s] + "\0" * (e - s) + left[e:]
             found += taken
-    return sorted(found, key=lambda x: x[1])
+    return sorted((x for x in found if x[3] != text[x[1] : x[2]]), key=lambda x: x[1])
 
 
 def pseudonymise_text(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[str, int, int, str]]]:
@@ -221,7 +230,7 @@ SCHEMA = "doc_id long, text string, n_values long, kinds string, spans string"
 
 
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: the text with pseudonyms, the number of values,
+    """One row per input row: the text with pseudonyms, the number of replaced values,
     their kinds and their places (kind:start:end, code points, in the input)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -190,6 +190,20 @@ def test_pseudonyms(spark):
     assert all(r.text == x for r, x in [(by[i], x) for i, x in rows if i in (500, 501, 502, 600)])
 
 
+def test_small_domains_are_replaced(spark):
+    key, letters = b"test key", "abcdefghijklmnopqrstuvwxyz"
+    text = " ".join(f"{c}@corp.example" for c in letters) + " 7@corp.example -@corp.example"
+    (got,) = pseudonyms.pseudonymise(frame(spark, [(1, text)]), key).collect()
+    new = got.text.split()
+    assert all(a != b for a, b in zip(text.split()[:27], new[:27], strict=True)) and new[27] == "-@corp.example"
+    assert sorted(new[:26]) == sorted(text.split()[:26]) and re.fullmatch("[0-9]@corp.example", new[26])
+    assert got.n_values == 27 == len(got.spans.split(",")) and got.kinds == "email"
+    assert pseudonyms.pseudonymise_text(got.text, key, back=True)[0] == text
+    for size in (2, 3, 10, 26, 99):
+        out = [pseudonyms.displace(i, size, key, "t") for i in range(size)]
+        assert sorted(out) == list(range(size)) and all(o != i and pseudonyms.displace(o, size, key, "t", back=True) == i for i, o in enumerate(out))
+
+
 def test_permutation_is_one_to_one():
     for size in (100, 257, 1000):
         out = [pseudonyms.permute(i, size, b"k", "t") for i in range(size)]
