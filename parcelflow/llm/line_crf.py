@@ -8,9 +8,11 @@ score, and a logistic curve fitted on the training documents maps that to the
 probability of label 1.
 
 Training: a line takes its document's label. The model is fitted on the driver
-from the line features of at most ``per_class`` labelled documents a class
-(the lowest hashes of the id) and ``train_lines`` lines a document; both bounds
-are parameters. Only rows whose crc32(doc_id as text) mod ``folds`` is not 0 are
+from all lines of at most ``per_class`` labelled documents a class (the lowest
+hashes of the id), fewer where their lines come to ``train_lines`` in the class;
+the document that reaches that bound is the last. Both bounds are parameters.
+While the chain's weights are fitted, a document of over ``CHAIN_LINES`` lines
+counts as several chains. Only rows whose crc32(doc_id as text) mod ``folds`` is not 0 are
 used. Labels, lang, source and doc_id are never inputs of a score.
 
 Defined results: a null text is an empty one; an empty text is one empty line,
@@ -33,11 +35,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm import textspans as T
+from parcelflow.llm.frames import staged
 
 THRESHOLD = 0.3
 FOLDS = 5
 PER_CLASS = 3000
-TRAIN_LINES = 64
+#: Lines of the training documents of a class.
+TRAIN_LINES = 64 * PER_CLASS
+#: Lines of a chain up to which the fit follows it.
+CHAIN_LINES = 1000
 
 _CLASSES = {
     "upper": T.byte_table((65, 90)), "lower": T.byte_table((97, 122)), "digit": T.byte_table((48, 57)),
@@ -159,8 +165,9 @@ def fit(x: np.ndarray, size: np.ndarray, first: np.ndarray, label: np.ndarray, c
     """Maximise the chain likelihood (L2-penalised) by Adam, then fit the
     logistic curve with documents weighted to the labelled rows' class share."""
     y = np.repeat(label, np.diff(first)).astype(np.float64)
+    chains = np.append(np.concatenate([np.arange(a, b, CHAIN_LINES) for a, b in zip(first[:-1], first[1:], strict=True)]), first[-1])
     inner = np.ones(len(x), bool)
-    inner[first[:-1]] = False
+    inner[chains[:-1]] = False
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[np.flatnonzero(inner) - 1].astype(int), y[inner].astype(int)), 1)
     model = Crf(np.zeros(x.shape[1]), np.zeros((2, 2)))
@@ -168,7 +175,7 @@ def fit(x: np.ndarray, size: np.ndarray, first: np.ndarray, label: np.ndarray, c
     m, v = np.zeros_like(params), np.zeros_like(params)
     scale = 1 / len(x)
     for step in range(1, steps + 1):
-        good, jumps = model.marginals(x, first)
+        good, jumps = model.marginals(x, chains)
         grad = np.concatenate([x.T @ (y - good), (seen - jumps).ravel()]) * scale - 1e-4 * params
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         params += 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -209,15 +216,22 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, train_
         for piece in T.pieces(batches):
             x, size, first = line_features(piece.column("text"))
             rows = []
-            for a, b in zip(first[:-1], np.minimum(first[1:], first[:-1] + train_lines), strict=True):
+            for a, b in zip(first[:-1], first[1:], strict=True):
                 rows.append((np.hstack([x[a:b], size[a:b, None]]).astype(np.float32)).tobytes())
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("quality"), pa.array(rows, pa.binary())],
-                                             names=["doc_id", "quality", "lines"])
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("quality"), pa.array(np.diff(first), pa.int64()), pa.array(rows, pa.binary())],
+                                             names=["doc_id", "quality", "n", "lines"])
 
     ids = F.broadcast(chosen)  # at most 2 * per_class rows
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id").select("doc_id", "quality", "text")
-            .mapInArrow(run, "doc_id long, quality int, lines binary")
-            .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("lines").alias("lines")).collect())
+            .mapInArrow(run, "doc_id long, quality int, n long, lines binary")
+            .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min(F.struct("lines", "n")).alias("row")).select("doc_id", "quality", "row.n", "row.lines"))
+    rows = staged(rows, "train-lines")
+    taken, total = [], {0: 0, 1: 0}
+    for r in sorted(rows.select("doc_id", "quality", "n", F.xxhash64("doc_id").alias("order")).collect(), key=lambda r: (r.order, r.doc_id)):
+        if total[r.quality] < train_lines:
+            total[r.quality] += r.n
+            taken.append((r.doc_id,))
+    rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame(taken, "doc_id long")), "doc_id").collect()
     rows.sort(key=lambda r: r.doc_id)
     label = np.array([r.quality for r in rows], np.float64)
     if len(set(label)) < 2:

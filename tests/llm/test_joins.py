@@ -308,6 +308,33 @@ def test_classifier_odd_rows(spark):
     assert line_crf.keep_good(docs, 0.5).schema == docs.schema and line_crf.keep_good(docs, 0.1).count() == 0
 
 
+def test_classifier_trains_on_all_lines(spark, monkeypatch):
+    """Bad lines that come after a hundred good ones teach the model; the
+    bound on lines leaves out documents, not parts of them."""
+    rng = random.Random(3)
+
+    def text(bad):
+        lines = [prose(rng, 8) for _ in range(100)]
+        return "\n".join(lines + (["$$ ## !! 123 @@ ||"] * 60 if bad else [prose(rng, 8) for _ in range(60)]))
+
+    docs = frame(spark, [(i, text(i % 2)) for i in range(40)])
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    seen = []
+
+    def spy(x, size, first, label, share, fit=line_crf.fit):
+        seen.append((np.diff(first).tolist(), label.tolist()))
+        return fit(x, size, first, label, share)
+
+    monkeypatch.setattr(line_crf, "fit", spy)
+    got = line_crf.score_documents(docs, line_crf.train(docs, labels)).collect()
+    assert len(got) == 40 and all(r.predicted == 1 - r.doc_id % 2 for r in got) and set(seen[0][0]) == {160}
+    line_crf.train(docs, labels, train_lines=500)
+    assert seen[1][0] == [160] * 8 and sum(seen[1][1]) == 4  # four of a class reach 500 lines
+    monkeypatch.setattr(line_crf, "CHAIN_LINES", 30)
+    got = line_crf.score_documents(docs, line_crf.train(docs, labels)).collect()
+    assert all(r.predicted == 1 - r.doc_id % 2 for r in got)
+
+
 def test_pipeline(spark):
     """Each stage against a plain version over its own input."""
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
