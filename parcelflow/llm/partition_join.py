@@ -413,9 +413,9 @@ def _near(percent: int):
 
 
 def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) of every row; the component
-    is the smallest id reachable, ``n_links`` the number of verified links of
-    the row's id that the components were made of."""
+    """(doc_id, n_shingles, component_id) of every row; the component is the
+    smallest id reachable. Links are verified only as far as components need
+    them, so a document's number of links is not known."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows = staged(index_rows(texts, shingle), "index")
@@ -446,10 +446,8 @@ def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90,
                   .union(crowded_links(left.where("not small"), texts, shingle, percent)).distinct(), "pairs")
     found = staged(same.union(found).union(verify(near, texts, shingle, percent).where("link").select("a", "b")), "found")
     comp = components(found)
-    count = found.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    return (rows.select("doc_id", F.col("n").alias("n_shingles")).join(comp, F.col("doc_id") == F.col("node"), "left").drop("node")
-            .join(count, F.col("doc_id") == F.col("node"), "left")
-            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+    return (rows.select("doc_id", F.col("n").alias("n_shingles")).join(comp, F.col("doc_id") == F.col("node"), "left")
+            .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
 
 def _row_nodes(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:

@@ -106,6 +106,13 @@ def test_similarity_join(spark, monkeypatch, shingle, percent, per_row, block):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == join_brute(rows, shingle, percent)
 
 
+def test_similarity_join_counts_no_links(spark):
+    """Links are made only as far as components need them: no column counts them."""
+    base = prose(random.Random(5), 200)
+    got = partition_join.similarity_components(frame(spark, [(i, f"{base} end{i}") for i in range(3)]))
+    assert got.columns == ["doc_id", "n_shingles", "component_id"] and {r.component_id for r in got.collect()} == {0}
+
+
 def test_similarity_join_empty(spark):
     assert partition_join.similarity_components(frame(spark, [])).count() == 0
 
