@@ -45,11 +45,48 @@ def test_licences(spark):
     label = {r.doc_id: r.labels for r in got if r.doc_id in range(1, 10) and r.n_words < 40}
     by = {i: next(r.labels for r in got if r.doc_id == i and r.n_words == license_brute(x)[0]) for i, x in LICENSED}
     assert by[1] == "mit" and by[2] == "cc-by,mit" and by[3] == "gpl,gpl-notice" and by[4] == "cc-by,cc-by-nc,reserved" and label is not None
-    assert by[5] == "" and by[6] == "cc-by,reserved" and by[7] == "" and by[8] == "reserved,reserved-notice" and by[9] == "bsd"
+    assert by[5] == "mit" and by[6] == "cc-by,reserved" and by[7] == "" and by[8] == "reserved,reserved-notice" and by[9] == "bsd"
     assert all(0 <= r.score <= 1 for r in got)
     assert license_templates.scan_licenses(frame(spark, [])).count() == 0
 
 
+NOTICES = [("Licensed under CC BY 4.0", "cc-by,cc-by-notice"), ("licensed under a CC BY-ND 4.0", "cc-by,cc-by-nd"), ("licensed under CC BY-SA", "cc-by,cc-by-sa"),
+           ("licensed under CC BY-NC-SA 4.0 here", "cc-by,cc-by-nc-sa"), ("licensed under CC BY-NC-ND", "cc-by,cc-by-nc-nd"), ("licensed under CC BY", "cc-by,cc-by-notice"),
+           ("licensed under a Creative Commons CC BY-NC", "cc-by,cc-by-nc"), ("licensed under the BSD license", "bsd"), ("Released under a 3-clause BSD License", "bsd"),
+           ("Licensed under an MIT license", "mit"), ("licensed under MIT", ""), ("licensed under a Creative Commons Attribution ShareAlike 4.0 International License", "")]
+
+
+def test_licence_names(spark):
+    got = {r.doc_id: r.labels for r in license_templates.scan_licenses(frame(spark, [(i, x) for i, (x, _) in enumerate(NOTICES)])).collect()}
+    assert [got[i] for i in range(len(NOTICES))] == [y for _, y in NOTICES]
+
+
+def test_full_licence_texts(spark):
+    """Each full text, its replaceable regions filled and its optional ones in
+    or out, is matched; without one mandatory word it is not."""
+    rng, rows, expect = random.Random(4), [], {}
+    for label, markup in license_templates.TEMPLATES:
+        if not label.endswith("-text"):
+            continue
+        for keep in (True, False):
+            text = markup if keep else re.sub(r"<<beginOptional>>.*?<<endOptional>>", " ", markup)
+            text = re.sub(r'<<var;[^>]*words="(\d+)-(\d+)">>', lambda m: " ".join(f"Any{j}" for j in range(rng.randint(int(m[1]), int(m[2])))), text)
+            text = "Intro words.\n" + re.sub(r"<<[^>]*>>", " ", text).replace(". ", ".\n * ") + "\nmore"
+            expect[len(rows)] = True
+            rows.append((len(rows), text))
+            words = [m for m in re.finditer(r"[A-Za-z]+", text) if not m[0].startswith("Any")]
+            cut = words[len(words) - 4]
+            expect[len(rows)] = False
+            rows.append((len(rows), text[: cut.start()] + "changed" + text[cut.end() :]))
+        labels = [label] * 4
+        for i, x in zip(range(len(rows) - 4, len(rows)), labels, strict=True):
+            expect[i] = (x, expect[i])
+    got = {r.doc_id: set(r.labels.split(",")) for r in license_templates.scan_licenses(frame(spark, rows)).collect()}
+    assert len({x for x, _ in expect.values()}) == 5
+    for i, (label, there) in expect.items():
+        assert (label in got[i]) == there, (label, i)
+
+
 @pytest.mark.parametrize("text,end", [("a b x d", 4), ("a b d", 3), ("a b x y d", -1), ("a d", -1), ("a b x", -1)])
 def test_template_regions(text, end):
     vocabulary = {}
