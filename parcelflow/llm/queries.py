@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import fm_dedup, license_templates, line_crf, lz_fingerprint, partition_join, pseudonyms, secret_scan, tiling, vector_packing, window_packing
+from parcelflow.llm import divergence, fm_dedup, license_templates, line_crf, lz_fingerprint, partition_join, pseudonyms, secret_scan, tiling, vector_packing, window_packing
 from parcelflow.llm.frames import documents
 
 #: Key of the pseudonyms unless the session names another one.
@@ -62,9 +62,13 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score_documents(docs, model)
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_templates, op2_benchmark_tiling, op3_secret_scan, op4_fm_dedup, op5_vector_packing,
-                            op6_pseudonyms, op7_partition_join, op8_window_packing, op9_lz_fingerprint, op10_line_crf)
+                            op6_pseudonyms, op7_partition_join, op8_window_packing, op9_lz_fingerprint, op10_line_crf, op13_source_divergence)
 }
 
 _OP4_SQL = r"""
@@ -95,7 +99,28 @@ SELECT d.doc_id, coalesce(n.c, 0)::BIGINT AS n_shingles, m.component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) m USING (doc_id)
 """
 
+_OP13_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+occ AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS c FROM occ GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(c)::HUGEINT AS n FROM kept GROUP BY lang),
+have AS (SELECT lang, source, term, count(*)::HUGEINT AS c FROM occ SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+grp AS (SELECT g.lang, g.source, coalesce(s.n, 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d) g
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM have GROUP BY lang, source) s USING (lang, source)),
+p AS (SELECT grp.lang, grp.source, kept.term, coalesce(have.c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(have.c, 0) + 2)) // (grp.n + 2 * v.v) AS p,
+    1 + (1000000000::HUGEINT * (kept.c + 2)) // (v.n + 2 * v.v) AS q
+  FROM grp JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN have ON have.lang = grp.lang AND have.source = grp.source AND have.term = kept.term),
+dist AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(dist.value, 0)::BIGINT AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN dist ON dist.lang = a.lang AND dist.source = a.source AND dist.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 #: The other operators are beyond SQL (automata, checksums, order-dependent
 #: packing, tokenizer, phrase dictionary, trained model): tests hold them against
 #: brute force, exact round trips and held-out labels.
-ORACLE: dict[str, str] = {"op4_fm_dedup": _OP4_SQL, "op7_partition_join": _OP7_SQL}
+ORACLE: dict[str, str] = {"op4_fm_dedup": _OP4_SQL, "op7_partition_join": _OP7_SQL, "op13_source_divergence": _OP13_SQL}
