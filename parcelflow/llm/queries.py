@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import divergence, fm_dedup, license_templates, line_crf, lz_fingerprint, partition_join, pseudonyms, secret_scan, tiling, vector_packing, window_packing
+from parcelflow.llm import divergence, fm_dedup, license_templates, line_crf, lz_fingerprint, partition_join, pseudonyms, secret_scan, simhash_cover, spelling, tiling, vector_packing, window_packing
 from parcelflow.llm.frames import documents
 
 #: Key of the pseudonyms unless the session names another one.
@@ -62,13 +62,21 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.score_documents(docs, model)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(documents(spark, sf_dir))
+
+
+def op12_simhash_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_cover.near_duplicates(documents(spark, sf_dir))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_templates, op2_benchmark_tiling, op3_secret_scan, op4_fm_dedup, op5_vector_packing,
-                            op6_pseudonyms, op7_partition_join, op8_window_packing, op9_lz_fingerprint, op10_line_crf, op13_source_divergence)
+                            op6_pseudonyms, op7_partition_join, op8_window_packing, op9_lz_fingerprint, op10_line_crf, op11_spelling_variants, op12_simhash_cover, op13_source_divergence)
 }
 
 _OP4_SQL = r"""
