@@ -258,9 +258,12 @@ def links(prints: DataFrame, bits: int = 3, crowd: int = CROWD) -> DataFrame:
     homes = staged(prints.select("print").distinct().mapInArrow(_homes(bits), "print long, home int"), "prints")
     # at most 1 / crowd of the fingerprints, and no more than there are anchors
     crowds = homes.groupBy("home").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).collect()
-    slots = max(1, -(-homes.count() * REPLICAS // (SALTS * BUCKET_ENTRIES)))
-    blocks = homes.select("print").mapInArrow(_replicas(bits, slots, {r.home: -(-r.n // crowd) for r in crowds}),
-                                              "bucket long, home boolean, anchors binary, prints binary")
+    replicas = homes.count() * REPLICAS
+    slots = max(1, -(-replicas // (SALTS * BUCKET_ENTRIES)))
+    # a fingerprint makes a few KB of replicas, so the few files of the prints are dealt over more tasks
+    spread = homes.select("print").repartition(max(1, -(-replicas // BUCKET_ENTRIES)), "print")
+    blocks = spread.mapInArrow(_replicas(bits, slots, {r.home: -(-r.n // crowd) for r in crowds}),
+                               "bucket long, home boolean, anchors binary, prints binary")
     return blocks.groupBy("bucket").applyInArrow(_compare(bits), "a long, b long")
 
 
