@@ -2,14 +2,16 @@
 consolidation (S1, S2, S3, F13, G1, G2, G3, G23, G26, U1).
 
 The file *list* is a DataFrame too (``binaryFile`` without its content
-column, so no file body is read). Each distinct header is read by one
-multi-file CSV scan; the groups are then unioned by name, because one scan
-over files with different column orders would map columns by position.
+column, so no file body is read). Bodies are read by byte ranges, whatever the
+size of a file (``sources.records``); the records of all files are parsed in one
+pass, each by its own file's header, and land in columns by name.
 """
 
 from __future__ import annotations
 
+import csv
 import functools
+import io
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from parcelflow import config as C
+from parcelflow.sources.records import RECORD_BYTES, Records, file_encodings
 
 # Windows-1252 assigns printable characters to bytes 0x80-0x9F, which
 # ISO-8859-1 maps to C1 controls. Reading as ISO-8859-1 and translating that
@@ -59,20 +62,8 @@ def list_monthly_files(spark: SparkSession, dirs: Sequence[str], prefix: str,
 
 def classify_encoding(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Per file, ``utf8`` when its bytes are valid UTF-8, else
-    ``cp1252``. Loads one file body per row (monthly files are bounded)."""
-    if not paths:
-        return spark.createDataFrame([], "path string, encoding string")
-    return (spark.read.format("binaryFile").load(list(paths))
-            .select("path", F.when(F.is_valid_utf8(F.col("content").cast("string")), "utf8")
-                    .otherwise("cp1252").alias("encoding")))
-
-
-def header_of(spark: SparkSession, path: str, encoding: str = "utf8") -> list[str]:
-    """The raw header names of one CSV file, duplicates kept (G1)."""
-    enc = "UTF-8" if encoding == "utf8" else "ISO-8859-1"
-    first = (spark.read.option("encoding", enc).option("header", False).option("multiLine", True)
-             .option("escape", '"').csv(path).limit(1).collect())
-    return [("" if v is None else v) for v in first[0]] if first else []
+    ``cp1252``; read line by line, so a file may be of any size."""
+    return file_encodings(spark, paths)
 
 
 def _null_tokens(col: F.Column) -> F.Column:
@@ -80,45 +71,75 @@ def _null_tokens(col: F.Column) -> F.Column:
     return F.when(~col.isin(C.NULL_TOKENS), col)
 
 
-def read_csv_group(spark: SparkSession, paths: Sequence[str], header: Sequence[str],
-                   encoding: str) -> DataFrame:
-    """Read files sharing one header and encoding; every column as string.
-    Duplicate header names keep their first copy (G1); quoted fields may span
-    lines and escape quotes by doubling (G26)."""
-    positional = [f"_c{i}" for i in range(len(header))]
-    schema = ", ".join(f"`{c}` string" for c in positional)
-    enc = "UTF-8" if encoding == "utf8" else "ISO-8859-1"
-    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-          .option("encoding", enc).option("multiLine", True).option("escape", '"')
-          .csv(list(paths)))
-    first = {}
-    for i, name in enumerate(header):
-        first.setdefault(name, positional[i])
-    cols = []
-    for name, pos in first.items():
-        c = F.col(pos)
-        if encoding != "utf8":
-            c = F.translate(c, _LATIN1, _CP1252)
-        cols.append(_null_tokens(c).alias(name))
-    return df.select(*cols, F.input_file_name().alias("_source_file"))
+def _names(record: str) -> tuple[str, ...]:
+    """The raw names of a header record, duplicates kept (G1)."""
+    return tuple(next(csv.reader(io.StringIO(record.removeprefix("\ufeff").rstrip("\r"), newline=""))))
+
+
+def _decoded(raw: F.Column, encoding: str) -> F.Column:
+    if encoding == "utf8":
+        return raw
+    return F.translate(F.decode(raw.cast("binary"), "ISO-8859-1"), _LATIN1, _CP1252)
+
+
+class MonthlyTable:
+    """U1 + S1: the listed monthly files as one table, aligned by column name
+    across header variants and decoded per file.
+
+    ``df`` has every column as string, ``_source_file`` and ``yyyymm``;
+    ``rows_per_file`` is counted on the records of each file before they are
+    parsed. Duplicate header names keep their first copy (G1), missing values are
+    the usual tokens (G23), quoted fields may span lines and double their quotes
+    (G26); absent fields at the end of a record are null, fields beyond the header
+    are dropped, a file without a record gives no rows. Lists of files and their
+    distinct headers are the only things read back."""
+
+    def __init__(self, spark: SparkSession, files: DataFrame, record_bytes: int = RECORD_BYTES):
+        listing = files.select("yyyymm", "path").collect()
+        if not listing:
+            raise ValueError("no monthly files")
+        records = Records(spark, [r["path"] for r in listing], record_bytes)
+        encoding = records.encodings()
+        headers = records.headers()
+        kinds: dict[tuple[tuple[str, ...], str], int] = {}
+        kind_of = []
+        for file, at, line, raw in headers.select("file", "range", "line", F.col("value").cast("binary")).collect():
+            text = bytes(raw).decode("utf-8" if encoding[file] == "utf8" else "latin-1")
+            names = _names(text if encoding[file] == "utf8" else text.translate(str.maketrans(_LATIN1, _CP1252)))
+            kind_of.append((file, kinds.setdefault((names, encoding[file]), len(kinds)), records.paths[file], at, line))
+        meta = F.broadcast(spark.createDataFrame(kind_of, "file long, _kind int, _source_file string, _range long, _line long"))  # a row a file
+        rows = records.rows.join(meta, "file").where("range <> _range OR line <> _line")
+        self._rows, self._meta = rows, meta
+        width = max((len(names) for names, _ in kinds), default=1)
+        schema = ", ".join(f"_c{i} string" for i in range(width))
+        text = F.col("value")
+        for (_, enc), kind in kinds.items():
+            if enc != "utf8":
+                text = F.when(F.col("_kind") == kind, _decoded(F.col("value"), enc)).otherwise(text)
+        parsed = rows.select("_kind", "_source_file", F.from_csv(F.rtrim(text, F.lit("\r")), schema, {"escape": '"', "multiLine": "true", "maxCharsPerColumn": "-1"}).alias("r"))
+        place: dict[str, dict[int, int]] = {}
+        for (names, _), kind in kinds.items():
+            for i, name in enumerate(names):
+                place.setdefault(name, {}).setdefault(kind, i)
+        columns = []
+        for name, at in place.items():
+            c = F.lit(None).cast("string")
+            for i in sorted(set(at.values())):
+                c = F.when(F.col("_kind").isin([k for k, j in at.items() if j == i]), F.col(f"r._c{i}")).otherwise(c)
+            columns.append(_null_tokens(c).alias(name))
+        # the month is in the row's own file name, whatever its folder is called
+        name = F.regexp_extract("_source_file", r"([^/]+)$", 1)
+        month = F.regexp_extract(name, r"([0-9]{6})\.csv$", 1)
+        month = F.when(month != "", month).otherwise(F.raise_error(F.concat(F.lit("no month in file name: "), name)))
+        self.files = sorted(records.paths)
+        self.df = parsed.select(*columns, "_source_file", month.alias("yyyymm"))
+
+    def rows_per_file(self) -> DataFrame:
+        """(_source_file, rows) of every file with a header."""
+        counts = self._rows.groupBy("_source_file").agg(F.count(F.lit(1)).alias("rows"))
+        return self._meta.select("_source_file").join(counts, "_source_file", "left").withColumn("rows", F.coalesce("rows", F.lit(0).cast("long")))
 
 
 def read_monthly(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """U1 + S1: consolidate the listed monthly files into one DataFrame with a
-    ``yyyymm`` column, aligned by column name across header variants and
-    decoded per file. The (small) file list is the only thing read back."""
-    listing = files.select("yyyymm", "path").collect()
-    if not listing:
-        raise ValueError("no monthly files")
-    enc = {r["path"]: r["encoding"] for r in
-           classify_encoding(spark, [r["path"] for r in listing]).collect()}
-    groups: dict[tuple[tuple[str, ...], str], list[str]] = {}
-    for r in listing:
-        e = enc.get(r["path"], "utf8")
-        groups.setdefault((tuple(header_of(spark, r["path"], e)), e), []).append(r["path"])
-    parts = [read_csv_group(spark, paths, list(h), e) for (h, e), paths in groups.items()]
-    out = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    # the month is in the row's own file name, whatever its folder is called
-    name = F.regexp_extract("_source_file", r"([^/]+)$", 1)
-    month = F.regexp_extract(name, r"([0-9]{6})\.csv$", 1)
-    return out.withColumn("yyyymm", F.when(month != "", month).otherwise(F.raise_error(F.concat(F.lit("no month in file name: "), name))))
+    """The rows of the listed monthly files, see ``MonthlyTable``."""
+    return MonthlyTable(spark, files).df
