@@ -2,61 +2,56 @@
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, so a continuous field (price per square foot) or a hot
-group (one county holding a third of the rows) lands in one task. Here the
-work is split in two passes, both partial-aggregated on the map side:
-
-1. per group: ``count``, ``min``, ``max`` and a Greenwald-Khanna sketch
-   (``percentile_approx``) evaluated just below and just above each target
-   probability. The sketch's rank error is at most ``n / accuracy``, so the
-   two probes bracket the target ranks with a safety margin.
-2. per group and probability: the number of values below the bracket and the
-   distinct values inside it with their multiplicities. Only the bracket
-   (about ``8 n / accuracy`` distinct values) reaches a window, which then
-   reads off the values at ranks ``floor(p (n-1))`` and ``ceil(p (n-1))``.
-
-The per-group statistics are cut from their lineage once (reliable
-checkpoint; one row per group and field) and counted, so the bracket table
-is broadcast only when its row count is known to be small; otherwise it is
-joined on the group key and a hot group is left to AQE's skew-join split.
-
-When the sketch bound says a bracket could hold more than
-``bracket_limit`` rows (groups of roughly ``accuracy * bracket_limit / 10``
-rows and more), refinement levels re-sketch only the values inside each
-large bracket on a fixed probe grid, shrinking it by about ``accuracy / 8``
-per level, so the exact finish never gathers an unbounded set into one task.
-
-Small groups (``n <= small_n``) use ``[min, max]`` as the bracket, which makes
-them exact without relying on the sketch. The interpolation is
-``lo + (hi - lo) * frac`` with ``pos = (n - 1) * p``, the same linear method
-as pandas ``quantile`` and DuckDB ``quantile_cont``. A bracket that misses
-its rank raises instead of returning a wrong value.
+group (one county holding a third of the rows) lands in one task. Two ways here:
+
+Whole columns (no ``by``): selection by bounded histograms. A bracket is a range
+of values known to hold wanted ranks, at first ``[min, max]``. Each level counts
+every bracket's values in at most ``accuracy`` equal bins, with each bin's least
+and largest value, by map-side aggregation; only the histograms, bounded by
+``bracket_limit`` rows, reach the driver. A wanted rank's next bracket is the
+``[min, max]`` of its bin, and is done where both are equal, so ties never stall
+it. A field of at most ``small_n`` distinct values is counted by value at once.
+No values are shuffled, a level reads the narrow columns once, and a billion
+rows take three or four levels.
+
+Groups (``by``): ranks by range partitioning. Values are sorted by (group, value)
+over range partitions in one shuffle, with a salt as the last sort key, so equal
+values and hot groups spread over partitions. Each partition leaves its runs of
+equal values with their count and the group's rows before them; prefix sums of
+the partitions' counts per group place every partition in its group's order, and
+a wanted rank is then one run of one partition. No task holds a group, whatever
+the number of groups or their sizes.
+
+The interpolation is ``lo + (hi - lo) * frac`` with ``pos = (n - 1) * p``, the same
+linear method as pandas ``quantile`` and DuckDB ``quantile_cont``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.session import cut_lineage
 
-_KEYS = ("field", "p")
+#: Distinct values up to which a whole column is counted by value.
+DISTINCT = 10_000
 
 
-def _long_values(df: DataFrame, fields, by: Sequence[str]) -> DataFrame:
-    if isinstance(fields, Mapping):
-        items = [(k, F.col(v) if isinstance(v, str) else v) for k, v in fields.items()]
-    else:
-        items = [(f, F.col(f)) for f in fields]
-    if len(items) == 1:
-        name, c = items[0]
-        long = df.select(*by, F.lit(name).alias("field"), c.cast("double").alias("v"))
-    else:
-        arr = F.array(*[F.struct(F.lit(n).alias("field"), c.cast("double").alias("v"))
-                        for n, c in items])
-        long = df.select(*by, F.inline(arr))
-    return long.where(F.col("v").isNotNull() & ~F.isnan("v"))
+def _columns(fields: Sequence[str] | Mapping[str, Column | str]) -> dict[str, Column]:
+    items = fields.items() if isinstance(fields, Mapping) else [(f, f) for f in fields]
+    return {k: F.nanvl(F.col(c).cast("double") if isinstance(c, str) else c.cast("double"), F.lit(None).cast("double")) for k, c in items}
+
+
+def _long(df: DataFrame, keep: Sequence[str], names: Sequence[str], columns: Sequence[Column]) -> DataFrame:
+    """(*keep, field, v) with a row for each value that is not null."""
+    pairs = F.array(*[F.struct(F.lit(n).alias("field"), c.alias("v")) for n, c in zip(names, columns, strict=True)])
+    return df.select(*keep, F.inline(pairs)).where(F.col("v").isNotNull())
 
 
 def exact_percentiles(
@@ -67,140 +62,141 @@ def exact_percentiles(
     accuracy: int = 10_000,
     small_n: int | None = None,
     broadcast_rows: int = 200_000,
-    bracket_limit: int = 2_000_000,
-    max_levels: int = 3,
-    grid: int = 1_000,
+    bracket_limit: int = 200_000,
+    staged: bool = False,
 ) -> DataFrame:
     """Exact quantiles per group, field and probability.
 
     Returns columns ``*by, field, p, n, value``. Null and NaN values are
     ignored (pandas ``dropna`` semantics); rows with a null group key are
-    dropped, as pandas ``groupby`` drops them.
-    """
-    by = list(by)
-    probs = sorted({float(p) for p in probs})
-    small_n = 4 * accuracy if small_n is None else small_n
-    margin = 4.0 / accuracy
-    long = _long_values(df, fields, by)
+    dropped, as pandas ``groupby`` drops them. Without ``by`` the columns are
+    read several times, from a narrow stage table unless ``staged`` says that
+    ``df`` is cheap to read again."""
+    by, probs = list(by), sorted({float(p) for p in probs})
+    columns = _columns(fields)
     if by:
-        for b in by:
-            long = long.where(F.col(b).isNotNull())
-    spark = df.sparkSession
-
-    # ---- pass 1: count, range and a sketch probed around every target
-    probes = []
-    for p in probs:
-        probes += [max(0.0, p - margin), min(1.0, p + margin)]
-    stats = long.groupBy(*by, "field").agg(
-        F.count("v").alias("n"),
-        F.min("v").alias("vmin"),
-        F.max("v").alias("vmax"),
-        F.percentile_approx("v", probes, accuracy).alias("apx"),
-    )
-    if by:
-        # group count unknown: cut the (one row per group) stats and count them
-        stats = cut_lineage(stats)
-        groups, n_max = stats.agg(F.count(F.lit(1)), F.max("n")).first()
-        small_table = groups * len(probs) <= broadcast_rows
-        n_max = n_max or 0
-    else:
-        # no group key: one row per field, so the stats are read back (bounded)
-        # and re-entered as a tiny local table; nothing upstream is re-run
-        rows = stats.collect()
-        n_max = max((r["n"] for r in rows), default=0)
-        stats = spark.createDataFrame(rows, stats.schema)
-        small_table = True
-    bc = F.broadcast if small_table else (lambda d: d)
-    small = F.col("n") <= F.lit(small_n)
-    targets = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(i).alias("i")) for i, p in enumerate(probs)])
-    brk = (stats.select(*by, "field", "n", "vmin", "vmax", "apx", F.inline(targets))
-           .select(*by, "field", "n", "p",
-                   F.when(small, F.col("vmin")).otherwise(F.element_at("apx", F.col("i") * 2 + 1)).alias("lo"),
-                   F.when(small, F.col("vmax")).otherwise(F.element_at("apx", F.col("i") * 2 + 2)).alias("hi")))
-
-    # ---- optional refinement: re-sketch the values inside large brackets on
-    # a fixed probe grid until no bracket holds more than `bracket_limit` rows
-    # (only when the sketch bound 10 n / accuracy could exceed the limit)
-    if n_max > small_n and 10 * n_max / accuracy > bracket_limit:
-        gprobes = [i / grid for i in range(grid + 1)]
-        m2 = margin + 1.0 / grid
-        for _ in range(max_levels):
-            brk = cut_lineage(brk)
-            inb = F.col("v") >= F.col("lo")
-            lv = (long.join(bc(brk), on=[*by, "field"]).where(F.col("v") <= F.col("hi"))
-                  .groupBy(*by, "field", "n", "p", "lo", "hi")
-                  .agg(F.count_if(~inb).alias("below"), F.count_if(inb).alias("m"),
-                       F.percentile_approx(F.when(inb, F.col("v")), gprobes, accuracy).alias("sk")))
-            lv = cut_lineage(lv)
-            if (lv.agg(F.max("m")).first()[0] or 0) <= bracket_limit:
-                break
-            pos = (F.col("n") - 1).cast("double") * F.col("p")
-            t_lo = (F.floor(pos) - F.col("below")) / F.col("m")
-            t_hi = (F.ceil(pos) - F.col("below")) / F.col("m")
-            i_lo = F.greatest(F.lit(0), F.least(F.lit(grid), F.floor((t_lo - m2) * grid))).cast("int")
-            i_hi = F.greatest(F.lit(0), F.least(F.lit(grid), F.ceil((t_hi + m2) * grid))).cast("int")
-            big = F.col("m") > F.lit(bracket_limit)
-            brk = lv.select(*by, "field", "n", "p",
-                            F.when(big, F.element_at("sk", i_lo + 1)).otherwise(F.col("lo")).alias("lo"),
-                            F.when(big, F.element_at("sk", i_hi + 1)).otherwise(F.col("hi")).alias("hi"))
-
-    # ---- brackets as one array per group and field; lower bounds made
-    # non-decreasing in p (a prefix max keeps each a valid lower bracket,
-    # since a lower probability's bound ranks lower)
-    bs0 = F.sort_array(F.collect_list(F.struct("p", "lo", "hi")))
-    wide = (brk.groupBy(*by, "field", "n").agg(bs0.alias("bs0"))
-            .select(*by, "field", "n", F.transform("bs0", lambda b, i: F.struct(
-                b["p"].alias("p"), i.alias("i"),
-                F.array_max(F.transform(F.slice("bs0", 1, i + 1), lambda x: x["lo"])).alias("lo"),
-                b["hi"].alias("hi"))).alias("bs")))
-    if not by:  # one row per field: keep it as a local table
-        wide = spark.createDataFrame(wide.collect(), wide.schema)
-    pos = (F.col("n") - 1).cast("double") * F.col("p")
-    brackets = (wide.select(*by, "field", "n", F.inline("bs"))
-                .withColumn("pos", pos)
-                .withColumn("k_lo", F.floor("pos"))
-                .withColumn("k_hi", F.ceil("pos")))
-
-    keys = [*by, *_KEYS]
-    side = wide.select(*by, "field", "bs")
-    j = long.join(bc(side), on=[*by, "field"])
-    # One pass. Each value emits (a) its bucket: how many lower bounds are <=
-    # it (p = -1), so "values below bracket i" is a prefix sum over at most
-    # P + 1 buckets, and (b) one entry per bracket it falls inside. Partial
-    # aggregation collapses the bucket entries on the map side.
+        known = df.where(" AND ".join(f"`{b}` IS NOT NULL" for b in by))
+        return _by_ranges(_long(known, by, list(columns), list(columns.values())), by, probs, broadcast_rows)
+    narrow = df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns.values())])
+    if not staged:
+        narrow = cut_lineage(narrow)
+    long = _long(narrow, [], list(columns), [F.col(c) for c in narrow.columns])
+    return _by_histograms(long, probs, max(2, accuracy), DISTINCT if small_n is None else small_n, bracket_limit)
+
+
+# ------------------------------------------------------------ whole columns
+
+
+def _ranks(n: int, probs: Sequence[float]) -> set[int]:
+    return {f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)}
+
+
+def _bin(v: Column, low: float, high: float, bins: int) -> Column:
+    """Bin of a value between ``low`` and ``high``, which differ; order is kept."""
+    scale = 1.0 if math.isfinite(high - low) else 0.5
+    width = high * scale - low * scale
+    inner = F.floor((v * scale - low * scale) / width * bins).cast("double") if math.isfinite(width) else F.lit(bins // 2).cast("double")
+    return F.when(v == high, F.lit(bins - 1.0)).when(v == low, F.lit(0.0)).otherwise(F.least(inner, F.lit(bins - 1.0)))
+
+
+def _by_histograms(long: DataFrame, probs: Sequence[float], bins: int, distinct: int, rows: int) -> DataFrame:
     v = F.col("v")
-    bucket = F.struct(F.lit(-1.0).alias("p"), F.size(F.filter("bs", lambda b: b["lo"] <= v)).cast("double").alias("bv"))
-    ins = F.transform(F.filter("bs", lambda b: (v >= b["lo"]) & (v <= b["hi"])),
-                      lambda b: F.struct(b["p"].alias("p"), v.alias("bv")))
-    agg = (j.select(*by, "field", F.inline(F.concat(F.array(bucket), ins)))
-           .groupBy(*keys, "bv").agg(F.count(F.lit(1)).alias("c")))
-    idx = F.array(*[F.struct(F.lit(p).alias("pp"), F.lit(i).alias("i")) for i, p in enumerate(probs)])
-    below = (agg.where(F.col("p") == -1.0)
-             .select(*by, "field", F.col("bv").cast("int").alias("k"), "c", F.inline(idx))
-             .where(F.col("k") <= F.col("i"))
-             .groupBy(*by, "field", F.col("pp").alias("p")).agg(F.sum("c").alias("below")))
-    counted = agg.where(F.col("p") != -1.0)
-    w = Window.partitionBy(*keys).orderBy("bv").rowsBetween(Window.unboundedPreceding, 0)
-    # below and brackets have one row per group, field and probability
-    ranked = (
-        counted
-        .withColumn("cum", F.sum("c").over(w))
-        .join(bc(below), on=keys, how="left")
-        .join(bc(brackets.select(*keys, "k_lo", "k_hi")), on=keys)
-        .withColumn("end", F.coalesce("below", F.lit(0)) + F.col("cum"))
-        .withColumn("start", F.col("end") - F.col("c"))
-    )
-    hit = lambda k: F.max(F.when((F.col("start") <= F.col(k)) & (F.col(k) < F.col("end")),
-                                 F.col("bv")))
-    picked = ranked.groupBy(*keys).agg(hit("k_lo").alias("v_lo"), hit("k_hi").alias("v_hi"))
-    out = brackets.select(*keys, "n", "pos", "k_lo", "k_hi").join(bc(picked), on=keys, how="left")
-    value = (
-        F.when(F.col("v_lo").isNull() | F.col("v_hi").isNull(),
-               F.raise_error(F.lit("exact_percentiles: bracket missed its rank")).cast("double"))
-        .when(F.col("k_lo") == F.col("k_hi"), F.col("v_lo"))
-        .otherwise(F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("pos") - F.col("k_lo")))
-    )
-    return out.select(*by, "field", "p", "n", value.alias("value"))
+    stats = {r.field: r for r in long.groupBy("field").agg(
+        F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.approx_count_distinct("v").alias("d")).collect()}
+    found: dict[tuple[str, int], float] = {}
+    #: (field, low, high, values below, wanted ranks)
+    brackets = [(f, s.low, s.high, 0, sorted(_ranks(s.n, probs))) for f, s in stats.items()]
+    level = 0
+    while True:
+        for f, low, high, _, ranks in brackets:
+            if low == high:
+                found.update(((f, k), low) for k in ranks)
+        brackets = [b for b in brackets if b[1] != b[2]]
+        if not brackets:
+            break
+        size = max(2, min(bins, rows // len(brackets)))
+        cell = None
+        for i, (f, low, high, _, _) in enumerate(brackets):
+            inside = (F.col("field") == f) & v.between(low, high)
+            at = v if level == 0 and stats[f].d <= distinct else _bin(v, low, high, size)
+            one = F.struct(F.lit(i).alias("i"), at.alias("at"))
+            cell = F.when(inside, one) if cell is None else cell.when(inside, one)
+        bars = (long.select("v", cell.alias("c")).where("c IS NOT NULL").groupBy("c.i", "c.at")
+                .agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("low"), F.max("v").alias("high")).collect())
+        nxt = []
+        for i, (f, _, _, below, ranks) in enumerate(brackets):
+            own = sorted((b for b in bars if b.i == i), key=lambda b: b["at"])
+            upto = below + np.cumsum([b.m for b in own])
+            wanted: dict[int, list[int]] = {}
+            for k in ranks:
+                wanted.setdefault(int(np.searchsorted(upto, k, "right")), []).append(k)
+            nxt += [(f, own[j].low, own[j].high, int(upto[j] - own[j].m), ks) for j, ks in wanted.items()]
+        brackets, level = nxt, level + 1
+    out = []
+    for f, s in sorted(stats.items()):
+        for p in probs:
+            pos = float(s.n - 1) * p
+            low, high = found[f, math.floor(pos)], found[f, math.ceil(pos)]
+            out.append((f, p, s.n, low if low == high else low + (high - low) * (pos - math.floor(pos))))
+    return long.sparkSession.createDataFrame(out, "field string, p double, n long, value double")
+
+
+# ------------------------------------------------------------------- groups
+
+
+def _runs(keys: Sequence[str]):
+    """Runs of equal values of a sorted partition, with the rows of the same
+    group before each. A run may be cut in two by a batch's end."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            group = np.zeros(n, bool)
+            group[0] = True
+            for k in keys:
+                c = batch.column(k)
+                group[1:] |= np.asarray(pc.not_equal(c.slice(1), c.slice(0, n - 1)))
+            value = np.asarray(batch.column("v"))
+            head = group.copy()
+            head[1:] |= value[1:] != value[:-1]
+            at, groups = np.flatnonzero(head), np.flatnonzero(group)
+            first = groups[np.searchsorted(groups, at, "right") - 1]
+            before = at - first
+            if last == tuple(batch.column(k)[0] for k in keys):
+                before = before + np.where(first == 0, seen, 0)
+            else:
+                seen = 0
+            last = tuple(batch.column(k)[n - 1] for k in keys)
+            seen = n - groups[-1] + (seen if len(groups) == 1 else 0)
+            cut = batch.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays([*cut.columns, pa.array(np.diff(np.append(at, n))), pa.array(before)], names=[*cut.schema.names, "c", "start"])
+    return run
+
+
+def _by_ranges(long: DataFrame, by: list[str], probs: Sequence[float], broadcast_rows: int) -> DataFrame:
+    keys = [*by, "field"]
+    salt = F.pmod(F.hash(F.monotonically_increasing_id()), F.lit(1 << 16))
+    ranged = long.withColumn("_salt", salt).repartitionByRange(*keys, "v", "_salt").sortWithinPartitions(*keys, "v")
+    ranged = ranged.select(F.spark_partition_id().alias("_part"), *keys, "v")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranged.schema)
+    runs = cut_lineage(ranged.mapInArrow(_runs(keys), f"{schema}, c long, start long"))
+    # one row for each group and partition that it reaches
+    parts = runs.groupBy(*keys, "_part").agg(F.sum("c").alias("m"))
+    order = Window.partitionBy(*keys).orderBy("_part")
+    parts = parts.withColumns({"before": F.coalesce(F.sum("m").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+                               "n": F.sum("m").over(Window.partitionBy(*keys))})
+    wanted = parts.select("*", F.explode(F.array(*[F.lit(p) for p in probs])).alias("p")).withColumn("pos", (F.col("n") - 1).cast("double") * F.col("p"))
+    wanted = wanted.select("*", F.inline(F.array(*[F.struct(F.lit(s).alias("side"), f("pos").alias("k")) for s, f in (("lo", F.floor), ("hi", F.ceil))])))
+    wanted = wanted.where("k >= before AND k < before + m").select(*keys, "_part", "n", "p", "pos", "side", (F.col("k") - F.col("before")).alias("k"))
+    wanted = cut_lineage(wanted)
+    if wanted.count() <= broadcast_rows:
+        wanted = F.broadcast(wanted)
+    hit = runs.join(wanted, [*keys, "_part"]).where("k >= start AND k < start + c")
+    ends = hit.groupBy(*keys, "p", "n", "pos").agg(*[F.max(F.when(F.col("side") == s, F.col("v"))).alias(s) for s in ("lo", "hi")])
+    value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("pos") - F.floor("pos")))
+    return ends.select(*keys, "p", "n", value.alias("value"))
 
 
 def exact_percentiles_wide(
@@ -208,6 +204,7 @@ def exact_percentiles_wide(
     specs: Sequence[tuple[str, str | Column, float]],
     by: Sequence[str] = (),
     accuracy: int = 10_000,
+    staged: bool = False,
 ) -> DataFrame:
     """One row per group with one column per ``(out_name, value, p)`` spec.
 
@@ -221,7 +218,7 @@ def exact_percentiles_wide(
         fields.setdefault(key, col)
         spec_keys.append((out, key, float(p)))
     probs = sorted({p for _, _, p in spec_keys})
-    long = exact_percentiles(df, fields, probs, by=by, accuracy=accuracy)
+    long = exact_percentiles(df, fields, probs, by=by, accuracy=accuracy, staged=staged)
     aggs = [
         F.max(F.when((F.col("field") == f) & (F.col("p") == F.lit(p)), F.col("value"))).alias(out)
         for out, f, p in spec_keys

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.functions.quantiles import exact_percentiles_wide
+from parcelflow.session import cut_lineage
 
 
 def expect_rows(df: DataFrame, expected: int, name: str = "rows") -> DataFrame:
@@ -82,14 +83,14 @@ def logged_probes(flagged_sold: DataFrame, iqr_sold: DataFrame, listings: DataFr
     """DOM = close - list share; median price with vs without
     coordinates; median price of area <= 0 rows; ratio > 2 rows among
     IQR-kept; listings without a close price (share)."""
-    f = flagged_sold
+    f = cut_lineage(flagged_sold.select("DaysOnMarket", "CloseDate", "ListingContractDate", "missing_coords_flag", "ClosePrice", "LivingArea"))
     dom_eq = f.agg((F.count_if(F.col("DaysOnMarket") == F.datediff("CloseDate", "ListingContractDate"))
                     * 100.0 / F.count(F.lit(1))).alias("dom_equals_close_minus_list_pct"))
     med = exact_percentiles_wide(f, [
         ("median_price_no_coords", F.when(F.col("missing_coords_flag") == 1, F.col("ClosePrice")), 0.5),
         ("median_price_with_coords", F.when(F.col("missing_coords_flag") == 0, F.col("ClosePrice")), 0.5),
         ("median_price_area_le0", F.when(F.col("LivingArea") <= 0, F.col("ClosePrice")), 0.5),
-    ], accuracy=accuracy)
+    ], accuracy=accuracy, staged=True)
     ratio = iqr_sold.where(F.col("any_iqr_outlier_flag") == 0).agg(
         F.count_if(F.col("price_ratio") > 2).alias("ratio_gt2_iqr_kept"))
     lst = listings.agg((F.count_if(F.col("ClosePrice").isNull()) * 100.0 / F.count(F.lit(1)))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions.quantiles import exact_percentiles_wide
 from parcelflow.functions.scalars import month_key, safe_ratio
+from parcelflow.session import cut_lineage
 
 
 def engineer_metrics(df: DataFrame) -> DataFrame:
@@ -64,13 +65,13 @@ def ask_split(enriched: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """A48 (a): share (%) of sales above, at and below the original ask, and
     the median ratio, over rows with a defined ratio."""
     r = F.col("price_ratio")
-    have = enriched.where(r.isNotNull())
+    have = cut_lineage(enriched.where(r.isNotNull()).select("price_ratio"))
     shares = have.agg(
         F.count(F.lit(1)).alias("n"),
         (F.count_if(r > 1) * 100.0 / F.count(F.lit(1))).alias("above_pct"),
         (F.count_if(r == 1) * 100.0 / F.count(F.lit(1))).alias("at_pct"),
         (F.count_if(r < 1) * 100.0 / F.count(F.lit(1))).alias("below_pct"))
-    med = exact_percentiles_wide(have, [("median_ratio", "price_ratio", 0.5)], accuracy=accuracy)
+    med = exact_percentiles_wide(have, [("median_ratio", "price_ratio", 0.5)], accuracy=accuracy, staged=True)
     return shares.crossJoin(med)
 
 

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow import config as C
-from parcelflow.functions.quantiles import exact_percentiles
+from parcelflow.functions.quantiles import exact_percentiles, exact_percentiles_wide
 from parcelflow.functions.scalars import contains_ci
+from parcelflow.session import cut_lineage
 
 
 def _pname(p: float) -> str:
@@ -24,13 +25,16 @@ def _pname(p: float) -> str:
 
 def iqr_fences(df: DataFrame, fields: Sequence[str] = C.IQR_FIELDS, k: float = C.IQR_K,
                probs: Sequence[float] = C.PERCENTILES, accuracy: int = 10_000,
-               with_counts: bool = True, minimal: bool = False) -> DataFrame:
+               with_counts: bool = True, minimal: bool = False, staged: bool = False) -> DataFrame:
     """Per field q1, q3, iqr, fences, n (non-null), min, max, the
     percentile evidence and, optionally, rows below / above the fences with
-    their share of **all** rows (G13: two denominators)."""
+    their share of **all** rows (G13: two denominators). The fields are read
+    several times, from a narrow stage table unless ``df`` is one (``staged``)."""
     fields = list(fields)
+    if not staged:
+        df = cut_lineage(df.select(*fields))
     allp = sorted(set(probs) | {0.25, 0.75})
-    q = exact_percentiles(df, fields, allp, accuracy=accuracy)
+    q = exact_percentiles(df, fields, allp, accuracy=accuracy, staged=True)
     pv = lambda p: F.max(F.when(F.col("p") == p, F.col("value")))
     fences = (q.groupBy("field").agg(F.first("n").alias("n"), pv(0.25).alias("q1"), pv(0.75).alias("q3"),
                                      *[pv(p).alias(_pname(p)) for p in probs])
@@ -100,36 +104,40 @@ def iqr_share(flagged: DataFrame, band: tuple[float, float] = C.IQR_SHARE_BAND)
 
 
 def iqr_diagnostics(enriched: DataFrame, fields: Sequence[str] = ("price_per_sqft", "close_to_original_list_ratio"),
-                    k: float = C.IQR_K, accuracy: int = 10_000) -> DataFrame:
+                    k: float = C.IQR_K, accuracy: int = 10_000, staged: bool = False) -> DataFrame:
     """Would-be fences, median, p95, p99 and would-flag rows (share of
     all rows) for diagnostic fields; no column is added."""
-    f = iqr_fences(enriched, list(fields), k, probs=[0.5, 0.95, 0.99], accuracy=accuracy)
+    f = iqr_fences(enriched, list(fields), k, probs=[0.5, 0.95, 0.99], accuracy=accuracy, staged=staged)
     return f.select("field", F.col("p50").alias("median"), "p95", "p99", "lo", "hi",
                     F.col("flagged").alias("would_flag"), F.col("flagged_pct_of_rows").alias("would_flag_pct"))
 
 
 def iqr_comparison(flagged: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    """Rows, median/mean price, median area, median DOM before and after
-    the filter, from one labelled union."""
-    both = (flagged.withColumn("dataset", F.lit("before"))
-            .unionByName(iqr_filtered(flagged).withColumn("dataset", F.lit("after"))))
-    q = exact_percentiles(both, ["ClosePrice", "LivingArea", "DaysOnMarket"], [0.5], by=["dataset"],
-                          accuracy=accuracy)
-    med = q.groupBy("dataset").agg(*[F.max(F.when(F.col("field") == f, F.col("value"))).alias(f"median_{f}")
-                                     for f in ["ClosePrice", "LivingArea", "DaysOnMarket"]])
-    base = both.groupBy("dataset").agg(F.count(F.lit(1)).alias("rows"),
-                                       F.avg(F.col("ClosePrice").cast("double")).alias("mean_ClosePrice"))
-    return base.join(med, "dataset", "left")
+    """Rows, mean and median price, median area and median DOM before and
+    after the filter, with the share (%) of rows removed and retained. Before and
+    after are two sets of columns of one pass, not two copies of the rows."""
+    fields = ["ClosePrice", "LivingArea", "DaysOnMarket"]
+    kept = F.col("any_iqr_outlier_flag") == 0
+    narrow = cut_lineage(flagged.select(*fields, kept.alias("kept")))
+    sides = {"before": F.lit(True), "after": F.col("kept")}
+    med = exact_percentiles_wide(narrow, [(f"{d}_{f}", F.when(c, F.col(f)), 0.5) for d, c in sides.items() for f in fields], accuracy=accuracy, staged=True)
+    base = narrow.agg(*[a for d, c in sides.items() for a in (F.count_if(c).alias(f"{d}_rows"),
+                                                              F.avg(F.when(c, F.col("ClosePrice").cast("double"))).alias(f"{d}_mean"))])
+    one = base.crossJoin(med)  # a row each
+    share = lambda n: n * 100.0 / F.col("before_rows")
+    sets = [F.struct(F.lit(d).alias("dataset"), F.col(f"{d}_rows").alias("rows"), F.col(f"{d}_mean").alias("mean_ClosePrice"),
+                     *[F.col(f"{d}_{f}").alias(f"median_{f}") for f in fields],
+                     share(F.col("before_rows") - F.col(f"{d}_rows")).alias("removed_pct"), share(F.col(f"{d}_rows")).alias("retained_pct")) for d in sides]
+    return one.select(F.inline(F.array(*sets)))
 
 
 def flag_rate_county(flagged: DataFrame, top: int = 6) -> DataFrame:
-    """Any-flag rate (%) in the largest counties (T2 selector)."""
-    from parcelflow.operators.spatial import top_counties
-    keys = top_counties(flagged, top)
-    sub = flagged.join(F.broadcast(keys.select("CountyOrParish")), "CountyOrParish", "left_semi")
-    return sub.groupBy("CountyOrParish").agg(
+    """Any-flag rate (%) in the largest counties (T2 selector), which are
+    the counties of most rows of the one aggregate."""
+    per = flagged.where(F.col("CountyOrParish").isNotNull()).groupBy("CountyOrParish").agg(
         F.count(F.lit(1)).alias("rows"),
         (F.sum(F.col("any_iqr_outlier_flag").cast("long")) * 100.0 / F.count(F.lit(1))).alias("flagged_pct"))
+    return per.orderBy(F.desc("rows"), "CountyOrParish").limit(top)
 
 
 def investor_tier(flagged: DataFrame, price: float = C.INVESTOR_TIER_PRICE,
@@ -162,9 +170,9 @@ def status_counts(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("district_match_status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def fence_rates_both(sold: DataFrame, listings: DataFrame, accuracy: int = 10_000) -> DataFrame:
+def fence_rates_both(sold: DataFrame, listings: DataFrame, accuracy: int = 10_000, staged: bool = False) -> DataFrame:
     """Fence table of both datasets side by side with a ``dataset`` column."""
-    a = iqr_fences(sold, probs=[], accuracy=accuracy).withColumn("dataset", F.lit("sold"))
-    b = iqr_fences(listings, probs=[], accuracy=accuracy).withColumn("dataset", F.lit("listings"))
+    a = iqr_fences(sold, probs=[], accuracy=accuracy, staged=staged).withColumn("dataset", F.lit("sold"))
+    b = iqr_fences(listings, probs=[], accuracy=accuracy, staged=staged).withColumn("dataset", F.lit("listings"))
     cols = ["dataset", "field", "q1", "q3", "lo", "hi", "below", "above", "flagged_pct_of_rows"]
     return a.select(*cols).unionByName(b.select(*cols))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow import config as C
 from parcelflow.functions.quantiles import exact_percentiles
+from parcelflow.session import cut_lineage
 
 
 def _pname(p: float) -> str:
@@ -20,7 +21,8 @@ def numeric_distribution(df: DataFrame, fields: Sequence[str] = C.PROFILE_FIELDS
     """Per field n, min, max, mean (2 dp), median and the percentiles."""
     probs = list(probs)
     allp = sorted(set(probs) | {0.5})
-    q = exact_percentiles(df, list(fields), allp, accuracy=accuracy)
+    df = cut_lineage(df.select(*fields))
+    q = exact_percentiles(df, list(fields), allp, accuracy=accuracy, staged=True)
     wide = q.groupBy("field").agg(
         F.first("n").alias("n"),
         F.max(F.when(F.col("p") == 0.5, F.col("value"))).alias("median"),
@@ -37,15 +39,14 @@ def type_share(full: DataFrame) -> DataFrame:
     """PropertyType share (%) of rows with a non-null type."""
     typed = full.where(F.col("PropertyType").isNotNull())
     per = typed.groupBy("PropertyType").agg(F.count(F.lit(1)).alias("n"))
-    tot = typed.agg(F.count(F.lit(1)).alias("_t"))
-    return (per.crossJoin(F.broadcast(tot))
-            .select("PropertyType", "n", (F.col("n") * 100.0 / F.col("_t")).alias("share_pct"))
+    return (per.select("PropertyType", "n", (F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())).alias("share_pct"))
             .orderBy(F.desc("n"), "PropertyType"))
 
 
 def price_center(res: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """ClosePrice median and mean."""
-    med = exact_percentiles(res, ["ClosePrice"], [0.5], accuracy=accuracy).select(
+    res = cut_lineage(res.select("ClosePrice"))
+    med = exact_percentiles(res, ["ClosePrice"], [0.5], accuracy=accuracy, staged=True).select(
         F.col("value").alias("median_price"))
     mean = res.agg(F.avg(F.col("ClosePrice").cast("double")).alias("mean_price"))
     return med.crossJoin(mean)
@@ -53,7 +54,8 @@ def price_center(res: DataFrame, accuracy: int = 10_000) -> DataFrame:
 
 def dom_distribution(res: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """DaysOnMarket median, mean, p25, p75, max."""
-    q = exact_percentiles(res, ["DaysOnMarket"], [0.25, 0.5, 0.75], accuracy=accuracy)
+    res = cut_lineage(res.select("DaysOnMarket"))
+    q = exact_percentiles(res, ["DaysOnMarket"], [0.25, 0.5, 0.75], accuracy=accuracy, staged=True)
     wide = q.agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
                    for p, n in [(0.5, "median"), (0.25, "p25"), (0.75, "p75")]])
     basic = res.agg(F.avg(F.col("DaysOnMarket").cast("double")).alias("mean"),

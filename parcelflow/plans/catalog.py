@@ -437,7 +437,7 @@ for _name, _by in [("segment_subtype", ["PropertySubType"]), ("segment_county",
                    ("segment_buyer_office", ["BuyerOfficeName"]),
                    ("segment_county_area", ["CountyOrParish", "MLSAreaMajor"])]:
     reg(_name, _segment_sql(_by))(
-        (lambda by: lambda spark, sf: metrics.segment(P.sold(spark, sf).enriched_stage, by, digits=D,
+        (lambda by: lambda spark, sf: metrics.segment(P.sold(spark, sf).measure_stage, by, digits=D,
                                                       accuracy=ACC))(_by))
 
 
@@ -447,14 +447,14 @@ SELECT count(*) AS n, {_pct('count(*) FILTER (WHERE price_ratio > 1)', 'count(*)
   {_pct('count(*) FILTER (WHERE price_ratio < 1)', 'count(*)')} AS below_pct,
   round(quantile_cont(price_ratio, 0.5), 6) AS median_ratio FROM districted WHERE price_ratio IS NOT NULL""")
 def q_ask_split(spark, sf):
-    return rnd(metrics.ask_split(P.sold(spark, sf).enriched_stage, accuracy=ACC), "median_ratio")
+    return rnd(metrics.ask_split(P.sold(spark, sf).measure_stage, accuracy=ACC), "median_ratio")
 
 
 @reg("median_durations", S + f"""
 SELECT {R(_q('listing_to_contract_days', 0.5))} AS median_listing_to_contract,
        {R(_q('contract_to_close_days', 0.5))} AS median_contract_to_close FROM districted""")
 def q_median_durations(spark, sf):
-    return rnd(metrics.median_durations(P.sold(spark, sf).enriched_stage, accuracy=ACC),
+    return rnd(metrics.median_durations(P.sold(spark, sf).measure_stage, accuracy=ACC),
                "median_listing_to_contract", "median_contract_to_close")
 
 
@@ -464,7 +464,7 @@ SELECT CountyOrParish, round(quantile_cont(price_per_sqft, 0.5), 6) AS median_pp
 WHERE CountyOrParish IS NOT NULL GROUP BY 1
 HAVING count(price_per_sqft) + count(price_ratio) > 0""")
 def q_county_ppsf_ratio(spark, sf):
-    return rnd(metrics.county_ppsf_ratio(P.sold(spark, sf).enriched_stage, accuracy=ACC), "median_ppsf", "median_price_ratio")
+    return rnd(metrics.county_ppsf_ratio(P.sold(spark, sf).measure_stage, accuracy=ACC), "median_ppsf", "median_price_ratio")
 
 
 # ---------------------------------------------------------------- phase 6
@@ -552,7 +552,7 @@ def _fences_sql(fields, probs, src, p=""):
 
 @reg("iqr_fences", S + ", " + _fences_sql(C.IQR_FIELDS, C.PERCENTILES, "districted") + "\nSELECT * FROM fall")
 def q_iqr_fences(spark, sf):
-    return rnd(outliers.iqr_fences(P.sold(spark, sf).enriched_stage, accuracy=ACC),
+    return rnd(outliers.iqr_fences(P.sold(spark, sf).measure_stage, accuracy=ACC, staged=True),
                "q1", "q3", "iqr", "lo", "hi", *[f"p{int(round(p * 100))}" for p in C.PERCENTILES])
 
 
@@ -561,7 +561,7 @@ _IQRC = ["ListingKey", "ClosePrice", "LivingArea", "DaysOnMarket", *C.IQR_FLAG_O
 
 @reg("iqr_flags", S + f"SELECT {', '.join(_IQRC)} FROM iqr")
 def q_iqr_flags(spark, sf):
-    return P.sold(spark, sf).iqr.select(*_IQRC)
+    return P.sold(spark, sf).iqr_core.select(*_IQRC)
 
 
 @reg("iqr_filtered", S + "SELECT * FROM iqr WHERE any_iqr_outlier_flag = 0")
@@ -573,14 +573,14 @@ def q_iqr_filtered(spark, sf):
 SELECT CAST(sum(any_iqr_outlier_flag) AS BIGINT) AS flagged, {_pct('sum(any_iqr_outlier_flag)', 'count(*)')} AS share_pct,
   {_pct('sum(any_iqr_outlier_flag)', 'count(*)')} BETWEEN {C.IQR_SHARE_BAND[0]} AND {C.IQR_SHARE_BAND[1]} AS in_band FROM iqr""")
 def q_iqr_share(spark, sf):
-    return outliers.iqr_share(P.sold(spark, sf).iqr)
+    return outliers.iqr_share(P.sold(spark, sf).iqr_core)
 
 
 @reg("iqr_diagnostics", S + ", " + _fences_sql(["price_per_sqft", "close_to_original_list_ratio"], [0.5, 0.95, 0.99],
                                                "districted") + """
 SELECT field, p50 AS median, p95, p99, lo, hi, flagged AS would_flag, flagged_pct_of_rows AS would_flag_pct FROM fall""")
 def q_iqr_diagnostics(spark, sf):
-    return rnd(outliers.iqr_diagnostics(P.sold(spark, sf).enriched_stage, accuracy=ACC),
+    return rnd(outliers.iqr_diagnostics(P.sold(spark, sf).measure_stage, accuracy=ACC, staged=True),
                "median", "p95", "p99", "lo", "hi")
 
 
@@ -588,10 +588,12 @@ def q_iqr_diagnostics(spark, sf):
   UNION ALL SELECT 'after' AS dataset, * FROM iqr WHERE any_iqr_outlier_flag = 0)
 SELECT dataset, count(*) AS rows, round(avg(ClosePrice), 6) AS mean_ClosePrice,
   round(quantile_cont(ClosePrice, 0.5), 6) AS median_ClosePrice,
-  round(quantile_cont(LivingArea, 0.5), 6) AS median_LivingArea, round(quantile_cont(DaysOnMarket, 0.5), 6) AS median_DaysOnMarket
+  round(quantile_cont(LivingArea, 0.5), 6) AS median_LivingArea, round(quantile_cont(DaysOnMarket, 0.5), 6) AS median_DaysOnMarket,
+  ((SELECT count(*) FROM iqr) - count(*)) * 100.0 / (SELECT count(*) FROM iqr) AS removed_pct,
+  count(*) * 100.0 / (SELECT count(*) FROM iqr) AS retained_pct
 FROM both_ GROUP BY 1""")
 def q_iqr_comparison(spark, sf):
-    return rnd(outliers.iqr_comparison(P.sold(spark, sf).iqr, accuracy=ACC), "mean_ClosePrice", "median_ClosePrice",
+    return rnd(outliers.iqr_comparison(P.sold(spark, sf).iqr_core, accuracy=ACC), "mean_ClosePrice", "median_ClosePrice",
                "median_LivingArea", "median_DaysOnMarket")
 
 
@@ -599,7 +601,7 @@ def q_iqr_comparison(spark, sf):
 SELECT CountyOrParish, count(*) AS rows, {_pct('sum(any_iqr_outlier_flag)', 'count(*)')} AS flagged_pct
 FROM iqr WHERE CountyOrParish IN (SELECT CountyOrParish FROM top6) GROUP BY 1""")
 def q_flag_rate_county(spark, sf):
-    return outliers.flag_rate_county(P.sold(spark, sf).iqr)
+    return outliers.flag_rate_county(P.sold(spark, sf).iqr_core)
 
 
 _TIER = [("any", "any_iqr_outlier_flag")] + list(C.IQR_FLAG_OF.items())
@@ -609,7 +611,7 @@ _TIER = [("any", "any_iqr_outlier_flag")] + list(C.IQR_FLAG_OF.items())
     f"SELECT count(*) AS rows, '{n}' AS fence, CAST(sum({c}) AS BIGINT) AS fired, {_pct(f'sum({c})', 'count(*)')} AS rate_pct FROM tier"
     for n, c in _TIER))
 def q_investor_tier(spark, sf):
-    return outliers.investor_tier(P.sold(spark, sf).iqr)
+    return outliers.investor_tier(P.sold(spark, sf).iqr_core)
 
 
 @reg("dom_tail", S + f"""
@@ -619,7 +621,7 @@ SELECT count(*) AS rows, {_pct(f'count(*) FILTER (WHERE ClosePrice < {C.INVESTOR
     AS nonmember_pct
 FROM iqr WHERE daysonmarket_iqr_outlier_flag = 1""")
 def q_dom_tail(spark, sf):
-    return outliers.dom_tail(P.sold(spark, sf).iqr, county=TAIL_COUNTY)
+    return outliers.dom_tail(P.sold(spark, sf).iqr_core, county=TAIL_COUNTY)
 
 
 @reg("status_counts", S + "SELECT district_match_status, count(*) AS n FROM iqr GROUP BY 1")
@@ -632,7 +634,7 @@ def q_status_counts(spark, sf):
 SELECT 'sold' AS dataset, field, q1, q3, lo, hi, below, above, flagged_pct_of_rows FROM fall
 UNION ALL SELECT 'listings' AS dataset, field, q1, q3, lo, hi, below, above, flagged_pct_of_rows FROM l_fall""")
 def q_fence_rates_both(spark, sf):
-    return rnd(outliers.fence_rates_both(P.sold(spark, sf).enriched_stage, P.listings(spark, sf).enriched_stage, accuracy=ACC),
+    return rnd(outliers.fence_rates_both(P.sold(spark, sf).measure_stage, P.listings(spark, sf).measure_stage, accuracy=ACC, staged=True),
                "q1", "q3", "lo", "hi")
 
 
@@ -645,21 +647,21 @@ _M = "CAST(date_trunc('month', {d}) AS DATE)"
 SELECT {_M.format(d='CloseDate')} AS month, round(avg(days_on_market), 6) AS avg_days_on_market FROM iqr
 WHERE any_iqr_outlier_flag = 0 AND CloseDate IS NOT NULL GROUP BY 1""")
 def q_avg_dom(spark, sf):
-    return rnd(dashboard.avg_dom(P.sold(spark, sf).iqr), "avg_days_on_market")
+    return rnd(dashboard.avg_dom(P.sold(spark, sf).iqr_core), "avg_days_on_market")
 
 
 @reg("avg_ratio", S + f"""
 SELECT {_M.format(d='CloseDate')} AS month, round(avg(price_ratio), 6) AS avg_price_ratio FROM iqr
 WHERE any_iqr_outlier_flag = 0 AND price_ratio BETWEEN 0 AND 2 AND CloseDate IS NOT NULL GROUP BY 1""")
 def q_avg_ratio(spark, sf):
-    return rnd(dashboard.avg_ratio(P.sold(spark, sf).iqr), "avg_price_ratio")
+    return rnd(dashboard.avg_ratio(P.sold(spark, sf).iqr_core), "avg_price_ratio")
 
 
 @reg("new_listings", O.chain("listings") + f"""
 SELECT {_M.format(d='ListingContractDate')} AS month, count(strftime(ListingContractDate, '%Y-%m')) AS new_listings
 FROM iqr WHERE ListingContractDate IS NOT NULL GROUP BY 1""")
 def q_new_listings(spark, sf):
-    return dashboard.new_listings(dashboard.extract_listings(P.listings(spark, sf).iqr))
+    return dashboard.new_listings(dashboard.extract_listings(P.listings(spark, sf).iqr_core))
 
 
 @reg("closed_sales", S + f"""
@@ -703,7 +705,7 @@ SELECT ListingContractDate, strftime(ListingContractDate, '%Y-%m') AS ListYrMo,
   split_part(CAST(PostalCode AS VARCHAR), '.', 1) AS PostalCode, PropertySubType,
   CAST(any_iqr_outlier_flag AS BIGINT) AS any_iqr_outlier_flag FROM iqr""")
 def q_extract_listings(spark, sf):
-    return dashboard.extract_listings(P.listings(spark, sf).iqr)
+    return dashboard.extract_listings(P.listings(spark, sf).iqr_core)
 
 
 # ---------------------------------------------------------------- phase 9
@@ -753,7 +755,7 @@ SELECT (SELECT {_pct('count(*) FILTER (WHERE DaysOnMarket = CloseDate - ListingC
        (SELECT {_pct('count(*) FILTER (WHERE ClosePrice IS NULL)', 'count(*)')} FROM l_reduced) AS listings_no_close_price_pct""")
 def q_logged_probes(spark, sf):
     s, lst = P.sold(spark, sf), P.listings(spark, sf)
-    return rnd(contracts.logged_probes(s.flagged, s.iqr, lst.reduced, accuracy=ACC), "median_price_no_coords",
+    return rnd(contracts.logged_probes(s.flagged, s.iqr_core, lst.reduced, accuracy=ACC), "median_price_no_coords",
                "median_price_with_coords", "median_price_area_le0")
 
 

@@ -98,15 +98,26 @@ class Stages:
         return spatial.district_join(self.metrics, self.polygons, self.params, keep_match_count=True)
 
     @cached_property
-    def enriched_stage(self) -> DataFrame:
-        """The enriched table cut from its lineage (reliable checkpoint in the
-        shared checkpoint folder): multi-pass consumers (fences, medians) read
-        it instead of replaying scan, joins and the spatial test per pass."""
-        return cut_lineage(self.enriched)
+    def measure_stage(self) -> DataFrame:
+        """The clean rows' measures and segment keys, for fences and medians that
+        read them in several passes. No district is among them, so the spatial
+        join isn't run for them."""
+        names = [*C.IQR_FIELDS, "price_per_sqft", "price_ratio", "close_to_original_list_ratio", "days_on_market",
+                 "listing_to_contract_days", "contract_to_close_days", *C.SEGMENT_DIMS, *C.SEGMENT_PAIR]
+        return cut_lineage(self.metrics.select(*dict.fromkeys(names)))
+
+    @cached_property
+    def fences(self) -> DataFrame:
+        return outliers.iqr_fences(self.measure_stage, probs=[], accuracy=self.params.quantile_accuracy, minimal=True, staged=True)
+
+    @cached_property
+    def iqr_core(self) -> DataFrame:
+        """The IQR-flagged rows without the districts."""
+        return outliers.iqr_flags(self.metrics, fences=self.fences)
 
     @cached_property
     def iqr(self) -> DataFrame:
-        return outliers.iqr_flags(self.enriched_stage, accuracy=self.params.quantile_accuracy)
+        return outliers.iqr_flags(self.enriched, fences=self.fences)
 
 
 def sold(spark: SparkSession, sf_dir: str) -> Stages:

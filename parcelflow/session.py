@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a row group of a stage table, before encoding.
+ROW_GROUP_BYTES = 16 << 20
+
 _LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
@@ -58,11 +61,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table under the shared folder and read it
     back: readers prune columns and push filters down, a lost executor costs a
-    re-read and not a replay. Each call has a folder of its own, which the
-    file system removes when the application ends."""
+    re-read and not a replay. Row groups are small, so that the readers of a
+    file which one task wrote are many. Each call has a folder of its own, which
+    the file system removes when the application ends."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/stages/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
     try:
         jvm = spark._jvm
         where = jvm.org.apache.hadoop.fs.Path(path)

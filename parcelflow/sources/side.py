@@ -23,16 +23,26 @@ def read_geojson_polygons(spark: SparkSession, path: str, reproject_from_3857: b
     Coordinates are declared as raw JSON text (inference would collapse the
     mixed Polygon / MultiPolygon nesting) and parsed per geometry type;
     multipolygon parts are flattened into rings, which even-odd parity
-    treats correctly together with holes."""
+    treats correctly together with holes. The rings' coordinate system is the
+    file's ``crs`` member, else EPSG:3857 if they are to be reprojected, else
+    EPSG:4326; it is kept as column metadata."""
+    from parcelflow.operators.spatial import GEOGRAPHIC, MERCATOR, reproject_rings, with_crs
     schema = T.StructType([T.StructField("features", T.ArrayType(T.StructType([
         T.StructField("properties", T.StructType([
             T.StructField("DistrictName", T.StringType()),
             T.StructField("DistrictType", T.StringType())])),
         T.StructField("geometry", T.StructType([
             T.StructField("type", T.StringType()),
-            T.StructField("coordinates", T.StringType())]))])))])
-    feats = (spark.read.schema(schema).option("multiLine", True).json(path)
-             .select(F.explode("features").alias("f")))
+            T.StructField("coordinates", T.StringType())]))]))),
+        T.StructField("crs", T.StructType([T.StructField("properties", T.StructType([T.StructField("name", T.StringType())]))]))])
+    body = spark.read.schema(schema).option("multiLine", True).json(path)
+    # one name for each file
+    named = [r[0] for r in body.select(F.col("crs.properties.name")).where("name IS NOT NULL").distinct().collect()]
+    systems = {GEOGRAPHIC if n.endswith("CRS84") else "EPSG:" + n.rsplit(":", 1)[-1] for n in named}
+    if len(systems) > 1:
+        raise ValueError(f"several coordinate systems in {path}: {sorted(systems)}")
+    crs = next(iter(systems), MERCATOR if reproject_from_3857 else GEOGRAPHIC)
+    feats = body.select(F.explode("features").alias("f"))
     gtype, coords = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
     poly = F.from_json(coords, f"array<array<{_POINT}>>")
     multi = F.flatten(F.from_json(coords, f"array<array<array<{_POINT}>>>"))
@@ -41,7 +51,5 @@ def read_geojson_polygons(spark: SparkSession, path: str, reproject_from_3857: b
     out = feats.select(F.col("f.properties.DistrictName").alias("DistrictName"),
                        F.col("f.properties.DistrictType").alias("DistrictType"),
                        F.transform(rings, to_xy).alias("rings"))
-    if reproject_from_3857:
-        from parcelflow.operators.spatial import reproject_rings
-        out = reproject_rings(out)
-    return out
+    out = with_crs(out, crs)
+    return reproject_rings(out) if reproject_from_3857 and crs != GEOGRAPHIC else out

@@ -67,3 +67,53 @@ def test_refinement_levels(spark):
         for r in got:
             s = pdf.v if not by else pdf.loc[pdf.g == r.g, "v"]
             assert _close(r.value, float(s.quantile(r.p))), (by, r)
+
+
+def _jobs(spark, work):
+    """Spark jobs that ``work`` runs."""
+    sc = spark.sparkContext
+    sc.setJobGroup("counted", "counted jobs")
+    try:
+        out = work()
+        return out, len(sc.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        sc.setJobGroup("", "")
+
+
+def test_few_distinct_values_need_one_level(spark):
+    xs = [0.0, 1.0, 2.0, 3.0, 1e300] * 4000
+    df = spark.createDataFrame([(x,) for x in xs], "v double").repartition(4).cache()
+    df.count()
+    probs = [0.0, 0.1, 0.25, 0.5, 0.79995, 0.9, 1.0]
+    got, jobs = _jobs(spark, lambda: {r.p: r.value for r in exact_percentiles(df, ["v"], probs, staged=True).collect()})
+    assert got == {p: float(np.quantile(xs, p)) for p in probs}
+    assert jobs <= 5  # the range, one histogram (each may be two with adaptive stages), the result
+
+
+@pytest.mark.parametrize("xs", [
+    [1e-320, 5e-324, 0.0, -5e-324, 1.0], [1e308, -1e308, 0.0, 5.0, 7.0, 7.0], [float("inf"), float("-inf"), 1.0, 2.0, 3.0],
+    [10.0 ** k for k in range(-300, 300, 14)], [2.0 ** -k for k in range(90)], [7.0] * 50, [3.0]])
+def test_hard_ranges(spark, xs):
+    df = spark.createDataFrame([(x,) for x in xs], "v double")
+    probs = [0.0, 0.5, 1.0] if len(xs) % 2 else [0.0, 1.0]
+    for how in ({"by": []}, {"by": [], "accuracy": 3, "small_n": 0}, {"by": ["g"]}):
+        got = exact_percentiles(df.selectExpr("'x' g", "v"), ["v"], probs, **how).collect()
+        assert {r.p: r.value for r in got} == {p: sorted(xs)[int(p * (len(xs) - 1))] for p in probs}
+
+
+def test_groups_over_many_partitions(spark):
+    """Hot groups and hot values spread over range partitions, two keys, a null
+    key, a group without values."""
+    rng = np.random.default_rng(3)
+    n = 20000
+    pdf = pd.DataFrame({"a": np.where(rng.random(n) < 0.4, "hot", rng.integers(0, 30, n).astype(str)), "b": rng.integers(0, 3, n),
+                        "v": np.where(rng.random(n) < 0.4, 5.0, rng.normal(0, 3, n)), "w": rng.integers(0, 4, n).astype(float)})
+    pdf.loc[::11, "v"] = np.nan
+    pdf.loc[pdf.a == "7", "w"] = np.nan
+    df = spark.createDataFrame(pdf).selectExpr("nullif(a, '9') a", "b", "v", "w")
+    got = exact_percentiles(df, ["v", "w"], [0.25, 0.5, 0.99], by=["a", "b"], broadcast_rows=0).collect()
+    want = pdf[pdf.a != "9"].melt(["a", "b"], ["v", "w"], "field", "x").dropna().groupby(["a", "b", "field"])["x"]
+    assert len(got) == 3 * want.ngroups
+    for r in got:
+        s = want.get_group((r.a, r.b, r.field))
+        assert r.n == len(s) and _close(r.value, float(s.quantile(r.p)))
