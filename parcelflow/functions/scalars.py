@@ -25,6 +25,11 @@ def lenient_double(x: ColLike) -> Column:
     return F.when(~F.isnan(d) & ~F.rtrim(v.cast("string")).rlike("[0-9.][dDfF]$"), d)
 
 
+def number(x: ColLike) -> Column:
+    """F2 for a column that is a number already: double, NaN is null."""
+    return F.nanvl(_c(x).cast("double"), F.lit(None).cast("double"))
+
+
 def lenient_date(x: ColLike) -> Column:
     """ISO date or timestamp text -> date (truncated to the day); bad -> null."""
     v = _c(x)

@@ -20,6 +20,9 @@ _LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot never compiles a method of more bytecode; a wide stage beyond it runs
+    # operator by operator, each compiled, which is faster than one interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
