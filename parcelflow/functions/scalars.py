@@ -61,6 +61,18 @@ def month_start(d: ColLike) -> Column:
     return F.trunc(_c(d), "MM")
 
 
+def rows_or_null() -> Column:
+    """Row count as a divisor: shares of no rows are null."""
+    return F.nullif(F.count(F.lit(1)), F.lit(0))
+
+
+def round_half_even(x: ColLike, digits: int) -> Column:
+    """the scaled value rounded to the nearest integer, ties to even, and
+    scaled back: the steps of an array library's rounding, in doubles."""
+    scale = F.lit(10.0 ** digits)
+    return F.rint(_c(x) * scale) / scale
+
+
 def safe_ratio(num: ColLike, den: ColLike) -> Column:
     """num / den, null where den <= 0 or null."""
     d = _c(den)

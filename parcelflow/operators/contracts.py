@@ -5,12 +5,14 @@ of asserting, so a pipeline can persist and act on them."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcelflow.functions.quantiles import exact_percentiles_wide
+from parcelflow.functions.scalars import rows_or_null
 from parcelflow.session import cut_lineage
 
 
@@ -78,6 +80,21 @@ def key_overlap(sold: DataFrame, listings: DataFrame, key: str = "ListingKey") -
         F.coalesce(F.sum(F.when(~known | (F.col("s") == 0), F.col("l"))), F.lit(0)).alias("listings_not_sold"))
 
 
+def listings_not_sold(listings: DataFrame, sold: DataFrame, key: str = "ListingKey") -> DataFrame:
+    """The listings whose key no sale has, the part of the listings that a
+    combined table adds; a listing without a key is one of them."""
+    return listings.join(sold.select(key).distinct(), key, "left_anti")
+
+
+def contract_report(checks: Mapping[str, DataFrame], passed: Mapping[str, str] | None = None) -> DataFrame:
+    """(check, ok) of many checks; a check with several rows holds if all do.
+    ``passed`` names the column of checks that don't call it ``ok``."""
+    passed = passed or {}
+    rows = [df.agg(F.coalesce(F.bool_and(F.col(passed.get(name, "ok"))), F.lit(False)).alias("ok")).select(F.lit(name).alias("check"), "ok")
+            for name, df in checks.items()]
+    return functools.reduce(DataFrame.unionAll, rows)
+
+
 def logged_probes(flagged_sold: DataFrame, iqr_sold: DataFrame, listings: DataFrame,
                   accuracy: int = 10_000) -> DataFrame:
     """DOM = close - list share; median price with vs without
@@ -85,7 +102,7 @@ def logged_probes(flagged_sold: DataFrame, iqr_sold: DataFrame, listings: DataFr
     IQR-kept; listings without a close price (share)."""
     f = cut_lineage(flagged_sold.select("DaysOnMarket", "CloseDate", "ListingContractDate", "missing_coords_flag", "ClosePrice", "LivingArea"))
     dom_eq = f.agg((F.count_if(F.col("DaysOnMarket") == F.datediff("CloseDate", "ListingContractDate"))
-                    * 100.0 / F.count(F.lit(1))).alias("dom_equals_close_minus_list_pct"))
+                    * 100.0 / rows_or_null()).alias("dom_equals_close_minus_list_pct"))
     med = exact_percentiles_wide(f, [
         ("median_price_no_coords", F.when(F.col("missing_coords_flag") == 1, F.col("ClosePrice")), 0.5),
         ("median_price_with_coords", F.when(F.col("missing_coords_flag") == 0, F.col("ClosePrice")), 0.5),
@@ -93,6 +110,6 @@ def logged_probes(flagged_sold: DataFrame, iqr_sold: DataFrame, listings: DataFr
     ], accuracy=accuracy, staged=True)
     ratio = iqr_sold.where(F.col("any_iqr_outlier_flag") == 0).agg(
         F.count_if(F.col("price_ratio") > 2).alias("ratio_gt2_iqr_kept"))
-    lst = listings.agg((F.count_if(F.col("ClosePrice").isNull()) * 100.0 / F.count(F.lit(1)))
+    lst = listings.agg((F.count_if(F.col("ClosePrice").isNull()) * 100.0 / rows_or_null())
                        .alias("listings_no_close_price_pct"))
     return dom_eq.crossJoin(med).crossJoin(ratio).crossJoin(lst)

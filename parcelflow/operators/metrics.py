@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions.quantiles import exact_percentiles_wide
-from parcelflow.functions.scalars import month_key, safe_ratio
+from parcelflow.functions.scalars import month_key, round_half_even, rows_or_null, safe_ratio
 from parcelflow.session import cut_lineage
 
 
@@ -55,7 +55,7 @@ def segment(df: DataFrame, by: str | Sequence[str], top: int = 10, accuracy: int
         ("median_dom", "days_on_market", 0.5),
     ], by=by, accuracy=accuracy)
     meds = ["median_close", "median_ppsf", "median_price_ratio", "median_dom"]
-    rnd = (lambda c: F.col(c)) if digits is None else (lambda c: F.bround(c, digits).alias(c))
+    rnd = (lambda c: F.col(c)) if digits is None else (lambda c: round_half_even(c, digits).alias(c))
     return (top_keys.join(med, by, "left")
             .select(*by, "n_sales", *[rnd(c) for c in meds])
             .orderBy(F.desc("n_sales"), *by))
@@ -68,9 +68,9 @@ def ask_split(enriched: DataFrame, accuracy: int = 10_000) -> DataFrame:
     have = cut_lineage(enriched.where(r.isNotNull()).select("price_ratio"))
     shares = have.agg(
         F.count(F.lit(1)).alias("n"),
-        (F.count_if(r > 1) * 100.0 / F.count(F.lit(1))).alias("above_pct"),
-        (F.count_if(r == 1) * 100.0 / F.count(F.lit(1))).alias("at_pct"),
-        (F.count_if(r < 1) * 100.0 / F.count(F.lit(1))).alias("below_pct"))
+        (F.count_if(r > 1) * 100.0 / rows_or_null()).alias("above_pct"),
+        (F.count_if(r == 1) * 100.0 / rows_or_null()).alias("at_pct"),
+        (F.count_if(r < 1) * 100.0 / rows_or_null()).alias("below_pct"))
     med = exact_percentiles_wide(have, [("median_ratio", "price_ratio", 0.5)], accuracy=accuracy, staged=True)
     return shares.crossJoin(med)
 

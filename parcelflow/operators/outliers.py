@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import config as C
 from parcelflow.functions.quantiles import exact_percentiles, exact_percentiles_wide
-from parcelflow.functions.scalars import contains_ci
+from parcelflow.functions.scalars import contains_ci, rows_or_null
 from parcelflow.session import cut_lineage
 
 
@@ -97,7 +97,7 @@ def iqr_filtered(flagged: DataFrame) -> DataFrame:
 
 def iqr_share(flagged: DataFrame, band: tuple[float, float] = C.IQR_SHARE_BAND) -> DataFrame:
     """A33 + V6: any-flag rows, share (%) and whether it sits in the sanity band."""
-    share = F.sum(F.col("any_iqr_outlier_flag").cast("long")) * 100.0 / F.count(F.lit(1))
+    share = F.sum(F.col("any_iqr_outlier_flag").cast("long")) * 100.0 / rows_or_null()
     return (flagged.agg(F.sum(F.col("any_iqr_outlier_flag").cast("long")).alias("flagged"),
                         share.alias("share_pct"))
             .withColumn("in_band", F.col("share_pct").between(band[0], band[1])))
@@ -124,7 +124,7 @@ def iqr_comparison(flagged: DataFrame, accuracy: int = 10_000) -> DataFrame:
     base = narrow.agg(*[a for d, c in sides.items() for a in (F.count_if(c).alias(f"{d}_rows"),
                                                               F.avg(F.when(c, F.col("ClosePrice").cast("double"))).alias(f"{d}_mean"))])
     one = base.crossJoin(med)  # a row each
-    share = lambda n: n * 100.0 / F.col("before_rows")
+    share = lambda n: n * 100.0 / F.nullif(F.col("before_rows"), F.lit(0))
     sets = [F.struct(F.lit(d).alias("dataset"), F.col(f"{d}_rows").alias("rows"), F.col(f"{d}_mean").alias("mean_ClosePrice"),
                      *[F.col(f"{d}_{f}").alias(f"median_{f}") for f in fields],
                      share(F.col("before_rows") - F.col(f"{d}_rows")).alias("removed_pct"), share(F.col(f"{d}_rows")).alias("retained_pct")) for d in sides]
@@ -136,7 +136,7 @@ def flag_rate_county(flagged: DataFrame, top: int = 6) -> DataFrame:
     the counties of most rows of the one aggregate."""
     per = flagged.where(F.col("CountyOrParish").isNotNull()).groupBy("CountyOrParish").agg(
         F.count(F.lit(1)).alias("rows"),
-        (F.sum(F.col("any_iqr_outlier_flag").cast("long")) * 100.0 / F.count(F.lit(1))).alias("flagged_pct"))
+        (F.sum(F.col("any_iqr_outlier_flag").cast("long")) * 100.0 / rows_or_null()).alias("flagged_pct"))
     return per.orderBy(F.desc("rows"), "CountyOrParish").limit(top)
 
 
@@ -149,7 +149,7 @@ def investor_tier(flagged: DataFrame, price: float = C.INVESTOR_TIER_PRICE,
                    *[F.sum(F.col(c).cast("long")).alias(name) for name, c in cols])
     long = one.unpivot(["_n"], [n for n, _ in cols], "fence", "fired")
     return long.select(F.col("_n").alias("rows"), "fence", "fired",
-                       (F.col("fired") * 100.0 / F.col("_n")).alias("rate_pct"))
+                       (F.col("fired") * 100.0 / F.nullif(F.col("_n"), F.lit(0))).alias("rate_pct"))
 
 
 def dom_tail(flagged: DataFrame, price: float = C.INVESTOR_TIER_PRICE, county: str = "Riverside",
@@ -160,9 +160,9 @@ def dom_tail(flagged: DataFrame, price: float = C.INVESTOR_TIER_PRICE, county: s
     n = F.count(F.lit(1))
     return slow.agg(
         n.alias("rows"),
-        (F.count_if(F.col("ClosePrice") < price) * 100.0 / n).alias("under_price_pct"),
-        (F.count_if(F.col("CountyOrParish") == county) * 100.0 / n).alias("county_pct"),
-        (F.count_if(contains_ci("BuyerOfficeName", pattern)) * 100.0 / n).alias("nonmember_pct"))
+        (F.count_if(F.col("ClosePrice") < price) * 100.0 / rows_or_null()).alias("under_price_pct"),
+        (F.count_if(F.col("CountyOrParish") == county) * 100.0 / rows_or_null()).alias("county_pct"),
+        (F.count_if(contains_ci("BuyerOfficeName", pattern)) * 100.0 / rows_or_null()).alias("nonmember_pct"))
 
 
 def status_counts(flagged: DataFrame) -> DataFrame:

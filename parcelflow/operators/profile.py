@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from parcelflow import config as C
 from parcelflow.functions.quantiles import exact_percentiles
+from parcelflow.functions.scalars import rows_or_null
 from parcelflow.session import cut_lineage
 
 
@@ -71,9 +72,9 @@ def vs_list_share(res: DataFrame) -> DataFrame:
     cp, lp = F.col("ClosePrice"), F.col("ListPrice")
     return both.agg(
         F.count(F.lit(1)).alias("n"),
-        (F.count_if(cp > lp) * 100.0 / F.count(F.lit(1))).alias("above_pct"),
-        (F.count_if(cp < lp) * 100.0 / F.count(F.lit(1))).alias("below_pct"),
-        (F.count_if(cp == lp) * 100.0 / F.count(F.lit(1))).alias("at_pct"))
+        (F.count_if(cp > lp) * 100.0 / rows_or_null()).alias("above_pct"),
+        (F.count_if(cp < lp) * 100.0 / rows_or_null()).alias("below_pct"),
+        (F.count_if(cp == lp) * 100.0 / rows_or_null()).alias("at_pct"))
 
 
 def close_before_list(res: DataFrame) -> DataFrame:
@@ -81,7 +82,7 @@ def close_before_list(res: DataFrame) -> DataFrame:
     dd = res.where(F.col("ListingContractDate").isNotNull() & F.col("CloseDate").isNotNull())
     bad = F.count_if(F.col("CloseDate") < F.col("ListingContractDate"))
     return dd.agg(F.count(F.lit(1)).alias("n"), bad.alias("close_before_list"),
-                  (bad * 100.0 / F.count(F.lit(1))).alias("pct"))
+                  (bad * 100.0 / rows_or_null()).alias("pct"))
 
 
 def top_counties(res: DataFrame, top: int = 10, accuracy: int = 10_000) -> DataFrame:

@@ -60,16 +60,13 @@ def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.toDF(*names)
 
 
-def row_checkpoints(df: DataFrame, part_col: str) -> DataFrame:
-    """A1 + U2: rows per input part, their sum, the concatenated total and the
-    Residential rows, in one pass; ``lossless`` asserts sum == total."""
-    per = df.groupBy(part_col).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("PropertyType") == "Residential").alias("res"))
-    tot = df.agg(F.count(F.lit(1)).alias("rows_concat"))
-    return (per.agg(F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("rows_sum"),
-                    F.sum("res").alias("rows_residential"))
-            .crossJoin(tot)
+def row_checkpoints(parts: Sequence[DataFrame], whole: DataFrame) -> DataFrame:
+    """A1 + U2: rows of every input part by its own scan, their sum, the rows of
+    the concatenated table and its Residential rows; ``lossless`` says whether sum
+    and total agree."""
+    per = functools.reduce(DataFrame.unionAll, [p.agg(F.count(F.lit(1)).alias("rows")) for p in parts])
+    tot = whole.agg(F.count(F.lit(1)).alias("rows_concat"), F.count_if(F.col("PropertyType") == "Residential").alias("rows_residential"))
+    return (per.agg(F.count_if(F.col("rows") > 0).alias("parts"), F.sum("rows").alias("rows_sum")).crossJoin(tot)
             .select("parts", "rows_sum", "rows_concat", "rows_residential",
                     (F.col("rows_sum") == F.col("rows_concat")).alias("lossless")))
 
@@ -92,7 +89,7 @@ def null_report(df: DataFrame) -> DataFrame:
     one = df.agg(F.count(F.lit(1)).alias("_n"),
                  *[F.count_if(F.col(f"`{c}`").isNull()).alias(c) for c in cols])
     long = one.unpivot(["_n"], cols, "column", "null_count")
-    pct = F.round(F.col("null_count") * 100.0 / F.col("_n"), 2)
+    pct = F.round(F.col("null_count") * 100.0 / F.nullif(F.col("_n"), F.lit(0)), 2)
     return (long.select("column", F.col("null_count").cast("long").alias("null_count"),
                         pct.alias("null_pct"))
             .withColumn("over_90pct_null", F.col("null_pct") > 90)
@@ -119,9 +116,13 @@ def column_drop_counts(df: DataFrame, keep: Sequence[str] = C.KEEP_COLUMNS) -> D
 
 
 def schema_report(df: DataFrame) -> DataFrame:
-    """A5: position, name and Spark type of every column."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, dtype string")
+    """A5: position, name, Spark type and values that are not null of every
+    column, from one aggregate over the table."""
+    one = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f.name) for f in df.schema])
+    kinds = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
+    meta = df.sparkSession.createDataFrame(kinds, "position int, column string, dtype string")
+    long = one.unpivot([], df.columns, "column", "non_null")
+    return long.join(F.broadcast(meta), "column").select("position", "column", "dtype", "non_null").orderBy("position")
 
 
 def shape(df: DataFrame) -> DataFrame:

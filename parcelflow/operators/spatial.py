@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow import config as C
-from parcelflow.functions.scalars import web_mercator_to_lonlat
+from parcelflow.functions.scalars import rows_or_null, web_mercator_to_lonlat
 from parcelflow.session import cut_lineage
 
 EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
@@ -257,7 +257,7 @@ def district_match_summary(joined: DataFrame) -> DataFrame:
     return joined.agg(
         F.count_if(valid).alias("valid_points"),
         matched.alias("matched"),
-        (matched * 100.0 / F.count_if(valid)).alias("match_rate_pct"),
+        (matched * 100.0 / F.nullif(F.count_if(valid), F.lit(0))).alias("match_rate_pct"),
         F.count_if(F.col("district_matches") > 1).alias("multi_match_points"))
 
 
@@ -269,6 +269,15 @@ def district_modal_city(joined: DataFrame, cities: list[str] | None = None) -> D
     return d.groupBy("City").agg(F.mode("DistrictName", True).alias("modal_district"))
 
 
+def district_city_check(joined: DataFrame, expected: dict[str, str]) -> DataFrame:
+    """The expected against the most frequent district of each listed city;
+    a city without a match has none and is not ok."""
+    want = joined.sparkSession.createDataFrame(list(expected.items()), "City string, expected string")
+    modal = district_modal_city(joined, list(expected))  # a row a listed city
+    return (F.broadcast(want).join(modal, "City", "left")
+            .select("City", "expected", "modal_district", F.coalesce(F.col("expected") == F.col("modal_district"), F.lit(False)).alias("ok")))
+
+
 def district_negative_control(joined: DataFrame, city: str) -> DataFrame:
     """Status counts for one city."""
     return (joined.where(F.col("City") == city).groupBy("district_match_status")
@@ -292,6 +301,6 @@ def district_county_rate(joined: DataFrame, top: int = 6) -> DataFrame:
     from one aggregate."""
     per = joined.where(F.col("CountyOrParish").isNotNull()).groupBy("CountyOrParish").agg(
         F.count(F.lit(1)).alias("rows"),
-        (F.count_if(F.col("district_match_status") == "matched") * 100.0 / F.count(F.lit(1))).alias("matched_pct"),
-        (F.count_if(F.col("district_match_status") == "missing_coords") * 100.0 / F.count(F.lit(1))).alias("missing_pct"))
+        (F.count_if(F.col("district_match_status") == "matched") * 100.0 / rows_or_null()).alias("matched_pct"),
+        (F.count_if(F.col("district_match_status") == "missing_coords") * 100.0 / rows_or_null()).alias("missing_pct"))
     return per.orderBy(F.desc("rows"), "CountyOrParish").limit(top)

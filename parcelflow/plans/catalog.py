@@ -7,6 +7,7 @@ stand-in projections and returns a lazy DataFrame over the whole tables.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,12 +55,14 @@ TAIL_COUNTY = "NATION_1"
 FILTERS = {"CountyOrParish": ["NATION_1", "NATION_2", "NATION_3"], "PropertySubType": ["MEDIUM", "LARGE"]}
 COUNTY_ROWS = 100  # the reference asks for 2,000 rows; the stand-in has fewer
 MONTHS_FIRST, MONTHS_LAST = "199201", "199812"
+PART_YEARS = [0, *range(1990, 2010)]  # parts of the union: rows without a date, and each year
+CITY_DISTRICTS = {"City_1": "FRANCE Unified", "City_2": "NATION_7 Unified", "City_40": "NATION_14 Unified", "Nowhere": "NATION_1 Unified"}
 
 RAW_COLS = ["ListingKey", "ClosePrice", "ListPrice", "OriginalListPrice", "ListingContractDate",
             "PurchaseContractDate", "CloseDate", "DaysOnMarket", "MlsStatus", "PropertyType",
             "PropertySubType", "LivingArea", "BedroomsTotal", "BathroomsTotalInteger", "YearBuilt",
             "CountyOrParish", "City", "PostalCode", "MLSAreaMajor", "Latitude", "Longitude",
-            "ListOfficeName", "BuyerOfficeName"]
+            "ListOfficeName", "BuyerOfficeName", "Levels", "TaxYear"]
 
 
 # Interpolated quantiles and averages are compared at 6 decimals: the two
@@ -95,13 +98,14 @@ def q_monthly_median_price(spark, sf):
 # ---------------------------------------------------------------- phase 1
 
 @reg("row_checkpoints", S + """
-, per AS (SELECT strftime(CloseDate, '%Y%m') AS f, count(*) AS n,
+, per AS (SELECT coalesce(year(CloseDate), 0) AS f, count(*) AS n,
                  count(*) FILTER (WHERE PropertyType = 'Residential') AS r FROM raw GROUP BY 1)
 SELECT count(*) AS parts, CAST(sum(n) AS BIGINT) AS rows_sum, (SELECT count(*) FROM raw) AS rows_concat,
        CAST(sum(r) AS BIGINT) AS rows_residential, sum(n) = (SELECT count(*) FROM raw) AS lossless FROM per""")
 def q_row_checkpoints(spark, sf):
     raw = P.sold(spark, sf).raw
-    return shape.row_checkpoints(raw.withColumn("file", F.date_format("CloseDate", "yyyyMM")), "file")
+    parts = [raw.where(F.coalesce(F.year("CloseDate"), F.lit(0)) == y) for y in PART_YEARS]
+    return shape.row_checkpoints(parts, shape.union_by_name(parts))
 
 
 @reg("residential", S + "SELECT * FROM res")
@@ -156,20 +160,28 @@ def q_null_report(spark, sf):
 
 
 _KEEP_IN = ", ".join(f"'{c}'" for c in C.KEEP_COLUMNS)
-_DROP = S + _NR + f""", rep AS (SELECT "column", CASE WHEN "column" IN ({_KEEP_IN}) THEN 'kept'
+_NRR = f", nr AS ({_null_report_sql(RAW_COLS, 'res')})\n"
+
+
+@reg("null_report_residential", S + _NRR + 'SELECT "column", null_count, null_pct, null_pct > 90 AS over_90pct_null FROM nr')
+def q_null_report_residential(spark, sf):
+    return shape.null_report(P.sold(spark, sf).residential)
+
+
+_DROP = S + _NRR + f""", rep AS (SELECT "column", CASE WHEN "column" IN ({_KEEP_IN}) THEN 'kept'
   WHEN null_pct > 90 THEN 'dropped_over_90pct_null' ELSE 'dropped_other' END AS reason FROM nr)
 """
 
 
 @reg("column_drop_report", _DROP + 'SELECT "column", reason FROM rep')
 def q_column_drop_report(spark, sf):
-    return shape.column_drop_report(P.sold(spark, sf).raw)
+    return shape.column_drop_report(P.sold(spark, sf).residential)
 
 
 @reg("column_drop_counts", _DROP + f"""
 SELECT reason, count(*) AS columns, {_pct('count(*)', str(len(RAW_COLS)))} AS share_pct FROM rep GROUP BY 1""")
 def q_column_drop_counts(spark, sf):
-    return shape.column_drop_counts(P.sold(spark, sf).raw)
+    return shape.column_drop_counts(P.sold(spark, sf).residential)
 
 
 _TYPEMAP = ("CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
@@ -177,7 +189,7 @@ _TYPEMAP = ("CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'i
 
 
 @reg("schema_report", S + "\n UNION ALL ".join(
-    f"""SELECT {i} AS position, '{c}' AS "column", ({_TYPEMAP.format(c=c)}) AS dtype FROM (SELECT * FROM raw LIMIT 1)"""
+    f"""SELECT {i} AS position, '{c}' AS "column", min({_TYPEMAP.format(c=c)}) AS dtype, count({c}) AS non_null FROM raw"""
     for i, c in enumerate(RAW_COLS)))
 def q_schema_report(spark, sf):
     return shape.schema_report(P.sold(spark, sf).raw)
@@ -441,6 +453,15 @@ for _name, _by in [("segment_subtype", ["PropertySubType"]), ("segment_county",
                                                       accuracy=ACC))(_by))
 
 
+def _two_digits(sql: str) -> str:
+    return re.sub(r"round\((quantile_cont\([^)]*\)), 6\)", r"round_even(\1 * 100, 0) / 100", sql)
+
+
+@reg("segment_county_rounded", _two_digits(_segment_sql(["CountyOrParish"])))
+def q_segment_county_rounded(spark, sf):
+    return metrics.segment(P.sold(spark, sf).measure_stage, "CountyOrParish", accuracy=ACC)
+
+
 @reg("ask_split", S + f"""
 SELECT count(*) AS n, {_pct('count(*) FILTER (WHERE price_ratio > 1)', 'count(*)')} AS above_pct,
   {_pct('count(*) FILTER (WHERE price_ratio = 1)', 'count(*)')} AS at_pct,
@@ -506,6 +527,16 @@ def q_district_modal_city(spark, sf):
     return spatial.district_modal_city(P.sold(spark, sf).enriched)
 
 
+@reg("district_city_check", S + f""", modal AS (
+  SELECT City, DistrictName AS modal_district FROM (
+    SELECT City, DistrictName, row_number() OVER (PARTITION BY City ORDER BY count(*) DESC, DistrictName) AS rn
+    FROM districted WHERE DistrictName IS NOT NULL AND City IS NOT NULL GROUP BY City, DistrictName) WHERE rn = 1),
+want(City, expected) AS (VALUES {", ".join(f"('{c}', '{d}')" for c, d in CITY_DISTRICTS.items())})
+SELECT City, expected, modal_district, coalesce(expected = modal_district, false) AS ok FROM want LEFT JOIN modal USING (City)""")
+def q_district_city_check(spark, sf):
+    return spatial.district_city_check(P.sold(spark, sf).enriched, CITY_DISTRICTS)
+
+
 @reg("district_negative_control", S + f"""
 SELECT district_match_status, count(*) AS n FROM districted WHERE City = '{CONTROL_CITY}' GROUP BY 1""")
 def q_district_negative_control(spark, sf):
@@ -730,6 +761,30 @@ def q_key_overlap(spark, sf):
     return contracts.key_overlap(P.sold(spark, sf).reduced, P.listings(spark, sf).reduced)
 
 
+@reg("listings_not_sold", B + """
+SELECT * FROM l_reduced WHERE ListingKey NOT IN (SELECT ListingKey FROM reduced WHERE ListingKey IS NOT NULL)""")
+def q_listings_not_sold(spark, sf):
+    return contracts.listings_not_sold(P.listings(spark, sf).reduced, P.sold(spark, sf).reduced)
+
+
+@reg("contract_report", S + f"""
+SELECT 'row_conservation' AS "check", (SELECT count(*) FROM clean) = (SELECT count(*) - sum(hard_invalid_flag) FROM flagged) AS ok
+UNION ALL SELECT 'single_type', (SELECT count(DISTINCT PropertyType) = 1 FROM flagged)
+UNION ALL SELECT 'rates', (SELECT count(*) = 0 FROM rated WHERE rate_30yr_fixed IS NULL)
+UNION ALL SELECT 'outlier_share', (SELECT CAST(sum(any_iqr_outlier_flag) AS DOUBLE) * 100 / count(*) BETWEEN {C.IQR_SHARE_BAND[0]} AND {C.IQR_SHARE_BAND[1]} FROM iqr)
+UNION ALL SELECT 'anchor', (SELECT count(*) FROM reduced) = (SELECT count(*) FROM res)
+UNION ALL SELECT 'one_district_a_row', (SELECT count(*) FROM districted) = (SELECT count(*) FROM clean)""")
+def q_contract_report(spark, sf):
+    s = P.sold(spark, sf)
+    joined = contracts.row_conservation(s.clean.select(F.lit(0).alias("gone")), s.enriched, "gone")
+    residential = s.residential.agg(F.count(F.lit(1)).alias("n"))
+    anchor = s.reduced.agg(F.count(F.lit(1)).alias("kept")).crossJoin(residential).select((F.col("kept") == F.col("n")).alias("ok"))
+    return contracts.contract_report(
+        {"row_conservation": contracts.row_conservation(s.flagged, s.clean, "hard_invalid_flag"),
+         "single_type": contracts.single_value(s.flagged, "PropertyType"), "rates": contracts.no_nulls(s.rated, "rate_30yr_fixed"),
+         "outlier_share": outliers.iqr_share(s.iqr_core), "anchor": anchor, "one_district_a_row": joined}, {"outlier_share": "in_band"})
+
+
 @reg("row_conservation", S + """
 SELECT (SELECT count(*) FROM flagged) AS all_rows, (SELECT CAST(sum(hard_invalid_flag) AS BIGINT) FROM flagged) AS flagged,
   (SELECT count(*) FROM clean) AS kept_rows,

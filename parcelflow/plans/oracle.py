@@ -25,10 +25,17 @@ _DOUBLE = set(C.NUMERIC_COLS)
 NEXT_YEAR = 2027
 
 
+# columns that the stand-in has as text
+_TEXT_DATES = {"PurchaseContractDate"}
+
+
 def _typed_select() -> str:
     out = []
     for c in KEPT:
-        out.append(f"CAST({c} AS DOUBLE) AS {c}" if c in _DOUBLE else c)
+        if c in _TEXT_DATES:
+            out.append(f"CAST(TRY_CAST({c} AS TIMESTAMP) AS DATE) AS {c}")
+        else:
+            out.append(f"TRY_CAST({c} AS DOUBLE) AS {c}" if c in _DOUBLE else c)
     return ", ".join(out + ["year_month", "rate_30yr_fixed"])
 
 

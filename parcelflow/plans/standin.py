@@ -16,17 +16,22 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The sold stand-in: every defect the quality stage flags is seeded on purpose.
+# The sold stand-in: every defect the quality stage flags is seeded on purpose,
+# prices and areas beyond all thresholds, low outliers, dates and numbers as text
+# with values that are none, and columns outside the keep-list, one nearly all null.
 SOLD_SQL = """
 SELECT l_orderkey*10+l_linenumber AS ListingKey,
   CASE WHEN l_partkey%97=0 THEN -1.0*l_discount WHEN l_partkey%89=0 THEN NULL
+       WHEN l_partkey%503=1 THEN 100000.0*l_extendedprice
        ELSE l_extendedprice*(1-l_discount)*(CASE WHEN l_partkey%37=0 THEN 5 ELSE 1 END) END AS ClosePrice,
   l_extendedprice AS ListPrice,
   CASE WHEN l_partkey%50=0 THEN 0.0 WHEN l_partkey%61=0 THEN NULL
        ELSE l_extendedprice*(1+l_tax-0.04) END AS OriginalListPrice,
   CAST(o_orderdate AS date) AS ListingContractDate,
-  CASE WHEN l_suppkey%33=1 THEN NULL ELSE CAST(o_orderdate AS date)+CAST(l_quantity AS int)
-       -(CASE WHEN l_partkey%142=0 THEN 55 ELSE 0 END) END AS PurchaseContractDate,
+  CASE WHEN l_suppkey%33=1 THEN NULL WHEN l_suppkey%33=3 THEN 'unknown'
+       ELSE concat(CAST(CAST(o_orderdate AS date)+CAST(l_quantity AS int)
+       -(CASE WHEN l_partkey%142=0 THEN 55 ELSE 0 END) AS varchar(10)),
+       CASE WHEN l_suppkey%33=2 THEN 'T10:30:00' ELSE '' END) END AS PurchaseContractDate,
   CASE WHEN l_suppkey%47=2 THEN NULL ELSE CAST(o_orderdate AS date)+CAST(l_quantity AS int)
        +l_linenumber*7-(CASE WHEN l_partkey%71=0 THEN 130 ELSE 0 END) END AS CloseDate,
   CAST(l_quantity*l_linenumber AS int)-3 AS DaysOnMarket,
@@ -35,9 +40,11 @@ SELECT l_orderkey*10+l_linenumber AS ListingKey,
   CASE WHEN c_mktsegment IN ('BUILDING','HOUSEHOLD','FURNITURE') THEN 'Residential'
        ELSE c_mktsegment END AS PropertyType,
   p_type AS PropertySubType,
-  CASE WHEN l_partkey%101=0 THEN 0.0 ELSE l_extendedprice/(20.0+p_size) END AS LivingArea,
+  CASE WHEN l_partkey%101=0 THEN 0.0 WHEN l_partkey%149=2 THEN 40.0 WHEN l_partkey%307=3 THEN 30000.0
+       ELSE 1000+0.2*(l_extendedprice/(20.0+p_size)) END AS LivingArea,
   CASE WHEN c_custkey%211=0 THEN -1 ELSE l_linenumber END AS BedroomsTotal,
-  CASE WHEN c_custkey%223=0 THEN -1 ELSE 1+l_linenumber%4 END AS BathroomsTotalInteger,
+  CASE WHEN c_custkey%223=0 THEN '-1' WHEN l_partkey%113=4 THEN 'n/a' WHEN l_partkey%113=5 THEN '2d'
+       ELSE CAST(1+l_linenumber%4 AS varchar(10)) END AS BathroomsTotalInteger,
   1842+p_size*4 AS YearBuilt,
   n_name AS CountyOrParish,
   concat('City_',CAST(c_custkey%60 AS varchar(10))) AS City,
@@ -48,7 +55,9 @@ SELECT l_orderkey*10+l_linenumber AS ListingKey,
   CAST(CASE WHEN s_suppkey%23=3 THEN 118.0
        ELSE -124.6+(l_orderkey%1060)*0.01 END AS double) AS Longitude,
   s_name AS ListOfficeName,
-  CASE WHEN l_suppkey%10=0 THEN ' nonmember  mrml' ELSE s_name END AS BuyerOfficeName
+  CASE WHEN l_suppkey%10=0 THEN ' nonmember  mrml' ELSE s_name END AS BuyerOfficeName,
+  CASE WHEN l_orderkey%50=0 THEN 'One' END AS Levels,
+  1990+l_linenumber AS TaxYear
 FROM {lineitem} JOIN {orders} ON l_orderkey=o_orderkey JOIN {customer} ON o_custkey=c_custkey
 JOIN {nation} ON c_nationkey=n_nationkey JOIN {region} ON n_regionkey=r_regionkey
 JOIN {part} ON l_partkey=p_partkey JOIN {supplier} ON l_suppkey=s_suppkey
@@ -84,8 +93,6 @@ FROM {nation} JOIN (VALUES
 """
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
-# fact tables: spread over the cluster's cores when a scan yields too few splits
-FACT_TABLES = {"lineitem"}
 
 
 def tables_of(sql: str) -> list[str]:

@@ -12,6 +12,8 @@ from __future__ import annotations
 import csv
 import functools
 import io
+import logging
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -21,6 +23,8 @@ from pyspark.sql import functions as F
 from parcelflow import config as C
 from parcelflow.sources.records import RECORD_BYTES, Records, file_encodings
 
+log = logging.getLogger(__name__)
+
 # Windows-1252 assigns printable characters to bytes 0x80-0x9F, which
 # ISO-8859-1 maps to C1 controls. Reading as ISO-8859-1 and translating that
 # range reproduces a cp1252 decode; the five bytes cp1252 leaves undefined
@@ -31,10 +35,11 @@ _CP1252 = "".join(bytes([b]).decode("cp1252", errors="ignore") or chr(b) for b i
 
 
 def list_monthly_files(spark: SparkSession, dirs: Sequence[str], prefix: str,
-                       dedup: bool = True) -> DataFrame:
+                       dedup: bool = True, missing: str = "skip") -> DataFrame:
     """S2 + S3 + F13: ``CRMLS<prefix><YYYYMM>.csv`` files under ``dirs``.
 
-    Returns ``yyyymm, path, dir_rank, length``. With ``dedup`` one file per
+    Returns ``yyyymm, path, dir_rank, length, modified``. A folder that isn't
+    there contributes no files, or raises with ``missing="raise"``. With ``dedup`` one file per
     month survives: the one from the earliest folder in ``dirs`` (then by
     path), the rule that lets a canonical folder beat stale copies."""
     pattern = C.MONTH_FILE_PATTERN.format(prefix=prefix)
@@ -42,14 +47,15 @@ def list_monthly_files(spark: SparkSession, dirs: Sequence[str], prefix: str,
     for rank, d in enumerate(dirs):
         try:
             df = (spark.read.format("binaryFile").option("pathGlobFilter", f"CRMLS{prefix}*.csv")
-                  .load(d).select("path", "length"))
+                  .load(d).select("path", "length", F.col("modificationTime").alias("modified")))
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if e.getCondition() != "PATH_NOT_FOUND" or missing == "raise":
                 raise
-            continue  # a missing folder contributes no files
+            log.warning("folder of monthly files not found: %s", d)
+            continue
         frames.append(df.withColumn("dir_rank", F.lit(rank)))
     if not frames:
-        return spark.createDataFrame([], "yyyymm string, path string, dir_rank int, length long")
+        return spark.createDataFrame([], "yyyymm string, path string, dir_rank int, length long, modified timestamp")
     files = functools.reduce(DataFrame.unionByName, frames)
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     files = (files.withColumn("yyyymm", F.regexp_extract(name, pattern, 1))
@@ -57,7 +63,7 @@ def list_monthly_files(spark: SparkSession, dirs: Sequence[str], prefix: str,
     if dedup:
         w = Window.partitionBy("yyyymm").orderBy("dir_rank", "path")
         files = files.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    return files.select("yyyymm", "path", "dir_rank", "length")
+    return files.select("yyyymm", "path", "dir_rank", "length", "modified")
 
 
 def classify_encoding(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -131,7 +137,8 @@ class MonthlyTable:
         name = F.regexp_extract("_source_file", r"([^/]+)$", 1)
         month = F.regexp_extract(name, r"([0-9]{6})\.csv$", 1)
         month = F.when(month != "", month).otherwise(F.raise_error(F.concat(F.lit("no month in file name: "), name)))
-        self.files = sorted(records.paths)
+        #: the file of each month
+        self.months = {re.search(r"([0-9]{6})\.csv$", path)[1]: path for _, _, path, _, _ in kind_of}
         self.df = parsed.select(*columns, "_source_file", month.alias("yyyymm"))
 
     def rows_per_file(self) -> DataFrame:

@@ -34,9 +34,9 @@ def write_small_table(df: DataFrame, path: str) -> None:
 
 
 def write_extract(df: DataFrame, path: str) -> int:
-    """S13 + S14: write a typed extract and return the row count read back."""
-    df.write.mode("overwrite").parquet(path)
-    return read_back_count(df.sparkSession, path)
+    """S13 + S14: publish a typed extract and return the row count read back."""
+    from parcelflow.sources.publish import publish
+    return publish(df, path)
 
 
 def read_back_count(spark: SparkSession, path: str) -> int:

@@ -32,7 +32,9 @@ def landed(folder: str, rates: str = RATES) -> dict:
 
 
 def test_end_to_end(spark, tmpdir_path):
-    paths = run_pipeline(spark, **landed(tmpdir_path), months=("202401", "202402"), expected_rows=80)
+    anchors = {"unfiltered": 81, "residential": 80, "enriched_rates": 80, "clean": 80, "enriched": 80, "iqr_flagged": 80, "extract": 80}
+    args = landed(tmpdir_path)
+    paths = run_pipeline(spark, **args, months=("202401", "202402"), expected_rows=anchors, expected_districts={"Irvine": "Square"}, control_city="Corona")
     flagged = spark.read.parquet(paths["flagged"])
     assert flagged.count() == 80  # the Land row is filtered out, nothing else dropped
     assert flagged.where("rate_30yr_fixed IS NULL").count() == 0
@@ -40,9 +42,16 @@ def test_end_to_end(spark, tmpdir_path):
     assert enriched.where("DistrictName = 'Square'").count() > 0
     assert int(paths["extract_rows"]) == spark.read.parquet(paths["iqr_flagged"]).count()
     assert spark.read.option("header", True).csv(paths["month_gaps"]).count() == 0
-    for name in ("row_conservation", "row_anchor", "rates", "single_type"):
+    for name in ("row_conservation", "row_anchor", "row_anchor_unfiltered", "row_anchor_extract", "rates", "single_type", "district_city_check"):
         assert spark.read.option("header", True).csv(paths[name]).first().ok == "true", name
     assert spark.read.option("header", True).csv(paths["outlier_share"]).first().in_band == "true"
+    reasons = {r.column: r.reason for r in spark.read.option("header", True).csv(paths["column_drop"]).collect()}
+    assert reasons["Extra"] == "dropped_other" and "yyyymm" not in reasons and "_source_file" not in reasons
+    again = run_pipeline(spark, **args, months=("202401", "202402"), expected_rows=80)  # nothing landed since
+    assert spark.read.option("header", True).csv(again["month_changes"]).count() == 0
+    os.remove(os.path.join(args["dirs"][0], "CRMLSSold202402.csv"))
+    with pytest.raises(ContractError, match="months_gone"):  # the files' own range has no gap
+        run_pipeline(spark, **args)
 
 
 @pytest.mark.parametrize("name,rates,more", [
