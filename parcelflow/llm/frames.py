@@ -27,6 +27,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage_table(df, f"llm-{name}")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name1``, ``name2``, ... that no column has."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (name, *(f"{name}{i}" for i in range(1, len(taken) + 2))) if n.lower() not in taken)
+
+
 def keyed(small: DataFrame, rows: int) -> DataFrame:
     """A narrow key table for a join: broadcast where its counted rows allow
     it, else left to a shuffled join with the same result."""

@@ -7,12 +7,18 @@ Forward-backward marginals, weighted by line length, are a document's raw
 score, and a logistic curve fitted on the training documents maps that to the
 probability of label 1.
 
-Training: a line takes its document's label. The model is fitted on the driver
-from all lines of at most ``per_class`` labelled documents a class (the lowest
-hashes of the id), fewer where their lines come to ``train_lines`` in the class;
-the document that reaches that bound is the last. Both bounds are parameters.
-While the chain's weights are fitted, a document of over ``CHAIN_LINES`` lines
-counts as several chains. Only rows whose crc32(doc_id as text) mod ``folds`` is not 0 are
+Training: a document's label is known, its lines' are hidden. All lines of a good
+document are good; of a bad one at least the share ``BAD_SHARE`` of its length is
+bad, and which lines these are is learnt: after a first fit, in which a line takes
+its document's label, rounds of expectation (the chain's marginals of bad
+documents, shifted to bad only as far as the share asks for it) and maximisation
+follow, so changes of state within a document are seen. The model is fitted on the
+driver from all lines of at most ``per_class`` labelled documents a class (the
+lowest hashes of the id), fewer where their lines come to ``train_lines`` in the
+class; the document that reaches that bound is the last, and one that has more
+lines on its own isn't used, so at most twice the bound is held. Lines are counted
+before any feature is made. Both bounds are parameters. While the chain's weights
+are fitted, a document of over ``CHAIN_LINES`` lines counts as several chains. Only rows whose crc32(doc_id as text) mod ``folds`` is not 0 are
 used. Labels, lang, source and doc_id are never inputs of a score.
 
 Defined results: a null text is an empty one; an empty text is one empty line,
@@ -44,6 +50,8 @@ PER_CLASS = 3000
 TRAIN_LINES = 64 * PER_CLASS
 #: Lines of a chain up to which the fit follows it.
 CHAIN_LINES = 1000
+#: Least share of a bad document's length that is bad; rounds and steps that learn which lines.
+BAD_SHARE, ROUNDS, ROUND_STEPS = 0.3, 4, 25
 
 _CLASSES = {
     "upper": T.byte_table((65, 90)), "lower": T.byte_table((97, 122)), "digit": T.byte_table((48, 57)),
@@ -123,9 +131,10 @@ class Crf:
     slope: float = 1.0
     shift: float = 0.0
 
-    def marginals(self, x: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """P(good) of each line, and the expected transition counts."""
-        score = np.clip(x @ self.weights, -30, 30)
+    def marginals(self, x: np.ndarray, first: np.ndarray, shift: np.ndarray | float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        """P(good) of each line, and the expected transition counts, with ``shift``
+        added to the lines' scores."""
+        score = np.clip(x @ self.weights + shift, -30, 30)
         local = np.stack([np.ones(len(score)), np.exp(score)], 1)
         local /= local.sum(1, keepdims=True)
         jump = np.exp(self.transition - self.transition.max())
@@ -161,8 +170,24 @@ class Crf:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(x: np.ndarray, size: np.ndarray, first: np.ndarray, label: np.ndarray, class_share: float, steps: int = 150) -> Crf:
-    """Maximise the chain likelihood (L2-penalised) by Adam, then fit the
+def hidden_lines(model: Crf, x: np.ndarray, size: np.ndarray, first: np.ndarray, chains: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Expected lines and transitions given the documents' labels: good ones are
+    good throughout; a bad one is shifted to bad until the share asked for is."""
+    counts = np.diff(first)
+    bad = label == 0
+    push = np.where(bad, 0.0, 60.0)
+    whole = np.add.reduceat(size, first[:-1])
+    while True:
+        y, jumps = model.marginals(x, chains, np.repeat(push, counts))
+        short = bad & (np.add.reduceat((1 - y) * size, first[:-1]) < BAD_SHARE * whole) & (push > -30)
+        if not short.any():
+            return y, jumps
+        push[short] -= 2.0
+
+
+def fit(x: np.ndarray, size: np.ndarray, first: np.ndarray, label: np.ndarray, class_share: float, steps: int = 100) -> Crf:
+    """Maximise the chain likelihood (L2-penalised) by Adam, first with the
+    documents' labels for their lines, then with the lines hidden; then fit the
     logistic curve with documents weighted to the labelled rows' class share."""
     y = np.repeat(label, np.diff(first)).astype(np.float64)
     chains = np.append(np.concatenate([np.arange(a, b, CHAIN_LINES) for a, b in zip(first[:-1], first[1:], strict=True)]), first[-1])
@@ -174,7 +199,9 @@ def fit(x: np.ndarray, size: np.ndarray, first: np.ndarray, label: np.ndarray, c
     params = np.zeros(x.shape[1] + 4)
     m, v = np.zeros_like(params), np.zeros_like(params)
     scale = 1 / len(x)
-    for step in range(1, steps + 1):
+    for step in range(1, steps + ROUNDS * ROUND_STEPS + 1):
+        if step > steps and (step - steps) % ROUND_STEPS == 1:
+            y, seen = hidden_lines(model, x, size, first, chains, label)
         good, jumps = model.marginals(x, chains)
         grad = np.concatenate([x.T @ (y - good), (seen - jumps).ravel()]) * scale - 1e-4 * params
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
@@ -222,16 +249,18 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, train_
                                              names=["doc_id", "quality", "n", "lines"])
 
     ids = F.broadcast(chosen)  # at most 2 * per_class rows
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id").select("doc_id", "quality", "text")
-            .mapInArrow(run, "doc_id long, quality int, n long, lines binary")
-            .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min(F.struct("lines", "n")).alias("row")).select("doc_id", "quality", "row.n", "row.lines"))
-    rows = staged(rows, "train-lines")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(ids, "doc_id")
+    lines = F.length("text") - F.length(F.translate("text", "\n", "")) + 1
+    texts = staged(texts.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min(F.struct(lines.alias("n"), F.col("text"))).alias("row"))
+                   .select("doc_id", "quality", "row.n", "row.text"), "train-texts")
     taken, total = [], {0: 0, 1: 0}
-    for r in sorted(rows.select("doc_id", "quality", "n", F.xxhash64("doc_id").alias("order")).collect(), key=lambda r: (r.order, r.doc_id)):
+    for r in sorted(texts.select("doc_id", "quality", "n", F.xxhash64("doc_id").alias("order")).where(F.col("n") <= train_lines).collect(), key=lambda r: (r.order, r.doc_id)):
         if total[r.quality] < train_lines:
             total[r.quality] += r.n
             taken.append((r.doc_id,))
-    rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame(taken, "doc_id long")), "doc_id").collect()
+    taken = F.broadcast(docs.sparkSession.createDataFrame(taken, "doc_id long"))
+    rows = texts.join(taken, "doc_id").select("doc_id", "quality", "text").mapInArrow(run, "doc_id long, quality int, n long, lines binary").collect()
     rows.sort(key=lambda r: r.doc_id)
     label = np.array([r.quality for r in rows], np.float64)
     if len(set(label)) < 2:

@@ -54,7 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm import textspans as T
-from parcelflow.llm.frames import components, keyed, small_batches, staged
+from parcelflow.llm.frames import components, free_name, keyed, small_batches, staged
 
 _UNIVERSE = 52
 #: From this number of segments on, empty ones need no paying back.
@@ -450,27 +450,28 @@ def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90,
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
 
 
-def _row_nodes(docs: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame | None]:
+def _row_nodes(docs: DataFrame, id_col: str, node: str) -> tuple[DataFrame, DataFrame | None]:
     """The rows whose id no other row has, which are their own nodes, and the
-    rows with a null or repeated id, staged with a node each in ``_keep_node``
+    rows with a null or repeated id, staged with a node each in the column ``node``
     beyond the ids of the others; None if there are none."""
     doc_id = F.col(id_col).cast("long")
-    several = staged(docs.groupBy(doc_id.alias("_several")).agg(F.count("*").alias("c")).where("_several is null or c > 1").select("_several"), "several")
+    id_of = free_name(docs, "_several")
+    several = staged(docs.groupBy(doc_id.alias(id_of)).agg(F.count("*").alias("c")).where(F.col(id_of).isNull() | (F.col("c") > 1)).select(id_of), "several")
     n = several.count()
     if not n:
         return docs, None
-    same = doc_id.eqNullSafe(F.col("_several"))
+    same = doc_id.eqNullSafe(F.col(id_of))
     plain = docs.join(keyed(several, n), same, "left_anti")
-    odd = staged(docs.join(keyed(several, n), same, "left_semi").withColumn("_keep_node", F.monotonically_increasing_id()), "odd-rows")
+    odd = staged(docs.join(keyed(several, n), same, "left_semi").withColumn(node, F.monotonically_increasing_id()), "odd-rows")
     low, high = plain.agg(F.min(doc_id), F.max(doc_id)).first()
-    top = odd.agg(F.max("_keep_node")).first()[0]
+    top = odd.agg(F.max(node)).first()[0]
     if high is None or high < _LONG - top:
         base = 0 if high is None else high + 1
     elif low >= top - _LONG:
         base = low - 1 - top
     else:  # ids at both ends of the range leave no room: every row gets a node
-        return docs.where("false"), staged(docs.withColumn("_keep_node", F.monotonically_increasing_id()), "odd-rows")
-    return plain, odd.withColumn("_keep_node", F.col("_keep_node") + F.lit(base).cast("long"))
+        return docs.where("false"), staged(docs.withColumn(node, F.monotonically_increasing_id()), "odd-rows")
+    return plain, odd.withColumn(node, F.col(node) + F.lit(base).cast("long"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -480,20 +481,21 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str =
     for one that has an id (or for one of them), and of rows that share an id
     each is judged by its own text. Rows without words link with nothing and all
     stay."""
-    plain, odd = _row_nodes(docs, id_col)
+    node, gone_id = free_name(docs, "_keep_node"), free_name(docs, "_gone")
+    plain, odd = _row_nodes(docs, id_col, node)
     doc_id = F.col(id_col).cast("long")
     if odd is None:
-        gone = similarity_components(docs, shingle, percent, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+        gone = similarity_components(docs, shingle, percent, id_col, text_col).where("doc_id <> component_id").select(F.col("doc_id").alias(gone_id))
     else:
-        nodes = plain.select(doc_id.alias("node"), F.col(text_col).alias("text")).union(odd.select("_keep_node", text_col))
+        nodes = plain.select(doc_id.alias("node"), F.col(text_col).alias("text")).union(odd.select(node, text_col))
         comp = staged(similarity_components(nodes, shingle, percent, "node", "text").select(F.col("doc_id").alias("node"), "component_id"), "row-components")
         # rows with an id come first, by id; a row alone with its id is its node
-        own = odd.select(F.col("_keep_node").alias("node"), F.lit(1).alias("odd"), doc_id.alias("own"), F.xxhash64(text_col).alias("hash"))
+        own = odd.select(F.col(node).alias("node"), F.lit(1).alias("odd"), doc_id.alias("own"), F.xxhash64(text_col).alias("hash"))
         real = F.when(F.col("odd").isNull(), F.col("node")).otherwise(F.col("own"))
         ranked = comp.join(own, "node", "left").select("node", "component_id", F.struct(real.isNull().alias("none"), real.alias("id"), F.coalesce("hash", F.lit(0)).alias("hash"), "node").alias("rank"))
         first = ranked.groupBy("component_id").agg(F.min("rank").alias("first"))
-        gone = comp.join(first, "component_id").where("node <> first.node").select(F.col("node").alias("_gone"))
+        gone = comp.join(first, "component_id").where("node <> first.node").select(F.col("node").alias(gone_id))
     gone = staged(gone.distinct(), "gone")
     gone = keyed(gone, gone.count())
-    kept = plain.join(gone, doc_id == F.col("_gone"), "left_anti")
-    return kept if odd is None else kept.union(odd.join(gone, F.col("_keep_node") == F.col("_gone"), "left_anti").drop("_keep_node"))
+    kept = plain.join(gone, doc_id == F.col(gone_id), "left_anti")
+    return kept if odd is None else kept.union(odd.join(gone, F.col(node) == F.col(gone_id), "left_anti").drop(node))

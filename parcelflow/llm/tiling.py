@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm import textspans as T
+from parcelflow.llm.frames import free_name
 
 LEAST_TILE = 3
 SEED = LEAST_TILE
@@ -242,5 +243,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
         return docs.mapInArrow(run, docs.schema)
     key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     bad = find_leaks(docs.select(key.alias("k"), F.col(text_col).alias("t")).distinct(), benchmark, coverage, seed, least, "k", "t")
-    bad = bad.select(F.col("doc_id").alias("_leak_key")).distinct()
-    return docs.join(bad, key == F.col("_leak_key"), "left_anti")
+    leak = free_name(docs, "_leak_key")
+    bad = bad.select(F.col("doc_id").alias(leak)).distinct()
+    return docs.join(bad, key == F.col(leak), "left_anti")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm import textspans as T
-from parcelflow.llm.frames import staged
+from parcelflow.llm.frames import keyed, staged
 from parcelflow.llm.window_tokens import CachedTokenizer
 
 WINDOW = 4096
@@ -170,6 +170,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end_id:
                 [*b.columns[:5], pa.array(row[:, 2] + nth // row[:, 3]), pa.array(row[:, 4] + nth % row[:, 3] * length)],
                 names=[*b.schema.names[:5], "sequence_id", "offset"])
 
-    numbered = cut.join(before, ["part", "length"]).select(
+    # a row for each length in each partition
+    numbered = cut.join(keyed(before, here.count()), ["part", "length"]).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("rank") + F.col("before")).alias("rank"))
     return numbered.mapInArrow(place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

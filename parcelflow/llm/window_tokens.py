@@ -4,11 +4,13 @@ Encoding each text as a whole repeats the merges of every frequent word. Here
 a piece of many texts is one array of code points: it is cut into the
 tokenizer's pre-tokens with numpy, and only a pre-token not yet in the worker's
 bounded cache goes to the tokenizer's model. Texts with a code point of
-0x250 or more after lower-casing take the tokenizer as a whole, so normal forms
-and scripts beyond Latin follow its own rules. Both ways give equal ids."""
+0x250 or more after lower-casing, or with the string of a special token in any
+case, take the tokenizer as a whole, so normal forms, scripts beyond Latin and
+special tokens follow its own rules. Both ways give equal ids."""
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import numpy as np
@@ -48,7 +50,8 @@ _BYTE_LETTER = _byte_letters()
 class CachedTokenizer:
     def __init__(self, path: str, cache: int = CACHE):
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        special = sorted({t.content.lower() for t in self.whole.get_added_tokens_decoder().values()}, key=len, reverse=True)
+        self.special = re.compile("|".join(map(re.escape, special)) or "(?!)")
         self.model, self.limit = self.whole.model, cache
         self._clear()
 
@@ -98,6 +101,7 @@ class CachedTokenizer:
         points = np.frombuffer("\n".join([*low, ""]).encode("utf-32-le"), np.uint32)
         first = np.concatenate([[0], np.cumsum(size + 1)])
         wide = np.maximum.reduceat(points, first[:-1]) >= LATIN if len(texts) else np.zeros(0, bool)
+        wide |= np.array([self.special.search(t) is not None for t in low], bool)
         whole = {int(i): np.array(e.ids, np.uint32) for i, e in zip(
             np.flatnonzero(wide), self.whole.encode_batch([texts[i] for i in np.flatnonzero(wide)], add_special_tokens=False), strict=True)}
         if whole:

@@ -14,7 +14,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from parcelflow.llm import fm_dedup, fm_index, line_crf, partition_join, queries, vector_packing, window_packing, window_tokens
+from parcelflow.llm import fm_dedup, fm_index, line_crf, partition_join, pseudonyms, queries, secret_scan, tiling, vector_packing, window_packing, window_tokens
 from parcelflow.llm.frames import components
 from tests.llm.helpers import frame, odd_rows, prose
 
@@ -251,6 +251,24 @@ def test_packing_round_trip(spark):
     assert window_packing.pack(frame(spark, []), path).count() == 0
 
 
+def test_special_strings_follow_the_plain_call(spark):
+    """Ids equal those of a tokenizer as it comes from its file, also where a
+    text has the strings of special tokens."""
+    path = public_tokenizers.path(window_packing.VOCABULARY)
+    plain = Tokenizer.from_file(path)
+    special = [t.content for t in plain.get_added_tokens_decoder().values()]
+    assert special
+    rng = random.Random(1)
+    texts = [f"a {x} b" for x in special] + [x.upper() + x for x in special] + [f"{special[-1]}{special[0]}", "a <|endoftext", "<|", "plain words", ""]
+    texts += [" ".join(rng.choices([*special, "word", "Straße", "é", "中"], k=rng.randrange(1, 20))) for _ in range(300)]
+    want = [plain.encode(x, add_special_tokens=False).ids for x in texts]
+    for cache in (1_000_000, 20):
+        ids, n = window_tokens.CachedTokenizer(path, cache).encode(texts)
+        assert [p.tolist() for p in np.split(ids, np.cumsum(n)[:-1])] == want
+    got = {r.doc_id: (r.ids_crc32, r.doc_tokens) for r in window_packing.pack(frame(spark, list(enumerate(texts))), path).collect()}
+    assert got == {i: (zlib.crc32(np.array([*w, 2], "<u4").tobytes()), len(w) + 1) for i, w in enumerate(want)}
+
+
 def test_cached_tokens_equal_the_tokenizer():
     rng = random.Random(0)
     bits = [chr(c) for c in range(0x250)] + ["'s", "'re", "'ll", " ", "\n", "''", "don't", "İ", "Σ", "ß", "é", "中", "<|endoftext|>"] * 20
@@ -342,6 +360,31 @@ def test_classifier_trains_on_all_lines(spark, monkeypatch):
     assert all(r.predicted == 1 - r.doc_id % 2 for r in got)
 
 
+def test_lines_are_learnt_from_document_labels():
+    """Documents of 100 good and 60 bad lines, labelled bad as a whole: the
+    marginals split where the lines change, also in blocks and at either end."""
+    rng = random.Random(4)
+    good = lambda n: [prose(rng, rng.randrange(5, 12)) for _ in range(n)]
+    bad = lambda n: ["$$ ## !! 123 @@ ||"] * (n // 2) + ["".join(rng.choices("!?#%&123 |", k=40)) for _ in range(n - n // 2)]
+    texts = [good(160) if i % 2 else good(100) + bad(60) if i % 4 else bad(60) + good(100) for i in range(40)]
+    x, size, first = line_crf.line_features(pa.array(["\n".join(t) for t in texts]))
+    model = line_crf.fit(x, size, first, np.arange(40) % 2.0, 0.5)
+    for lines in ([(100, 1), (60, 0)], [(60, 0), (100, 1)], [(50, 1), (30, 0), (50, 1), (30, 0)], [(160, 1)], [(160, 0)]):
+        text = [line for n, y in lines for line in (good(n) if y else bad(n))]
+        want = np.concatenate([np.full(n, y) for n, y in lines])
+        x, _, first = line_crf.line_features(pa.array(["\n".join(text)]))
+        got, _ = model.marginals(x, first)
+        assert ((got > 0.5) == want).mean() >= 0.97, (lines, got.round(2).tolist())
+
+
+def test_training_lines_are_bounded(spark):
+    """A text of a million lines is left out before its features are made."""
+    docs = frame(spark, [(i, "ok words here\n" * 3 if i % 2 else "!! ## $$") for i in range(20)] + [(21, "x\n" * 1_000_000)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(22)], "doc_id long, quality int, toxic int")
+    got = line_crf.score_documents(docs.where("doc_id < 20"), line_crf.train(docs, labels)).collect()
+    assert all(r.predicted == r.doc_id % 2 for r in got)
+
+
 def test_pipeline(spark):
     """Each stage against a plain version over its own input."""
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
@@ -361,3 +404,49 @@ def test_pipeline(spark):
     packed = stages["packing"](spark, safe, DATA).collect()
     assert {r.doc_id for r in packed} == {r.doc_id for r in safe.collect()}
     assert Counter(map(tuple, corpus_pipeline.run(spark, DATA).select("doc_id", "start", "ids_crc32").collect())) == Counter((r.doc_id, r.start, r.ids_crc32) for r in packed)
+
+
+def test_clashing_names(spark):
+    """Columns named like the helpers of a stage are kept as they are."""
+    rng = random.Random(8)
+    a, b = prose(rng, 60), prose(rng, 60)
+    names = ["_several", "_GONE", "_keep_node", "_leak_key", "_leak_key1", "c", "node", "hash", "item_id", "one"]
+    docs = spark.createDataFrame([(i, x, *[k] * len(names)) for k, (i, x) in enumerate([(1, a), (2, a), (3, b), (3, b), (None, a), (4, None)])],
+                                 "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    kept = partition_join.keep_one(docs)
+    assert kept.schema.names == docs.schema.names and sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(1, a), (3, b), (4, "")]
+    bench = spark.createDataFrame([(7, b)], "item_id long, text string")
+    for most in (tiling.BROADCAST_BYTES, 0):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(tiling, "BROADCAST_BYTES", most)
+            clean = tiling.decontaminate(docs, bench)
+            assert clean.schema.names == docs.schema.names and sorted(str(r.doc_id) for r in clean.collect()) == ["1", "2", "4", "None"]
+
+
+def test_stages_on_empty_tables(spark):
+    empty = frame(spark, [])
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    model = line_crf.train(empty, labels)
+    assert line_crf.score_documents(empty, model).count() == 0 and line_crf.keep_good(empty, model).count() == 0
+    assert partition_join.keep_one(empty).count() == 0 and secret_scan.redact_secrets(empty).count() == 0
+    assert pseudonyms.pseudonymise(empty, b"test key").count() == 0
+
+
+def _corpus(spark, folder, rows, labels):
+    kind = "doc_id long, text string, lang string, source string, n_chars long, _gone int, score double"
+    spark.createDataFrame([(i, x, "en", None, None if x is None else len(x), 1, 2.0) for i, x in rows], kind).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, prose(random.Random(77), 30))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder
+
+
+def test_pipeline_odd_tables(spark, tmp_path):
+    """Nulls, repeated and missing ids, clashing names; then an empty table."""
+    rng = random.Random(5)
+    a, leak = prose(rng, 90), prose(random.Random(77), 30)
+    rows = [(1, a), (2, a), (None, a), (3, None), (4, ""), (5, "password = hunter2secret"), (6, leak + " more"), (7, prose(rng, 50)), (7, prose(rng, 50))]
+    folder = _corpus(spark, str(tmp_path / "odd"), rows, [])
+    packed = corpus_pipeline.run(spark, folder).collect()
+    assert sorted(r.doc_id for r in packed) == [1, 3, 4, 5, 7, 7]
+    assert {r.doc_id: r.doc_tokens for r in packed if r.doc_id in (3, 4)} == {3: 1, 4: 1}
+    assert corpus_pipeline.run(spark, _corpus(spark, str(tmp_path / "none"), [], [])).count() == 0
