@@ -4,6 +4,13 @@ in ``parcelflow.llm``.
 Each stage takes (spark, docs, sf_dir); the result is written as Parquet and
 read again as the next stage's documents. All but the last return the columns
 of ``documents``: a text that a stage changes has its ``n_chars`` counted anew.
+
+Defined results: rows are judged, not ids, so repeated and null ids are fine;
+null, empty and wordless texts have a quality score like any other, link with
+nothing, leak nothing and are packed as the end id alone; copies leave the row of
+the smallest id, or one of them where none has an id; other columns are kept,
+whatever their names, up to the last stage; without labels every row has the same
+score; an empty table, or one that a stage empties, gives an empty result.
 """
 
 from __future__ import annotations
