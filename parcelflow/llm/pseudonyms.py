@@ -8,9 +8,11 @@ permutation depends on key, kind and format only, so equal values stay equal
 in every document and different values of one format stay different.
 
 Kinds, in the order in which they claim text: ``email`` (characters of the local
-part within their class), ``iban`` (mod 97), ``card`` (Luhn, 13 to 19 digits, plain
-or grouped), ``ip`` (four octets), ``date`` (calendar days of 1900 to 2099), ``ssn``
-(area, group and serial rules), ``phone`` (country code kept).
+part within their class; the domain stays), ``iban`` (mod 97, plain or in groups of
+four), ``card`` (Luhn, 13 to 19 digits, plain or grouped), ``ip`` (four octets, or
+version 6 with at least three groups), ``date`` (calendar days within the same 200
+years, 1900 to 2099 and so on), ``ssn`` (area, group and serial rules), ``phone``
+(country code kept; a national number that begins with 0 after a word such as tel).
 
 Defined results: a null text stays null and has no values; an empty text stays
 empty; each input row gives one row; a text without a valid value is unchanged;
@@ -25,8 +27,11 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import ipaddress
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,9 +40,11 @@ from pyspark.sql import functions as F
 from parcelflow.llm import textspans as T
 
 ROUNDS = 10
-_DAY0 = datetime.date(1900, 1, 1).toordinal()
-_DAYS = datetime.date(2100, 1, 1).toordinal() - _DAY0
+#: Years of a block of dates, counted from 1900 both ways.
+_YEARS = 200
 _SMALL_DOMAIN = 100
+#: Characters that are permuted jointly in an address.
+_LOCAL = 64
 
 
 def permute(value: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
@@ -113,7 +120,9 @@ def _refill(form: str, digits: str) -> str:
 
 def _email(m: re.Match, key: bytes, back: bool) -> str:
     local, _, domain = m[0].partition("@")
-    return permute_characters(local, key, "email", back) + "@" + domain
+    # beyond the length of a valid local part, stretch by stretch
+    cuts = [local[i : i + _LOCAL] for i in range(0, len(local), _LOCAL)]
+    return "".join(permute_characters(c, key, f"email{i or ''}", back) for i, c in enumerate(cuts)) + "@" + domain
 
 
 def iban_check(country: str, body: str) -> str:
@@ -121,11 +130,18 @@ def iban_check(country: str, body: str) -> str:
 
 
 def _iban(m: re.Match, key: bytes, back: bool) -> str | None:
-    country, check, body = m[0][:2], m[0][2:4], m[0][4:]
-    if iban_check(country, body) != check:
-        return None
+    text = m[0]
+    while True:  # a word after the last group may look like one
+        plain = text.replace(" ", "")
+        country, check, body = plain[:2], plain[2:4], plain[4:]
+        if len(body) >= 11 and iban_check(country, body) == check:
+            break
+        if " " not in text:
+            return None
+        text = text[: text.rindex(" ")]
     body = permute_characters(body, key, "iban" + country, back)
-    return country + iban_check(country, body) + body
+    it = iter(country + iban_check(country, body) + body)
+    return "".join(c if c == " " else next(it) for c in text)
 
 
 def _card(m: re.Match, key: bytes, back: bool) -> str | None:
@@ -144,6 +160,42 @@ def _ip(m: re.Match, key: bytes, back: bool) -> str | None:
     return ".".join(map(str, value.to_bytes(4, "big")))
 
 
+_HEX = "0123456789abcdef"
+
+
+def _ip6(m: re.Match, key: bytes, back: bool) -> str | None:
+    """All hexadecimal digits jointly; groups and their lengths stay."""
+    text = m[0]
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return None
+    if sum(map(bool, text.split(":"))) < 3:
+        return None
+    digits = text.replace(":", "").lower()
+    form = "".join(":" if c == ":" else "0" for c in text)
+    value = permute(int(digits, 16), 16 ** len(digits), key, "ip6" + form, back)
+    new = f"{value:0{len(digits)}x}"
+    it = iter(new.upper() if text != text.lower() else new)
+    return "".join(c if c == ":" else next(it) for c in text)
+
+
+def _year_block(year: int) -> tuple[int, int]:
+    """First day and number of days of the years that a date is permuted in."""
+    first = 1900 + (year - 1900) // _YEARS * _YEARS
+    day0 = datetime.date(max(first, 1), 1, 1).toordinal()
+    return day0, (datetime.date.max.toordinal() + 1 if first + _YEARS > 9999 else datetime.date(first + _YEARS, 1, 1).toordinal()) - day0
+
+
+@cache
+def _written_days(year: int, months: int, days: int) -> list[int]:
+    """Days of a block whose month and day have so many digits as written: one
+    digit is 1 to 9, two are any, zeros included."""
+    day0, n = _year_block(year)
+    every = map(datetime.date.fromordinal, range(day0, day0 + n))
+    return [d.toordinal() for d in every if (months == 2 or d.month < 10) and (days == 2 or d.day < 10)]
+
+
 def _date(m: re.Match, key: bytes, back: bool) -> str | None:
     text = m[0]
     sep = next(c for c in text if not c.isdigit())
@@ -152,14 +204,19 @@ def _date(m: re.Match, key: bytes, back: bool) -> str | None:
     for order in orders:
         got = dict(zip(order, parts, strict=True))
         try:
-            day = datetime.date(int(got["y"]), int(got["m"]), int(got["d"])).toordinal() - _DAY0
+            day = datetime.date(int(got["y"]), int(got["m"]), int(got["d"])).toordinal()
         except ValueError:
             continue
-        if not 0 <= day < _DAYS:
-            return None
-        new = datetime.date.fromordinal(permute(day, _DAYS, key, "date", back) + _DAY0)
-        pad = 2 if all(len(got[x]) == 2 for x in "md") else 1
-        return sep.join({"y": f"{new.year:04d}", "m": f"{new.month:0{pad}d}", "d": f"{new.day:0{pad}d}"}[x] for x in order)
+        day0, days = _year_block(int(got["y"]))
+        form = len(got["m"]), len(got["d"])
+        tweak = "date" + (f"{day0}" if int(got["y"]) // 100 not in (19, 20) else "") + ("" if form == (2, 2) else f"{form}")
+        if form == (2, 2):
+            new = permute(day - day0, days, key, tweak, back) + day0
+        else:
+            written = _written_days(max(int(got["y"]) // 100 * 100, 1), *form)
+            new = written[permute(bisect_left(written, day), len(written), key, tweak, back)]
+        new = datetime.date.fromordinal(new)
+        return sep.join({"y": f"{new.year:04d}", "m": f"{new.month:0{form[0]}d}", "d": f"{new.day:0{form[1]}d}"}[x] for x in order)
     return None
 
 
@@ -175,6 +232,10 @@ def _ssn(m: re.Match, key: bytes, back: bool) -> str | None:
     return f"{areas[area]:03d}-{group + 1:02d}-{serial + 1:04d}"
 
 
+def _national(m: re.Match, key: bytes, back: bool) -> str:
+    return "0" + permute_characters(m[0][1:], key, "phone0", back)
+
+
 def _phone(m: re.Match, key: bytes, back: bool) -> str | None:
     text = m[0]
     if not 8 <= len(_digits(text)) <= 15:
@@ -185,15 +246,19 @@ def _phone(m: re.Match, key: bytes, back: bool) -> str | None:
 
 
 _NO_DIGIT = r"(?<![0-9])", r"(?![0-9])"
+#: Right after one of these words and a space, colon or point.
+_CALLED = "(?:" + "|".join(f"(?<=[{w[0].upper()}{w[0]}]{w[1:]}{end})" for w in ("tel", "phone", "fax", "mobile") for end in (" ", ": ", r"\. ")) + ")"
 #: kind, character that any match holds (None: a digit), pattern, replacement.
 KINDS = (
-    ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"), _email),
-    ("iban", None, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"), _iban),
+    ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"), _email),
+    ("iban", None, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,4})?)(?![A-Za-z0-9])"), _iban),
     ("card", None, re.compile(_NO_DIGIT[0] + r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}|3[47][0-9]{2}([ -])[0-9]{6}\2[0-9]{5})" + _NO_DIGIT[1]), _card),
     ("ip", ".", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"), _ip),
+    ("ip", ":", re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z:.])"), _ip6),
     ("date", None, re.compile(_NO_DIGIT[0] + r"(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\2[0-9]{4})" + _NO_DIGIT[1]), _date),
     ("ssn", "-", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"), _ssn),
     ("phone", None, re.compile(_NO_DIGIT[0] + r"(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}" + _NO_DIGIT[1]), _phone),
+    ("phone", "0", re.compile(_CALLED + r"0[0-9]{1,5}[ /-]?[0-9]{3,8}(?:[ -]?[0-9]{2,5}){0,3}" + _NO_DIGIT[1]), _national),
     ("phone", "+", re.compile(r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}" + _NO_DIGIT[1]), _phone),
 )
 _DIGIT = re.compile("[0-9]")
@@ -208,7 +273,8 @@ def find_values(text: str, key: bytes, back: bool = False) -> list[tuple[str, in
             taken = []
             for m in pattern.finditer(left):
                 if (new := replace(m, key, back)) is not None:
-                    taken.append((kind, m.start(), m.end(), new))
+                    # an account number may end before its match does, and keeps its length
+                    taken.append((kind, m.start(), m.start() + len(new) if kind == "iban" else m.end(), new))
             for _, s, e, _ in reversed(taken):
                 left = left[:s] + "\0" * (e - s) + left[e:]
             found += taken
