@@ -11,17 +11,20 @@ anchor is a segment. Equal windows have equal anchors.
    which knows the smallest document that holds it.
 3. Units, with their words, are dealt to shards by anchor. A shard builds an
    FM-index of its units and streams them through it by backward search over
-   the wavelet tree; positions whose match reaches the window length form
-   groups of equal windows, and a window whose group has a smaller document
-   than its unit is reported.
-4. A unit's first document loses the words under reported windows, every later
-   document all words of the unit. Texts are joined only for documents with
-   candidates.
-
-An anchor with very many different units (a passage in a large share of the
-documents, each in other surroundings) would crowd one shard: its windows are
-dealt one by one by their own hash instead, after those of one document only
-are dropped, so that each distinct window is one row.
+   the wavelet tree, each unit once for all documents that hold it, whose words
+   are the same. The matching statistics say at which positions a match reaches
+   the window length, and the group of equal windows there has a smallest
+   document.
+4. A document loses the words under the windows whose group, by those
+   statistics, has a smaller document: of its units' holders the first one those
+   with a document before it, every later one all that the search found. Texts
+   are joined only for documents with candidates.
+
+An anchor with more than ``crowded`` different units (a passage in a large share
+of the documents, each in other surroundings) would crowd a shard: its windows
+are dealt one by one by their own hash instead, after those of one document only
+are dropped, so that each distinct window is one row. Such anchors are counted and
+joined, never collected.
 
 Defined results: a null text has no words; fewer words than the window, nothing
 goes; a document's own repeats stay; rows that repeat an id are judged each by
@@ -48,7 +51,7 @@ WINDOW = 50
 GRAM = 8
 RUN = 64
 SHARD_WORDS = 400_000
-#: An anchor's units are dealt by window above this number and 1/1000 of all units.
+#: An anchor's units are dealt by window above this number.
 CROWDED = 2000
 
 _SEGMENT = "struct<anchor:long,seg:long,start:int,n:int>"
@@ -121,26 +124,26 @@ def index_documents(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id long, tkey long, n_words long, sha string, segs array<{_SEGMENT}>")
 
 
-def crowded_windows(docs: DataFrame, anchors: list[int], window: int) -> DataFrame:
-    """The windows of the given anchors as segments of one window each."""
-    chosen = np.sort(np.array(anchors, np.int64).view(np.uint64))
+def crowded_windows(rows: DataFrame, window: int) -> DataFrame:
+    """The windows of the listed segments, as segments of one window each with an
+    anchor of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in T.pieces(batches):
             words = _words(piece)
             h = words.hashes()
-            at = np.flatnonzero(words.left() >= window)
-            a = window_anchors(h, window)[at]
-            at = at[chosen[np.minimum(np.searchsorted(chosen, a), len(chosen) - 1)] == a]
-            doc = words.doc[at]
+            each = piece.column("segs")
+            of = np.repeat(np.arange(piece.num_rows), np.diff(each.offsets.to_numpy()))
+            start, n = (each.flatten().field(c).to_numpy() for c in ("start", "n"))
+            doc = np.repeat(of, n)
+            at = np.repeat(words.first[of] + start, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
             code = T.hash_runs(h, at, at + window)
-            out = pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [piece.column("doc_id").take(pa.array(doc)), piece.column("tkey").take(pa.array(doc)), pa.array(T.signed(T.mix64(code + np.uint64(1)))),
                  pa.array(T.signed(code)), pa.array((at - words.first[doc]).astype(np.int32)), pa.array(np.ones(len(at), np.int32))],
                 names=["doc_id", "tkey", "anchor", "seg", "start", "n"])
-            yield out
 
-    return docs.where("doc_id is not null").mapInArrow(run, "doc_id long, tkey long, anchor long, seg long, start int, n int")
+    return rows.mapInArrow(run, "doc_id long, tkey long, anchor long, seg long, start int, n int")
 
 
 def unit_words(lists: DataFrame, window: int) -> DataFrame:
@@ -165,7 +168,8 @@ def unit_words(lists: DataFrame, window: int) -> DataFrame:
 
 
 def search_shard(units: DataFrame, window: int) -> DataFrame:
-    """Per unit the intervals of its windows that a smaller document holds."""
+    """Per unit the intervals of its windows that the index holds: ``spans``,
+    also for a document smaller than the unit's first, and ``found``, at all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
@@ -179,18 +183,23 @@ def search_shard(units: DataFrame, window: int) -> DataFrame:
         group = index.matches(code, first)
         least = index.group_minimum(low)
         unit = np.repeat(np.arange(len(low)), np.diff(first))
-        hit = (group >= 0) & (least[np.maximum(group, 0)] < low[unit])
-        at = np.flatnonzero(hit)
-        new = np.ones(len(at), bool)
-        new[1:] = (at[1:] != at[:-1] + 1) | (unit[at[1:]] != unit[at[:-1]])
-        begin = np.flatnonzero(new)
-        size = np.diff(np.append(begin, len(at)))
-        s = at[begin] - first[unit[at[begin]]]
-        spans = pa.StructArray.from_arrays([pa.array(s.astype(np.int32)), pa.array((s + size).astype(np.int32))], names=["s", "e"])
-        yield pa.RecordBatch.from_arrays([*table.columns[:4], T.lists(spans, np.bincount(unit[at[begin]], minlength=len(low)))],
-                                         names=["anchor", "seg", "n", "low", "spans"])
+        smallest = np.where(group >= 0, least[np.maximum(group, 0)], np.iinfo(np.int64).max)
+
+        def intervals(hit: np.ndarray) -> pa.Array:
+            at = np.flatnonzero(hit)
+            new = np.ones(len(at), bool)
+            new[1:] = (at[1:] != at[:-1] + 1) | (unit[at[1:]] != unit[at[:-1]])
+            begin = np.flatnonzero(new)
+            size = np.diff(np.append(begin, len(at)))
+            s = at[begin] - first[unit[at[begin]]]
+            spans = pa.StructArray.from_arrays([pa.array(s.astype(np.int32)), pa.array((s + size).astype(np.int32))], names=["s", "e"])
+            return T.lists(spans, np.bincount(unit[at[begin]], minlength=len(low)))
+
+        yield pa.RecordBatch.from_arrays([*table.columns[:4], intervals(smallest < low[unit]), intervals(smallest <= low[unit])],
+                                         names=["anchor", "seg", "n", "low", "spans", "found"])
 
-    return units.mapInArrow(run, "anchor long, seg long, n int, low long, spans array<struct<s:int,e:int>>")
+    span = "array<struct<s:int,e:int>>"
+    return units.mapInArrow(run, f"anchor long, seg long, n int, low long, spans {span}, found {span}")
 
 
 def remove_covered(rows: DataFrame) -> DataFrame:
@@ -213,6 +222,12 @@ def remove_covered(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, tkey long, n_removed long, kept string")
 
 
+def _rows_of(texts: DataFrame, lists: DataFrame) -> DataFrame:
+    """The texts of the listed (doc_id, tkey), one row each, with their lists."""
+    ids = lists.select("doc_id", "tkey")
+    return texts.join(keyed(ids, ids.count()), ["doc_id", "tkey"], "left_semi").dropDuplicates(["doc_id", "tkey"]).join(lists, ["doc_id", "tkey"])
+
+
 def dedup_windows(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED, shard_words: int = SHARD_WORDS,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row."""
@@ -226,29 +241,26 @@ def dedup_windows(docs: DataFrame, window: int = WINDOW, crowded: int = CROWDED,
         return p.groupBy(*_KEY).agg(F.min(F.struct("doc_id", "tkey", "start")).alias("rep"), F.max("doc_id").alias("hi"))
 
     units = staged(distinct(places), "units")
-    total = units.count()
-    limit = max(crowded, total // 1000)
-    full = [r.anchor for r in units.groupBy("anchor").count().where(F.col("count") > limit).collect()]  # at most 1000
-    if full:
-        hot = F.broadcast(docs.sparkSession.createDataFrame([(a,) for a in full], "anchor long"))
-        single = crowded_windows(texts, full, window)
+    hot = staged(units.groupBy("anchor").count().where(F.col("count") > crowded).select("anchor"), "crowded-anchors")
+    n_hot = hot.count()
+    if n_hot:
+        hot = keyed(hot, n_hot)
+        segs = staged(places.join(hot, "anchor", "left_semi").select("doc_id", "tkey", "start", "n").distinct()
+                      .groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("start", "n")).alias("segs")), "crowded-segments")
+        single = staged(crowded_windows(_rows_of(texts, segs).select("doc_id", "tkey", "text", "segs"), window), "crowded-windows")
         held = staged(single.groupBy("anchor", "seg", "n").agg(F.min(F.struct("doc_id", "tkey", "start")).alias("rep"), F.max("doc_id").alias("hi"))
                       .where("rep.doc_id <> hi"), "windows")
         places = places.join(hot, "anchor", "left_anti").unionByName(single.join(held.select(*_KEY), _KEY).select("doc_id", "tkey", *_KEY, "start"))
         units = staged(units.join(hot, "anchor", "left_anti").unionByName(held), "all-units")
     need = units.agg(F.coalesce(F.sum(F.col("n") + window - 1), F.lit(0))).first()[0]
-    ids = staged(units.select("rep.doc_id", "rep.tkey").distinct(), "unit-ids")
-    lists = units.groupBy("rep.doc_id", "rep.tkey").agg(F.collect_list(F.struct("anchor", "seg", F.col("rep.start").alias("start"), "n")).alias("units"))
-    text_rows = texts.join(keyed(ids, ids.count()), ["doc_id", "tkey"], "left_semi").dropDuplicates(["doc_id", "tkey"])
-    worded = unit_words(text_rows.join(lists, ["doc_id", "tkey"]).select("doc_id", "text", "units"), window)
+    lists = staged(units.groupBy("rep.doc_id", "rep.tkey").agg(F.collect_list(F.struct("anchor", "seg", F.col("rep.start").alias("start"), "n")).alias("units")), "unit-lists")
+    worded = unit_words(_rows_of(texts, lists).select("doc_id", "text", "units"), window)
     found = staged(search_shard(worded.repartition(max(1, -(-need // shard_words)), "anchor"), window), "found")
     later = F.col("doc_id") > F.col("low")
-    spans = F.when(later, F.array(F.struct(F.lit(0).alias("s"), F.col("n").alias("e")))).otherwise(F.col("spans"))
+    spans = F.when(later, F.col("found")).otherwise(F.col("spans"))
     cut = (places.join(found, _KEY).select("doc_id", "tkey", "start", F.explode(spans).alias("x"))
            .select("doc_id", "tkey", (F.col("start") + F.col("x.s")).alias("s"), (F.col("start") + F.col("x.e") + window - 1).alias("e")))
     cuts = staged(cut.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("s", "e")).alias("cut")), "cuts")
-    ids = cuts.select("doc_id", "tkey")
-    touched = texts.join(keyed(ids, ids.count()), ["doc_id", "tkey"], "left_semi").dropDuplicates(["doc_id", "tkey"])
-    done = remove_covered(touched.join(cuts, ["doc_id", "tkey"]))
+    done = remove_covered(_rows_of(texts, cuts))
     return rows.select("doc_id", "tkey", "n_words", "sha").join(done, ["doc_id", "tkey"], "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("kept", "sha").alias("kept_sha256"))

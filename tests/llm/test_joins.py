@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -46,6 +47,18 @@ def test_substring_dedup(spark, crowded, shard_words):
     assert sum(r.n_removed for r in got) > 500
 
 
+def test_matching_statistics_decide(spark, monkeypatch):
+    """Where the backward search finds nothing, nothing is removed: not from
+    exact copies, nor inside shared passages or crowded windows."""
+    found, rows = fm_dedup.search_shard, odd_rows()
+    none = F.array().cast("array<struct<s:int,e:int>>")
+    for crowded in (fm_dedup.CROWDED, 3):
+        assert sum(r.n_removed for r in fm_dedup.dedup_windows(frame(spark, rows), crowded=crowded).collect()) > 1000
+        monkeypatch.setattr(fm_dedup, "search_shard", lambda *a: found(*a).withColumns({"spans": none, "found": none}))
+        assert sum(r.n_removed for r in fm_dedup.dedup_windows(frame(spark, rows), crowded=crowded).collect()) == 0
+        monkeypatch.setattr(fm_dedup, "search_shard", found)
+
+
 def test_substring_dedup_empty(spark):
     assert fm_dedup.dedup_windows(frame(spark, [])).count() == 0
 
