@@ -84,7 +84,7 @@ PATTERNS: dict[str, tuple[tuple[str, ...], re.Pattern, Callable[[re.Match], bool
     "github": (("ghp_", "gho_", "ghu_", "ghs_", "ghr_"), re.compile(r"gh[pousr]_([A-Za-z0-9]{36})(?![A-Za-z0-9])"), _crc_ok),
     "npm": (("npm_",), re.compile(r"npm_([A-Za-z0-9]{36})(?![A-Za-z0-9])"), _crc_ok),
     "jwt": (("eyj",), re.compile(r"(eyJ[A-Za-z0-9_-]{4,})\.(eyJ[A-Za-z0-9_-]{2,})\.[A-Za-z0-9_-]{8,}"), _jwt_ok),
-    "pem": (("-----begin",), re.compile(r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----([A-Za-z0-9+/=\s]{16,65536})-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----"), _pem_ok),
+    "pem": (("-----begin",), re.compile(r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----([A-Za-z0-9+/=\s]{16,}+)-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----"), _pem_ok),
 }
 
 _HEX_RUN, _HEX = 24, re.compile(r"[0-9a-f]+")

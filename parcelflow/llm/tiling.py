@@ -26,11 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm import textspans as T
-from parcelflow.llm.frames import free_name
+from parcelflow.llm.frames import free_name, staged
 
 LEAST_TILE = 3
 SEED = LEAST_TILE
@@ -173,8 +173,19 @@ def _pairs(docs: DataFrame, benchmark: DataFrame, seed: int, coverage: float) ->
 
     items = benchmark.select("item_id", "text").mapInArrow(grams("item_id", True), "item_id long, seed long, n long").groupBy("item_id", "seed", "n").agg(
         F.count("*").alias("c"))
-    texts = docs.select("text_key", "text").mapInArrow(grams("text_key", False), "text_key long, seed long, n long").select("text_key", "seed").distinct()
-    return (texts.join(items, "seed").groupBy("text_key", "item_id", "n").agg(F.sum("c").alias("c")).where(F.col("c") * seed >= F.lit(coverage) * F.col("n"))
+    items = staged(items, "item-seeds")
+    texts = docs.select("text_key", "text").mapInArrow(grams("text_key", False), "text_key long, seed long, n long").select("text_key", "seed")
+    texts = staged(texts.join(items.select("seed").distinct(), "seed", "left_semi").distinct(), "text-seeds")
+    # a leak shares ``least`` of an item's seeds, so at least one of all but
+    # ``least - 1`` of them: those that the most texts have needn't be joined on
+    common = texts.groupBy("seed").agg(F.count("*").alias("texts"))
+    rare_first = Window.partitionBy("item_id", "n").orderBy("texts", "seed").rowsBetween(Window.unboundedPreceding, -1)
+    least = F.ceil(F.lit(coverage) * F.col("n") / F.lit(seed) - 1e-9)
+    ranked = items.join(common, "seed").withColumns({"before": F.coalesce(F.sum("c").over(rare_first), F.lit(0)),
+                                                     "all": F.sum("c").over(Window.partitionBy("item_id", "n"))})
+    met = texts.join(ranked.where(F.col("before") <= F.col("all") - least).select("item_id", "n", "seed"), "seed").select("text_key", "item_id", "n").distinct()
+    full = staged(met, "met").join(items, ["item_id", "n"]).join(texts, ["text_key", "seed"])
+    return (full.groupBy("text_key", "item_id", "n").agg(F.sum("c").alias("c")).where(F.col("c") * seed >= F.lit(coverage) * F.col("n"))
             .select("text_key", "item_id").distinct())
 
 

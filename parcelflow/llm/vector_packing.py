@@ -8,7 +8,7 @@ shard is split into parts of about that size first, so that even a group with a
 third of all rows spreads.
 
 At scale the placing has two levels. Groups are dealt by hash to ``blocks``
-blocks; each block packs its groups into one local bin per shard, streaming
+blocks, or to more, so that a block has a million groups on average; each block packs its groups into one local bin per shard, streaming
 them in descending size with nothing but the residuals in memory. The at most
 ``blocks * shards`` local bins are then placed by the same rule. Slots follow from
 three offsets (bin in shard, group in bin, row in group), so no shard is ever
@@ -35,6 +35,8 @@ from parcelflow.llm.frames import staged
 
 SHARDS = 40
 BLOCKS = 256
+#: Groups of a block on average, above which there are more blocks.
+BLOCK_GROUPS = 1_000_000
 SPLIT = 50
 _DIMS = ["bytes", "tokens", "rows"]
 
@@ -78,7 +80,9 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, blocks: int = BLOCKS, i
     rows = slim.join(F.broadcast(large), ["h1", "h2"], "left").select(
         "doc_id", "bytes", "tokens", "crc", "h1", "h2", "rid",
         F.coalesce(F.pmod(F.xxhash64("rid"), F.col("parts")), F.lit(0)).alias("salt"))
-    units = staged(rows.groupBy("h1", "h2", "salt").agg(*sums).withColumn("block", F.pmod(F.xxhash64("h1", "h2", "salt"), F.lit(blocks)).cast("int")), "units")
+    units = staged(rows.groupBy("h1", "h2", "salt").agg(*sums), "units")
+    blocks = max(blocks, -(-units.count() // BLOCK_GROUPS))
+    units = units.withColumn("block", F.pmod(F.xxhash64("h1", "h2", "salt"), F.lit(blocks)).cast("int"))
     capacity = {r.block: np.array([r[d] for d in _DIMS], float) for r in units.groupBy("block").agg(*(F.sum(d).alias(d) for d in _DIMS)).collect()}
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

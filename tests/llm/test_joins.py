@@ -204,6 +204,33 @@ def test_shards(spark):
     assert vector_packing.assign_shards(frame(spark, [])).count() == 0
 
 
+def test_shards_against_plain_placing(spark):
+    """One block of groups that differ in size: the shards hold what plain
+    dot-product placing, largest first, puts together."""
+    rng = random.Random(21)
+    sizes = rng.sample(range(1500, 2300), 400)
+    texts = [("w" * rng.randrange(4, 7) + " ") * n for n in sizes]
+    texts = [x[:n] for x, n in zip(texts, sizes, strict=True)]
+    copies = [1] * len(texts)
+    rows = [(i * 10 + k, x) for i, (x, c) in enumerate(zip(texts, copies, strict=True)) for k in range(c)]
+    got = defaultdict(set)
+    for r in vector_packing.assign_shards(frame(spark, rows), shards=4, blocks=1).collect():
+        got[r.shard].add(r.doc_id)
+    groups = [(c * (len(x) + 16), c * (x.count(" ") + 1), c, [i * 10 + k for k in range(c)]) for i, (x, c) in enumerate(zip(texts, copies, strict=True))]
+    assert len({g[0] for g in groups}) > 380 and max(g[0] for g in groups) * 200 < sum(g[0] for g in groups)
+    order = sorted(groups, key=lambda g: -g[0])
+    total = [sum(g[d] for g in groups) for d in range(3)]
+    left, held = [[1.0] * 3 for _ in range(4)], [set() for _ in range(4)]
+    for g in order:
+        v = [g[d] * 4 / total[d] for d in range(3)]
+        fits = [b for b in range(4) if all(left[b][d] >= v[d] for d in range(3))]
+        at = max(fits, key=lambda b: sum(x * y for x, y in zip(left[b], v, strict=True))) if fits else max(range(4), key=lambda b: left[b][0])
+        left[at] = [x - y for x, y in zip(left[at], v, strict=True)]
+        held[at] |= set(g[3])
+    same = sum(len(max((a & b for b in held), key=len)) for a in got.values())
+    assert same >= 0.9 * len(rows)  # ties and the last bit of a product may go another way
+
+
 def test_shards_are_near_equal(spark):
     got = queries.QUERIES["op5_vector_packing"](spark, "/root/testdata/sf0.01").groupBy("shard").sum("size").collect()
     sizes = [r["sum(size)"] for r in got]

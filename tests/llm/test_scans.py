@@ -317,3 +317,30 @@ def test_key_is_required(spark):
     from parcelflow.llm import queries
     with pytest.raises(ValueError, match="secret key"):
         queries.pii_key(spark)
+
+
+def test_leaks_among_frequent_seeds(spark, monkeypatch):
+    """A word triple that every text and item has makes no pairs by itself;
+    the shuffled join finds what the broadcast one does."""
+    rng = random.Random(31)
+    common = "the usual opening of everything here"
+    items = [(i, common + " " + prose(rng, 20)) for i in range(40)]
+    rows = [(i, common + " " + prose(rng, 60)) for i in range(150)]
+    rows += [(1000 + i, prose(rng, 10) + " " + x + " " + prose(rng, 10)) for i, (_, x) in enumerate(items[:15])]
+    rows += [(2000 + i, " ".join(x.split()[k : k + 4][j] for k in (20, 0, 12, 4, 8, 16) for j in range(len(x.split()[k : k + 4])))) for i, (_, x) in enumerate(items[:5])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(tuple, tiling.find_leaks(frame(spark, rows), bench).collect()))
+    assert {r[0] for r in want} >= set(range(1000, 1015)) | set(range(2000, 2005))
+    monkeypatch.setattr(tiling, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, tiling.find_leaks(frame(spark, rows), bench).collect())) == want
+    keyed = frame(spark, rows).select("doc_id", "text").withColumn("text_key", tiling.F.xxhash64("text"))
+    assert tiling._pairs(keyed, bench, tiling.LEAST_TILE, tiling.COVERAGE).count() < 60  # 150 x 40 share the triple
+
+
+def test_long_private_key():
+    body = base64.encodebytes(bytes(range(256)) * 400).decode()  # beyond 65,536 characters
+    der = b"\x30\x83" + (102_400).to_bytes(3, "big") + bytes(102_400)
+    text = "-----BEGIN PRIVATE KEY-----\n" + base64.encodebytes(der).decode() + "-----END PRIVATE KEY-----"
+    kind, _, check = secret_scan.PATTERNS["pem"]
+    m = secret_scan.PATTERNS["pem"][1].search("x " + text + " y")
+    assert m and m[0] == text and check(m) and not secret_scan.PATTERNS["pem"][1].search("-----BEGIN PRIVATE KEY-----" + body)
