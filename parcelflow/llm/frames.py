@@ -12,10 +12,16 @@ from parcelflow.session import stage_table
 BROADCAST_ROWS = 1_000_000
 
 
+#: Bytes of a batch of rows that goes to Python.
+BATCH_BYTES = 4 << 20
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Rows of whole texts go to Python in batches of 1000, a few MB each, in
-    place of 10,000: two workers an executor hold one batch each."""
+    """Rows of whole texts go to Python in batches of 1000 and of a few MB each,
+    in place of 10,000 rows of any size: two workers an executor hold one batch
+    each, and the JVM the bytes of as many."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -267,6 +267,8 @@ def bucket_rows(docs: DataFrame, shingle: int, percent: int, parts: int) -> Data
                 blocks.append(block)
         if blocks:
             yield close()
+        blocks = []
+        T.release()
 
     sent = docs.where("doc_id is not null").mapInArrow(send, "slot long, sigs binary, ids binary, sizes binary")
     return sent.repartition(parts, "slot").sortWithinPartitions("slot").mapInArrow(merge, "sig long, doc_id long, n long")

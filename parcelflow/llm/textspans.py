@@ -6,6 +6,7 @@ one numpy pass finds and hashes the words of thousands of documents."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,6 +79,20 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, off - off[0]
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # no glibc: nothing to give back
+    _trim = None
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker process serves one task
+    after another and would keep the most that any of them needed."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = PIECE_BYTES, rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Slices of the batches with at most ``limit`` bytes of text and ``rows``
     rows each; a text beyond the limit is a slice of its own."""
@@ -90,6 +105,7 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = P
             to = min(max(to, at + 1), at + rows, batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
+    release()
 
 
 def lowered(data: np.ndarray) -> np.ndarray:
