@@ -57,6 +57,8 @@ from parcelflow.llm import textspans as T
 from parcelflow.llm.frames import components, free_name, keyed, small_batches, staged
 
 _UNIVERSE = 52
+#: Signatures have 56 bits; the low byte, of eight that travel, is empty.
+_SIGNATURE = np.uint64(0xFFFFFFFFFFFFFF00)
 #: From this number of segments on, empty ones need no paying back.
 SURE_UNITS = 32
 #: Signatures that a mapper sorts and sends at a time.
@@ -154,7 +156,7 @@ def signatures(element: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands
                 seg = np.union1d(np.setdiff1d(seg, held.astype(np.uint64)), single.astype(np.uint64))
                 out_doc.append(np.full(len(seg), i))
                 out_sig.append(T.mix64(T.mix64(np.uint64(k[i] + 1) << np.uint64(40) | seg)))
-    return np.concatenate(out_doc), np.concatenate(out_sig)
+    return np.concatenate(out_doc), np.concatenate(out_sig) & _SIGNATURE
 
 
 def _sets(piece: pa.RecordBatch, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
