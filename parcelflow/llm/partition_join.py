@@ -13,15 +13,22 @@ the bound has at least one equal part. A set needs only the first U = H + 1
 segments for its own largest H: that allocation goes by its own size, and both
 sets of a pair hold at least as many as the pair needs.
 
-An empty part says nothing and would gather strangers, so it is not indexed (it
-costs one unit of the pigeonhole). A set with an empty part pays that back by
-its one-deletion neighbourhoods: each other part, less one element, is indexed
-too, so parts that differ in one element meet. Only where half of three or more
-parts are empty are the empty ones indexed after all; a pair could slip through
-only if one set of it crowds all its elements into less than half of its
-segments and the other doesn't, below 1e-15 under the hash. With 32 segments or
-more nothing is paid back: a pair is lost only if its differences, fewer than
-the segments, hit every segment that isn't empty in both, below 1e-9.
+An empty part says nothing and would gather strangers, so it is not indexed; it
+costs one unit of the pigeonhole. A set with E empty parts pays by one-deletion
+neighbourhoods (a part less any one element) of E of its parts with two or more
+elements: the first E in the scheme's allocation order, cheapest first by the
+counted frequencies of the signatures in each segment (``segment_costs``, over
+all documents). No pair within the bound is lost, at any size and for any order:
+let both sets lack e parts, let c parts be empty in one and hold two or more in
+the other, and let no whole part be equal. Fewer differences than segments leave
+fewer than e - c of the parts that both hold with two or more differences, so one
+of the first e - c of these in the order differs in one element; before it, its
+larger side has fewer than e - c such parts and at most c that the other lacks, so
+it is among that side's first E. Where too few parts are held by both, 2 E + S
+exceeds the number of segments in both sets (S: parts of one element); such sets
+index their empty parts after all. The order is by cost among the segments that
+all sets of the scheme use, and by position in the others, so it is the same for
+both sets of a pair whatever their number of segments.
 
 Signatures travel as sorted blocks of bytes, one per mapper flush and slot of
 the signature range, and a slot's blocks are merged in one task to find the
@@ -59,8 +66,8 @@ from parcelflow.llm.frames import components, free_name, keyed, small_batches, s
 _UNIVERSE = 52
 #: Signatures have 56 bits; the low byte, of eight that travel, is empty.
 _SIGNATURE = np.uint64(0xFFFFFFFFFFFFFF00)
-#: From this number of segments on, empty ones need no paying back.
-SURE_UNITS = 32
+#: Segments of all schemes are counted in so many slots, of so many counters.
+SLOTS, COUNTERS = 4096, 16
 #: Signatures that a mapper sorts and sends at a time.
 FLUSH = 500_000
 #: Pairs per bucket row up to which a bucket's pairs are made as rows.
@@ -96,6 +103,12 @@ class Bands:
         top = self.bounds[k + 1] - 1
         return self.differ(top + self.partner(top)) + 1
 
+    def common(self, k: np.ndarray) -> np.ndarray:
+        """Segments that every set of the scheme uses, but for sets that only
+        equal ones can match."""
+        low, top = self.bounds[k], self.bounds[k + 1] - 1
+        return np.maximum(self.differ(np.minimum(low + self.partner(low), 2 * top + 1)) + 1, 2)
+
 
 def shingle_keys(words: T.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct (text << 52 | element) keys, and the number of each text."""
@@ -115,47 +128,92 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts) if len(starts) else np.zeros(0, np.uint64)
 
 
-def signatures(element: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
-    """(text, signature) of all indexed parts of all sets of a piece."""
-    bands.reach(int(n.max(initial=1)))
-    band = np.searchsorted(bands.bounds, n, "right") - 1
-    weight = T.mix64(element + np.uint64(1))
-    out_doc, out_sig = [], []
-    for back in (0, 1):
-        k = np.maximum(band - back, 0)
-        top = bands.bounds[k + 1] - 1
+class Parts:
+    """The parts of all sets of a piece in the schemes of their own band
+    (``back`` 0) or the band below (1)."""
+
+    def __init__(self, element: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands, back: int):
+        bands.reach(int(n.max(initial=1)))
+        band = np.searchsorted(bands.bounds, n, "right") - 1
+        self.k = np.maximum(band - back, 0)
+        top = bands.bounds[self.k + 1] - 1
         largest = bands.partner(n) if back == 0 else np.minimum(top, n)
-        units = bands.differ(n + largest) + 1
+        self.units = bands.differ(n + largest) + 1
         if back:  # the partner is in the band below
-            units[(band < 1) | (top * 100 < n * bands.percent)] = 0
-        units[n == 0] = 0
-        units[units == 1] = 0  # only equal sets, which grouping finds
-        m = bands.segments(k)
+            self.units[(band < 1) | (top * 100 < n * bands.percent)] = 0
+        self.units[n == 0] = 0
+        self.units[self.units == 1] = 0  # only equal sets, which grouping finds
+        m = bands.segments(self.k)
         segment = ((element >> np.uint64(_UNIVERSE - 32)) * m[doc].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-        take = np.flatnonzero(segment < units[doc])
-        d, s, w = doc[take], segment[take], weight[take]
+        take = np.flatnonzero(segment < self.units[doc])
+        d, s = doc[take], segment[take]
+        self.weight = T.mix64(element[take] + np.uint64(1))
         new = np.ones(len(take), bool)
         new[1:] = (d[1:] != d[:-1]) | (s[1:] != s[:-1])
         starts = np.flatnonzero(new)
-        total, part_doc = _sums(w, starts), d[starts]
-        label = T.mix64((k[d] + 1).astype(np.uint64) << np.uint64(40) | s.astype(np.uint64))
-        out_doc.append(part_doc)
-        out_sig.append(T.mix64(total + label[starts]))
-        empty = np.where(units < SURE_UNITS, units - np.bincount(part_doc, minlength=len(n)), 0)
-        lone = np.flatnonzero(empty > 0)
-        if len(lone):
-            run = np.cumsum(new) - 1
-            size = np.diff(np.append(starts, len(take)))
-            more = (empty[d] > 0) & (size[run] > 1)
-            out_doc.append(d[more])
-            out_sig.append(T.mix64(total[run[more]] - w[more] + label[more]))
-            for i in lone[(units[lone] >= 3) & (2 * empty[lone] >= units[lone])].tolist():
-                seg = np.arange(units[i], dtype=np.uint64)
-                held = s[d == i]
-                single = s[starts[(part_doc == i) & (size == 1)]]
-                seg = np.union1d(np.setdiff1d(seg, held.astype(np.uint64)), single.astype(np.uint64))
+        self.run = np.cumsum(new) - 1  # of each element its part
+        self.size = np.diff(np.append(starts, len(take)))
+        self.doc, self.segment, self.total = d[starts], s[starts], _sums(self.weight, starts)
+        self.label = self.labels(self.k[self.doc], self.segment)
+        self.empty = self.units - np.bincount(self.doc, minlength=len(n))
+
+    @staticmethod
+    def labels(k: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        return T.mix64((k + 1).astype(np.uint64) << np.uint64(40) | segment.astype(np.uint64))
+
+    def whole(self) -> np.ndarray:
+        return T.mix64(self.total + self.label)
+
+    def neighbours(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(part, signature) of the one-deletion neighbourhoods of the parts
+        marked."""
+        at = np.flatnonzero(parts[self.run])
+        run = self.run[at]
+        return run, T.mix64(self.total[run] - self.weight[at] + self.label[run])
+
+    def slot(self) -> np.ndarray:
+        return (self.label % np.uint64(SLOTS)).astype(np.int64)
+
+    def allocated(self, bands: Bands, costs: np.ndarray) -> np.ndarray:
+        """Marks of the parts whose neighbourhoods pay for their sets' empty
+        parts."""
+        at = np.flatnonzero((self.size > 1) & (self.empty[self.doc] > 0))
+        d, s = self.doc[at], self.segment[at]
+        late = s >= bands.common(self.k[d])
+        at = at[np.lexsort((s, np.where(late, 0, costs[self.slot()[at]]), late, d))]
+        d = self.doc[at]
+        rank = np.arange(len(at)) - np.searchsorted(d, d)
+        marks = np.zeros(len(self.doc), bool)
+        marks[at[rank < self.empty[d]]] = True
+        return marks
+
+    def hollow(self, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+        """(text, signature) of the empty parts of sets that crowd into few
+        segments."""
+        single = np.bincount(self.doc[self.size == 1], minlength=len(self.units))
+        least = bands.common(self.k)
+        out_doc, out_sig = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for i in np.flatnonzero((self.empty > 0) & (2 * self.empty + single > np.minimum(least, self.units))).tolist():
+            a, b = np.searchsorted(self.doc, (i, i + 1))
+            held = np.zeros(self.units[i], np.int64)
+            held[self.segment[a:b]] = self.size[a:b]
+            short = np.cumsum(np.where(held == 0, 2, held == 1)) > np.arange(1, len(held) + 1)
+            if short[least[i] - 1 :].any():
+                seg = np.flatnonzero(held == 0)
                 out_doc.append(np.full(len(seg), i))
-                out_sig.append(T.mix64(T.mix64(np.uint64(k[i] + 1) << np.uint64(40) | seg)))
+                out_sig.append(T.mix64(self.labels(np.full(len(seg), self.k[i]), seg)))
+        return np.concatenate(out_doc), np.concatenate(out_sig)
+
+
+def signatures(element: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands, costs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, signature) of all indexed parts of all sets of a piece."""
+    out_doc, out_sig = [], []
+    for back in (0, 1):
+        parts = Parts(element, doc, n, bands, back)
+        run, near = parts.neighbours(parts.allocated(bands, costs))
+        hollow_doc, hollow = parts.hollow(bands)
+        out_doc += [parts.doc, parts.doc[run], hollow_doc]
+        out_sig += [parts.whole(), near, hollow]
     return np.concatenate(out_doc), np.concatenate(out_sig) & _SIGNATURE
 
 
@@ -176,6 +234,49 @@ def _digests(element: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return one, two
 
 
+def _leaders(element: np.ndarray, n: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Marks, of equal sets of a piece, the one with the smallest id."""
+    one, two = _digests(element, n)
+    order = np.lexsort((ids, n, two, one))
+    leader = np.ones(len(n), bool)
+    leader[order[1:]] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]) | (n[order][1:] != n[order][:-1])
+    return leader
+
+
+def segment_costs(docs: DataFrame, shingle: int, percent: int) -> np.ndarray:
+    """Cost of each slot of segments, from all documents: the sum of squares of
+    its counters of signatures (whole parts and all one-deletion neighbourhoods),
+    an estimate of the pairs that meet there.
+
+    A task sends ``SLOTS`` rows of ``COUNTERS`` counts whatever it read, and the
+    driver takes ``SLOTS`` sums. Segments that share a slot share its cost; the
+    costs decide what is cheap, never what is found."""
+    names = [f"c{i}" for i in range(COUNTERS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, counts = Bands(percent), np.zeros(SLOTS * COUNTERS, np.int64)
+        for piece in T.pieces(batches):
+            element, doc, n = _sets(piece, shingle)
+            keep = _leaders(element, n, piece.column("doc_id").to_numpy())
+            element, doc, n = element[keep[doc]], doc[keep[doc]], np.where(keep, n, 0)
+            for back in (0, 1):
+                parts = Parts(element, doc, n, bands, back)
+                slot = parts.slot()
+                at, near = parts.neighbours(parts.size > 1)
+                for where, sig in ((slot, parts.whole()), (slot[at], near)):
+                    counts += np.bincount(where * COUNTERS + (sig >> np.uint64(32)).astype(np.int64) % COUNTERS, minlength=len(counts))
+        T.release()
+        table = counts.reshape(SLOTS, COUNTERS)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLOTS)), *(pa.array(table[:, i]) for i in range(COUNTERS))], names=["slot", *names])
+
+    counted = (docs.where("doc_id is not null").mapInArrow(run, ", ".join(["slot long", *(f"{c} long" for c in names)]))
+               .groupBy("slot").agg(*(F.sum(c).cast("double").alias(c) for c in names)))
+    costs = np.zeros(SLOTS)
+    for slot, cost in counted.select("slot", sum((F.col(c) * F.col(c) for c in names[1:]), F.col("c0") * F.col("c0"))).collect():
+        costs[slot] = cost
+    return costs
+
+
 def index_rows(docs: DataFrame, shingle: int) -> DataFrame:
     """Per row its set's size and digests."""
 
@@ -199,7 +300,7 @@ def _unpack(blocks: list[bytes], kind: type) -> np.ndarray:
     return np.concatenate([np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(width, -1).T).view(kind).ravel() for b in blocks])
 
 
-def bucket_rows(docs: DataFrame, shingle: int, percent: int, parts: int) -> DataFrame:
+def bucket_rows(docs: DataFrame, shingle: int, percent: int, parts: int, costs: np.ndarray) -> DataFrame:
     """(sig, doc_id, n) of the signatures that several sets have. Of equal sets
     of one piece only the one with the smallest id is indexed; a set's smallest
     id always is."""
@@ -230,12 +331,9 @@ def bucket_rows(docs: DataFrame, shingle: int, percent: int, parts: int) -> Data
         bands, held, waiting = Bands(percent), [], 0
         for piece in T.pieces(batches):
             element, doc, n = _sets(piece, shingle)
-            one, two = _digests(element, n)
             ids = piece.column("doc_id").to_numpy()
-            order = np.lexsort((ids, n, two, one))
-            leader = np.ones(len(n), bool)
-            leader[order[1:]] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]) | (n[order][1:] != n[order][:-1])
-            at, sig = signatures(element, doc, n, bands)
+            leader = _leaders(element, n, ids)
+            at, sig = signatures(element, doc, n, bands, costs)
             at, sig = at[leader[at]], sig[leader[at]]
             if len(sig):
                 held.append((sig, ids[at], n[at]))
@@ -426,7 +524,8 @@ def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90,
     known = rows.where("doc_id is not null and n > 0")
     classes = staged(known.groupBy("one", "two", "n").agg(F.min("doc_id").alias("rep")), "classes")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = staged(bucket_rows(texts, shingle, percent, parts).join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    costs = segment_costs(texts, shingle, percent)
+    buckets = staged(bucket_rows(texts, shingle, percent, parts, costs).join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
                      .distinct(), "buckets")
     # one id may stand for several sets
     same = known.select("doc_id", "one", "two", "n").join(classes, ["one", "two", "n"]).where("doc_id <> rep").select(

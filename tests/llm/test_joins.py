@@ -158,21 +158,61 @@ def test_keep_one_odd_rows(spark):
     assert got == Counter(best.values())
 
 
-def test_signatures_miss_no_pair():
-    """Random pairs just within the bound share a signature at every size."""
+@pytest.mark.parametrize("crowd", [1, 3, 40])
+def test_signatures_miss_no_pair(crowd):
+    """Pairs within the bound share a signature at every size, for any costs,
+    also where the elements crowd into few segments."""
     rng = np.random.default_rng(9)
-    for percent in (80, 90):
-        for _ in range(300):
-            n = int(rng.integers(2, 120))
-            x = rng.choice(1 << 52, n, replace=False).astype(np.uint64)
-            drop = int(rng.integers(0, n))
-            y = np.concatenate([x[drop:], rng.choice(1 << 52, int(rng.integers(0, 8)), replace=False).astype(np.uint64)])
-            x, y = np.unique(x), np.unique(y)
+    tried = 0
+    for percent in (50, 80, 90):
+        bands = partition_join.Bands(percent)
+        for _ in range(1500):
+            n = int(rng.integers(2, 120 if rng.random() < 0.9 else 1500))
+            spots = rng.integers(0, 1 << 52, int(rng.integers(1, crowd + 1)), dtype=np.uint64) if crowd > 1 else None
+
+            def some(count, spots=spots):
+                free = rng.integers(0, 1 << 52, count, dtype=np.uint64)
+                return free if spots is None else np.where(rng.random(count) < 0.1, free, rng.choice(spots, count) ^ (free >> np.uint64(16)))
+
+            x = np.unique(some(n))
+            limit = bands.differ(2 * len(x)) + 1
+            drop = int(rng.integers(0, limit + 1))
+            y = np.unique(np.concatenate([rng.permutation(x)[drop:], some(int(rng.integers(0, limit - drop + 1)))]))
             both = len(np.intersect1d(x, y))
             if both and 100 * both >= percent * (len(x) + len(y) - both) and both < max(len(x), len(y)):
-                bands = partition_join.Bands(percent)
-                doc, sig = partition_join.signatures(np.concatenate([x, y]), np.repeat([0, 1], [len(x), len(y)]), np.array([len(x), len(y)]), bands)
+                tried += 1
+                costs = rng.integers(0, 9, partition_join.SLOTS).astype(float)
+                doc, sig = partition_join.signatures(np.concatenate([x, y]), np.repeat([0, 1], [len(x), len(y)]), np.array([len(x), len(y)]), bands, costs)
                 assert set(sig[doc == 0]) & set(sig[doc == 1]), (percent, len(x), len(y), both)
+    assert tried > 1000
+
+
+def test_neighbourhoods_pay_for_empty_parts():
+    """A set indexes its parts and, for each empty one, the neighbourhood of one
+    part, the cheapest first."""
+    rng = np.random.default_rng(2)
+    bands = partition_join.Bands(80)
+    sets = [np.unique(rng.integers(0, 1 << 52, int(n), dtype=np.uint64)) for n in rng.integers(20, 900, 200)]
+    element, n = np.concatenate(sets), np.array([len(x) for x in sets])
+    parts = partition_join.Parts(element, np.repeat(np.arange(len(sets)), n), n, bands, 0)
+    costs = rng.random(partition_join.SLOTS)
+    marks = parts.allocated(bands, costs)
+    assert (np.bincount(parts.doc[marks], minlength=len(n)) == parts.empty).all() and parts.empty.sum() > 100
+    price, late = costs[parts.slot()], parts.segment >= bands.common(parts.k[parts.doc])
+    for i in np.flatnonzero(parts.empty):
+        own = (parts.doc == i) & (parts.size > 1) & ~late
+        if (own & ~marks).any() and (own & marks).any():
+            assert price[own & marks].max() <= price[own & ~marks].min()
+
+
+def test_costs_count_all_signatures(spark):
+    """A segment that many different sets fill alike costs more."""
+    rng = random.Random(3)
+    assert (partition_join.segment_costs(frame(spark, []), 5, 80) == 0).all()
+    alone = partition_join.segment_costs(frame(spark, [(i, prose(rng, 60)) for i in range(20)]), 5, 80)
+    base = prose(rng, 60)
+    alike = partition_join.segment_costs(frame(spark, [(i, f"{base} end{i}") for i in range(20)] + [(None, base)]), 5, 80)
+    assert alike.sum() > 2 * alone.sum() > 0
 
 
 def test_components(spark):
