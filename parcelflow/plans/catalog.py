@@ -767,6 +767,11 @@ def q_listings_not_sold(spark, sf):
     return contracts.listings_not_sold(P.listings(spark, sf).reduced, P.sold(spark, sf).reduced)
 
 
+#: Columns of the rules, the ratios and the checks.
+_CHECKED = ["ClosePrice", "OriginalListPrice", *C.DATE_COLS, "DaysOnMarket", "PropertyType", "LivingArea", "BedroomsTotal",
+            "BathroomsTotalInteger", "YearBuilt", "Latitude", "Longitude"]
+
+
 @reg("contract_report", S + f"""
 SELECT 'row_conservation' AS "check", (SELECT count(*) FROM clean) = (SELECT count(*) - sum(hard_invalid_flag) FROM flagged) AS ok
 UNION ALL SELECT 'single_type', (SELECT count(DISTINCT PropertyType) = 1 FROM flagged)
@@ -775,7 +780,7 @@ UNION ALL SELECT 'outlier_share', (SELECT CAST(sum(any_iqr_outlier_flag) AS DOUB
 UNION ALL SELECT 'anchor', (SELECT count(*) FROM reduced) = (SELECT count(*) FROM res)
 UNION ALL SELECT 'one_district_a_row', (SELECT count(*) FROM districted) = (SELECT count(*) FROM clean)""")
 def q_contract_report(spark, sf):
-    s = P.sold(spark, sf)
+    s = P.sold(spark, sf).staged("residential", *_CHECKED)
     joined = contracts.row_conservation(s.clean.select(F.lit(0).alias("gone")), s.enriched, "gone")
     residential = s.residential.agg(F.count(F.lit(1)).alias("n"))
     anchor = s.reduced.agg(F.count(F.lit(1)).alias("kept")).crossJoin(residential).select((F.col("kept") == F.col("n")).alias("ok"))

@@ -11,7 +11,7 @@ persisted (flagged, enriched, IQR-flagged) are written with
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +32,25 @@ class Stages:
     sf_dir: str
     dataset: str = "sold"
     params: C.Params = field(default_factory=lambda: REGISTRY_PARAMS)
+    #: The stage that is read from a table, if one is.
+    table: str = ""
+
+    def __post_init__(self) -> None:
+        # the wide stages are beyond what HotSpot compiles as one method (session.py)
+        self.spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+
+    def staged(self, stage: str, *columns: str) -> Stages:
+        """These stages with ``columns`` of one stage written to a table, which the
+        stages after it read: a query of several passes or branches runs the joins of
+        its input once. Without names all columns are kept."""
+        out = replace(self, table=stage)
+        df = getattr(self, stage)
+        setattr(out, stage, cut_lineage(df.select(*dict.fromkeys(columns or df.columns))))
+        return out
+
+    def flaggable(self, *columns: str) -> Stages:
+        """``staged`` on the clean rows, with the fields that fences are taken of and flag."""
+        return self.staged("metrics", *C.IQR_FIELDS, *columns)
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -45,7 +64,7 @@ class Stages:
 
     @cached_property
     def reduced(self) -> DataFrame:
-        return shape.residential_reduced(self.raw, self.dataset)
+        return shape.residential_reduced(self.residential, self.dataset)
 
     @cached_property
     def weekly(self) -> DataFrame:
@@ -108,7 +127,9 @@ class Stages:
 
     @cached_property
     def fences(self) -> DataFrame:
-        return outliers.iqr_fences(self.measure_stage, probs=[], accuracy=self.params.quantile_accuracy, minimal=True, staged=True)
+        """Of the clean rows, which need no district for them."""
+        return outliers.iqr_fences(self.metrics, probs=[], accuracy=self.params.quantile_accuracy, minimal=True,
+                                   staged=self.table in ("flagged", "metrics"))
 
     @cached_property
     def iqr_core(self) -> DataFrame:
