@@ -96,11 +96,14 @@ def contract_report(checks: Mapping[str, DataFrame], passed: Mapping[str, str] |
 
 
 def logged_probes(flagged_sold: DataFrame, iqr_sold: DataFrame, listings: DataFrame,
-                  accuracy: int = 10_000) -> DataFrame:
+                  accuracy: int = 10_000, staged: bool = False) -> DataFrame:
     """DOM = close - list share; median price with vs without
     coordinates; median price of area <= 0 rows; ratio > 2 rows among
-    IQR-kept; listings without a close price (share)."""
-    f = cut_lineage(flagged_sold.select("DaysOnMarket", "CloseDate", "ListingContractDate", "missing_coords_flag", "ClosePrice", "LivingArea"))
+    IQR-kept; listings without a close price (share). The flagged rows are read
+    several times, from a narrow stage table unless ``staged`` says that they are one."""
+    f = flagged_sold.select("DaysOnMarket", "CloseDate", "ListingContractDate", "missing_coords_flag", "ClosePrice", "LivingArea")
+    if not staged:
+        f = cut_lineage(f)
     dom_eq = f.agg((F.count_if(F.col("DaysOnMarket") == F.datediff("CloseDate", "ListingContractDate"))
                     * 100.0 / rows_or_null()).alias("dom_equals_close_minus_list_pct"))
     med = exact_percentiles_wide(f, [

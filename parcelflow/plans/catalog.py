@@ -805,6 +805,9 @@ def q_single_value_check(spark, sf):
     return contracts.single_value(P.sold(spark, sf).reduced, "PropertyType")
 
 
+_PROBED = ["ClosePrice", "OriginalListPrice", *C.DATE_COLS, "DaysOnMarket", "LivingArea", "missing_coords_flag", "hard_invalid_flag"]
+
+
 @reg("logged_probes", B + f"""
 SELECT (SELECT {_pct('count(*) FILTER (WHERE DaysOnMarket = CloseDate - ListingContractDate)', 'count(*)')} FROM flagged)
          AS dom_equals_close_minus_list_pct,
@@ -814,8 +817,8 @@ SELECT (SELECT {_pct('count(*) FILTER (WHERE DaysOnMarket = CloseDate - ListingC
        (SELECT count(*) FILTER (WHERE price_ratio > 2) FROM iqr WHERE any_iqr_outlier_flag = 0) AS ratio_gt2_iqr_kept,
        (SELECT {_pct('count(*) FILTER (WHERE ClosePrice IS NULL)', 'count(*)')} FROM l_reduced) AS listings_no_close_price_pct""")
 def q_logged_probes(spark, sf):
-    s, lst = P.sold(spark, sf), P.listings(spark, sf)
-    return rnd(contracts.logged_probes(s.flagged, s.iqr_core, lst.reduced, accuracy=ACC), "median_price_no_coords",
+    s, lst = P.sold(spark, sf).staged("flagged", *_PROBED), P.listings(spark, sf)
+    return rnd(contracts.logged_probes(s.flagged, s.iqr_core, lst.reduced, accuracy=ACC, staged=True), "median_price_no_coords",
                "median_price_with_coords", "median_price_area_le0")
 
 
