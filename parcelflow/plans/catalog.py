@@ -597,7 +597,7 @@ def q_iqr_flags(spark, sf):
 
 @reg("iqr_filtered", S + "SELECT * FROM iqr WHERE any_iqr_outlier_flag = 0")
 def q_iqr_filtered(spark, sf):
-    return outliers.iqr_filtered(P.sold(spark, sf).iqr)
+    return outliers.iqr_filtered(P.sold(spark, sf).staged("metrics").iqr)
 
 
 @reg("iqr_share", S + f"""
@@ -692,7 +692,7 @@ def q_avg_ratio(spark, sf):
 SELECT {_M.format(d='ListingContractDate')} AS month, count(strftime(ListingContractDate, '%Y-%m')) AS new_listings
 FROM iqr WHERE ListingContractDate IS NOT NULL GROUP BY 1""")
 def q_new_listings(spark, sf):
-    return dashboard.new_listings(dashboard.extract_listings(P.listings(spark, sf).iqr_core))
+    return dashboard.new_listings(dashboard.extract_listings(P.listings(spark, sf).flaggable(*_LISTED).iqr_core))
 
 
 @reg("closed_sales", S + f"""
@@ -723,12 +723,17 @@ def q_dashboard_filtered(spark, sf):
     return rnd(dashboard.monthly_median_price(P.sold(spark, sf).market_stage, FILTERS, accuracy=ACC), "median_close_price")
 
 
+#: Columns that the district join reads.
+_PLACE = ["Latitude", "Longitude", *C.BAD_GEO_FLAGS]
+_EXTRACT = ["CloseDate", "YrMo", "price_ratio", "days_on_market", *C.FILTER_DIMS, "rate_30yr_fixed"]
+
+
 @reg("extract_sold", S + """
 SELECT CloseDate, YrMo, ClosePrice, price_ratio, days_on_market, City, CountyOrParish,
   split_part(CAST(PostalCode AS VARCHAR), '.', 1) AS PostalCode, PropertySubType, DistrictName,
   CAST(any_iqr_outlier_flag AS BIGINT) AS any_iqr_outlier_flag, rate_30yr_fixed FROM iqr""")
 def q_extract_sold(spark, sf):
-    return dashboard.extract_sold(P.sold(spark, sf).iqr)
+    return dashboard.extract_sold(P.sold(spark, sf).flaggable(*_EXTRACT, *_PLACE).iqr)
 
 
 @reg("extract_listings", O.chain("listings") + """
@@ -736,7 +741,7 @@ SELECT ListingContractDate, strftime(ListingContractDate, '%Y-%m') AS ListYrMo,
   split_part(CAST(PostalCode AS VARCHAR), '.', 1) AS PostalCode, PropertySubType,
   CAST(any_iqr_outlier_flag AS BIGINT) AS any_iqr_outlier_flag FROM iqr""")
 def q_extract_listings(spark, sf):
-    return dashboard.extract_listings(P.listings(spark, sf).iqr_core)
+    return dashboard.extract_listings(P.listings(spark, sf).flaggable(*_LISTED).iqr_core)
 
 
 # ---------------------------------------------------------------- phase 9

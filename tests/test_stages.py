@@ -51,7 +51,8 @@ def _reads(monkeypatch, spark, tables, query):
     return sum(p.count("lineitem.parquet") for p in [*plans, plan(out)]), out.collect()
 
 
-@pytest.mark.parametrize("query, most", [("contract_report", 1), ("logged_probes", 2)])
+@pytest.mark.parametrize("query, most", [("contract_report", 1), ("logged_probes", 2), ("extract_sold", 1),
+                                         ("iqr_filtered", 1), ("extract_listings", 1)])
 def test_a_query_joins_its_input_once(monkeypatch, spark, tables, query, most):
     reads, rows = _reads(monkeypatch, spark, tables, query)
     assert rows and reads == most
