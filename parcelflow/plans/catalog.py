@@ -844,7 +844,7 @@ _PREVIEW = ["ClosePrice", "LivingArea", "DaysOnMarket", "YrMo", "CountyOrParish"
 @reg("preview", S + f"""
 SELECT {", ".join(_PREVIEW)} FROM iqr ORDER BY {", ".join(c + " ASC NULLS FIRST" for c in _PREVIEW)} LIMIT 5""")
 def q_preview(spark, sf):
-    return shape.preview(P.sold(spark, sf).iqr, _PREVIEW, 5)
+    return shape.preview(P.sold(spark, sf).flaggable(*_PREVIEW, *_PLACE).iqr, _PREVIEW, 5)
 
 
 @reg("month_bounds", S + r"""
