@@ -592,7 +592,7 @@ _IQRC = ["ListingKey", "ClosePrice", "LivingArea", "DaysOnMarket", *C.IQR_FLAG_O
 
 @reg("iqr_flags", S + f"SELECT {', '.join(_IQRC)} FROM iqr")
 def q_iqr_flags(spark, sf):
-    return P.sold(spark, sf).iqr_core.select(*_IQRC)
+    return P.sold(spark, sf).flaggable("ListingKey").iqr_core.select(*_IQRC)
 
 
 @reg("iqr_filtered", S + "SELECT * FROM iqr WHERE any_iqr_outlier_flag = 0")
@@ -604,7 +604,7 @@ def q_iqr_filtered(spark, sf):
 SELECT CAST(sum(any_iqr_outlier_flag) AS BIGINT) AS flagged, {_pct('sum(any_iqr_outlier_flag)', 'count(*)')} AS share_pct,
   {_pct('sum(any_iqr_outlier_flag)', 'count(*)')} BETWEEN {C.IQR_SHARE_BAND[0]} AND {C.IQR_SHARE_BAND[1]} AS in_band FROM iqr""")
 def q_iqr_share(spark, sf):
-    return outliers.iqr_share(P.sold(spark, sf).iqr_core)
+    return outliers.iqr_share(P.sold(spark, sf).flaggable().iqr_core)
 
 
 @reg("iqr_diagnostics", S + ", " + _fences_sql(["price_per_sqft", "close_to_original_list_ratio"], [0.5, 0.95, 0.99],
@@ -624,7 +624,7 @@ SELECT dataset, count(*) AS rows, round(avg(ClosePrice), 6) AS mean_ClosePrice,
   count(*) * 100.0 / (SELECT count(*) FROM iqr) AS retained_pct
 FROM both_ GROUP BY 1""")
 def q_iqr_comparison(spark, sf):
-    return rnd(outliers.iqr_comparison(P.sold(spark, sf).iqr_core, accuracy=ACC), "mean_ClosePrice", "median_ClosePrice",
+    return rnd(outliers.iqr_comparison(P.sold(spark, sf).flaggable().iqr_core, accuracy=ACC), "mean_ClosePrice", "median_ClosePrice",
                "median_LivingArea", "median_DaysOnMarket")
 
 
@@ -632,7 +632,7 @@ def q_iqr_comparison(spark, sf):
 SELECT CountyOrParish, count(*) AS rows, {_pct('sum(any_iqr_outlier_flag)', 'count(*)')} AS flagged_pct
 FROM iqr WHERE CountyOrParish IN (SELECT CountyOrParish FROM top6) GROUP BY 1""")
 def q_flag_rate_county(spark, sf):
-    return outliers.flag_rate_county(P.sold(spark, sf).iqr_core)
+    return outliers.flag_rate_county(P.sold(spark, sf).flaggable("CountyOrParish").iqr_core)
 
 
 _TIER = [("any", "any_iqr_outlier_flag")] + list(C.IQR_FLAG_OF.items())
@@ -642,7 +642,7 @@ _TIER = [("any", "any_iqr_outlier_flag")] + list(C.IQR_FLAG_OF.items())
     f"SELECT count(*) AS rows, '{n}' AS fence, CAST(sum({c}) AS BIGINT) AS fired, {_pct(f'sum({c})', 'count(*)')} AS rate_pct FROM tier"
     for n, c in _TIER))
 def q_investor_tier(spark, sf):
-    return outliers.investor_tier(P.sold(spark, sf).iqr_core)
+    return outliers.investor_tier(P.sold(spark, sf).flaggable().iqr_core)
 
 
 @reg("dom_tail", S + f"""
@@ -652,7 +652,7 @@ SELECT count(*) AS rows, {_pct(f'count(*) FILTER (WHERE ClosePrice < {C.INVESTOR
     AS nonmember_pct
 FROM iqr WHERE daysonmarket_iqr_outlier_flag = 1""")
 def q_dom_tail(spark, sf):
-    return outliers.dom_tail(P.sold(spark, sf).iqr_core, county=TAIL_COUNTY)
+    return outliers.dom_tail(P.sold(spark, sf).flaggable("CountyOrParish", "BuyerOfficeName").iqr_core, county=TAIL_COUNTY)
 
 
 @reg("status_counts", S + "SELECT district_match_status, count(*) AS n FROM iqr GROUP BY 1")
@@ -678,7 +678,7 @@ _M = "CAST(date_trunc('month', {d}) AS DATE)"
 SELECT {_M.format(d='CloseDate')} AS month, round(avg(days_on_market), 6) AS avg_days_on_market FROM iqr
 WHERE any_iqr_outlier_flag = 0 AND CloseDate IS NOT NULL GROUP BY 1""")
 def q_avg_dom(spark, sf):
-    return rnd(dashboard.avg_dom(P.sold(spark, sf).iqr_core), "avg_days_on_market")
+    return rnd(dashboard.avg_dom(P.sold(spark, sf).flaggable("CloseDate", "days_on_market").iqr_core), "avg_days_on_market")
 
 
 @reg("avg_ratio", S + f"""
