@@ -685,7 +685,10 @@ def q_avg_dom(spark, sf):
 SELECT {_M.format(d='CloseDate')} AS month, round(avg(price_ratio), 6) AS avg_price_ratio FROM iqr
 WHERE any_iqr_outlier_flag = 0 AND price_ratio BETWEEN 0 AND 2 AND CloseDate IS NOT NULL GROUP BY 1""")
 def q_avg_ratio(spark, sf):
-    return rnd(dashboard.avg_ratio(P.sold(spark, sf).iqr_core), "avg_price_ratio")
+    return rnd(dashboard.avg_ratio(P.sold(spark, sf).flaggable("CloseDate", "price_ratio").iqr_core), "avg_price_ratio")
+
+
+_LISTED = ["ListingContractDate", *C.FILTER_DIMS]
 
 
 @reg("new_listings", O.chain("listings") + f"""

@@ -52,7 +52,7 @@ def _reads(monkeypatch, spark, tables, query):
 
 
 @pytest.mark.parametrize("query, most", [("contract_report", 1), ("logged_probes", 2), ("extract_sold", 1),
-                                         ("iqr_filtered", 1), ("extract_listings", 1), ("preview", 1), ("avg_dom", 1)])
+                                         ("iqr_filtered", 1), ("extract_listings", 1), ("preview", 1), ("avg_dom", 1), ("avg_ratio", 1)])
 def test_a_query_joins_its_input_once(monkeypatch, spark, tables, query, most):
     reads, rows = _reads(monkeypatch, spark, tables, query)
     assert rows and reads == most
