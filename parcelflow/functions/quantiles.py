@@ -12,7 +12,8 @@ and largest value, by map-side aggregation; only the histograms, bounded by
 ``[min, max]`` of its bin, and is done where both are equal, so ties never stall
 it. A field of at most ``small_n`` distinct values is counted by value at once.
 No values are shuffled, a level reads the narrow columns once, and a billion
-rows take three or four levels.
+rows take three or four levels. A few named groups (``exact_percentiles_of``) are
+columns of this kind, one for each group and field.
 
 Groups (``by``): ranks by range partitioning. Values are sorted by (group, value)
 over range partitions in one shuffle, with a salt as the last sort key, so equal
@@ -36,9 +37,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelflow.session import cut_lineage
 
+#: Groups times fields up to which groups are selected by histograms.
+FEW = 64
 #: Distinct values up to which a whole column is counted by value.
 DISTINCT = 10_000
 
@@ -48,9 +52,9 @@ def _columns(fields: Sequence[str] | Mapping[str, Column | str]) -> dict[str, Co
     return {k: F.nanvl(F.col(c).cast("double") if isinstance(c, str) else c.cast("double"), F.lit(None).cast("double")) for k, c in items}
 
 
-def _long(df: DataFrame, keep: Sequence[str], names: Sequence[str], columns: Sequence[Column]) -> DataFrame:
+def _long(df: DataFrame, keep: Sequence[str], names: Sequence, columns: Sequence[Column], name: str = "field") -> DataFrame:
     """(*keep, field, v) with a row for each value that is not null."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("field"), c.alias("v")) for n, c in zip(names, columns, strict=True)])
+    pairs = F.array(*[F.struct(F.lit(n).alias(name), c.alias("v")) for n, c in zip(names, columns, strict=True)])
     return df.select(*keep, F.inline(pairs)).where(F.col("v").isNotNull())
 
 
@@ -80,8 +84,34 @@ def exact_percentiles(
     narrow = df.select(*[c.alias(f"c{i}") for i, c in enumerate(columns.values())])
     if not staged:
         narrow = cut_lineage(narrow)
-    long = _long(narrow, [], list(columns), [F.col(c) for c in narrow.columns])
-    return _by_histograms(long, probs, max(2, accuracy), DISTINCT if small_n is None else small_n, bracket_limit)
+    long = _long(narrow, [], range(len(columns)), [F.col(c) for c in narrow.columns], "k")
+    found = _by_histograms(long, probs, max(2, accuracy), DISTINCT if small_n is None else small_n, bracket_limit)
+    names = list(columns)
+    return df.sparkSession.createDataFrame([(names[k], p, n, v) for k, p, n, v in found], "field string, p double, n long, value double")
+
+
+def exact_percentiles_of(
+    df: DataFrame,
+    groups: DataFrame,
+    fields: Sequence[str] | Mapping[str, Column | str],
+    probs: Sequence[float],
+    accuracy: int = 10_000,
+    bracket_limit: int = 200_000,
+) -> DataFrame:
+    """``exact_percentiles`` of the few ``groups`` named by a table of their distinct keys,
+    which are columns of ``df`` and not null: selection by histograms, a column for each group
+    and field, so no value is shuffled. ``df`` is read several times."""
+    columns, spark, by = _columns(fields), df.sparkSession, groups.columns
+    known = groups.collect()
+    numbered = spark.createDataFrame([(*r, i) for i, r in enumerate(known)], T.StructType([*groups.schema.fields, T.StructField("_group", T.IntegerType())]))
+    narrow = df.select(*by, *[c.alias(f"_c{i}") for i, c in enumerate(columns.values())]).join(F.broadcast(numbered), by)
+    long = _long(narrow, ["_group"], range(len(columns)), [F.col(f"_c{i}") for i in range(len(columns))], "field")
+    long = long.select((F.col("_group") * len(columns) + F.col("field")).alias("k"), "v")
+    found = _by_histograms(long, sorted({float(p) for p in probs}), max(2, accuracy), DISTINCT, bracket_limit)
+    names = list(columns)
+    rows = [(*known[k // len(names)], names[k % len(names)], p, n, v) for k, p, n, v in found]
+    extra = [T.StructField("field", T.StringType()), T.StructField("p", T.DoubleType()), T.StructField("n", T.LongType()), T.StructField("value", T.DoubleType())]
+    return spark.createDataFrame(rows, T.StructType([*groups.schema.fields, *extra]))
 
 
 # ------------------------------------------------------------ whole columns
@@ -91,21 +121,48 @@ def _ranks(n: int, probs: Sequence[float]) -> set[int]:
     return {f(p * (n - 1)) for p in probs for f in (math.floor, math.ceil)}
 
 
-def _bin(v: Column, low: float, high: float, bins: int) -> Column:
-    """Bin of a value between ``low`` and ``high``, which differ; order is kept."""
-    scale = 1.0 if math.isfinite(high - low) else 0.5
-    width = high * scale - low * scale
-    inner = F.floor((v * scale - low * scale) / width * bins).cast("double") if math.isfinite(width) else F.lit(bins // 2).cast("double")
-    return F.when(v == high, F.lit(bins - 1.0)).when(v == low, F.lit(0.0)).otherwise(F.least(inner, F.lit(bins - 1.0)))
-
-
-def _by_histograms(long: DataFrame, probs: Sequence[float], bins: int, distinct: int, rows: int) -> DataFrame:
+def _pick(x: Column, low: Sequence[float], found: Sequence[Column]) -> Column:
+    """``found`` of the last entry whose ``low`` is at most ``x`` (the first, if none), by halving."""
+    if len(low) == 1:
+        return found[0]
+    m = len(low) // 2
+    return F.when(x < F.lit(low[m]), _pick(x, low[:m], found[:m])).otherwise(_pick(x, low[m:], found[m:]))
+
+
+def _bracket(k: Column, v: Column, brackets: Sequence[tuple]) -> Column:
+    """Index of the bracket (k, low, high, ...) that holds a value, else null. Those
+    of a column are disjoint, so a value is compared with the logarithm of their number."""
+    of: dict[int, list[tuple[float, Column]]] = {}
+    for i, (key, low, high, *_) in enumerate(brackets):
+        of.setdefault(key, []).append((low, F.when((k == F.lit(key)) & v.between(low, high), F.lit(i))))
+    keys = sorted(of)
+    trees = [_pick(v, *zip(*sorted(of[key], key=lambda b: b[0]), strict=True)) for key in keys]
+    return _pick(k, keys, trees)
+
+
+def _bin(v: Column, i: Column, brackets: Sequence[tuple], exact: Sequence[bool], bins: int) -> Column:
+    """Bin of a value of bracket ``i``, whose ends differ; order is kept. The value
+    itself is the bin where ``exact``."""
+    of = lambda values: F.get(F.array(*[F.lit(x) for x in values]), i)
+    ends = [(float(low), float(high)) for _, low, high, *_ in brackets]
+    scales = [1.0 if math.isfinite(high - low) else 0.5 for low, high in ends]
+    starts = [low * s for (low, _), s in zip(ends, scales, strict=True)]
+    widths = [high * s - start for (_, high), s, start in zip(ends, scales, starts, strict=True)]
+    inner = F.floor((v * of(scales) - of(starts)) / of(widths) * bins).cast("double")
+    if not all(map(math.isfinite, widths)):
+        inner = F.when(of([math.isfinite(w) for w in widths]), inner).otherwise(F.lit(bins // 2).cast("double"))
+    at = F.when(v == of([high for _, high in ends]), F.lit(bins - 1.0)).when(v == of([low for low, _ in ends]), F.lit(0.0)).otherwise(F.least(inner, F.lit(bins - 1.0)))
+    return F.when(of(exact), v).otherwise(at) if any(exact) else at
+
+
+def _by_histograms(long: DataFrame, probs: Sequence[float], bins: int, distinct: int, rows: int) -> list[tuple[int, float, int, float]]:
+    """(k, p, n, value) of the columns ``k`` of ``long`` (k, v)."""
     v = F.col("v")
-    stats = {r.field: r for r in long.groupBy("field").agg(
+    stats = {r.k: r for r in long.groupBy("k").agg(
         F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.approx_count_distinct("v").alias("d")).collect()}
-    found: dict[tuple[str, int], float] = {}
-    #: (field, low, high, values below, wanted ranks)
-    brackets = [(f, s.low, s.high, 0, sorted(_ranks(s.n, probs))) for f, s in stats.items()]
+    found: dict[tuple[int, int], float] = {}
+    #: (k, low, high, values below, wanted ranks)
+    brackets = [(k, s.low, s.high, 0, sorted(_ranks(s.n, probs))) for k, s in stats.items()]
     level = 0
     while True:
         for f, low, high, _, ranks in brackets:
@@ -115,17 +172,15 @@ def _by_histograms(long: DataFrame, probs: Sequence[float], bins: int, distinct:
         if not brackets:
             break
         size = max(2, min(bins, rows // len(brackets)))
-        cell = None
-        for i, (f, low, high, _, _) in enumerate(brackets):
-            inside = (F.col("field") == f) & v.between(low, high)
-            at = v if level == 0 and stats[f].d <= distinct else _bin(v, low, high, size)
-            one = F.struct(F.lit(i).alias("i"), at.alias("at"))
-            cell = F.when(inside, one) if cell is None else cell.when(inside, one)
-        bars = (long.select("v", cell.alias("c")).where("c IS NOT NULL").groupBy("c.i", "c.at")
-                .agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("low"), F.max("v").alias("high")).collect())
+        exact = [level == 0 and stats[b[0]].d <= distinct for b in brackets]
+        inside = long.select("v", _bracket(F.col("k"), v, brackets).alias("i")).where("i IS NOT NULL")
+        bars: dict[int, list] = {}
+        for b in (inside.select("v", "i", _bin(v, F.col("i"), brackets, exact, size).alias("at")).groupBy("i", "at")
+                  .agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("low"), F.max("v").alias("high")).collect()):
+            bars.setdefault(b.i, []).append(b)
         nxt = []
         for i, (f, _, _, below, ranks) in enumerate(brackets):
-            own = sorted((b for b in bars if b.i == i), key=lambda b: b["at"])
+            own = sorted(bars[i], key=lambda b: b["at"])
             upto = below + np.cumsum([b.m for b in own])
             wanted: dict[int, list[int]] = {}
             for k in ranks:
@@ -138,7 +193,7 @@ def _by_histograms(long: DataFrame, probs: Sequence[float], bins: int, distinct:
             pos = float(s.n - 1) * p
             low, high = found[f, math.floor(pos)], found[f, math.ceil(pos)]
             out.append((f, p, s.n, low if low == high else low + (high - low) * (pos - math.floor(pos))))
-    return long.sparkSession.createDataFrame(out, "field string, p double, n long, value double")
+    return out
 
 
 # ------------------------------------------------------------------- groups
@@ -205,8 +260,10 @@ def exact_percentiles_wide(
     by: Sequence[str] = (),
     accuracy: int = 10_000,
     staged: bool = False,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per group with one column per ``(out_name, value, p)`` spec.
+    """One row per group with one column per ``(out_name, value, p)`` spec, of
+    the few ``groups`` only if they are given.
 
     Groups where every spec value is null are absent; left-join onto the
     group's counts when they must appear."""
@@ -218,7 +275,10 @@ def exact_percentiles_wide(
         fields.setdefault(key, col)
         spec_keys.append((out, key, float(p)))
     probs = sorted({p for _, _, p in spec_keys})
-    long = exact_percentiles(df, fields, probs, by=by, accuracy=accuracy, staged=staged)
+    if groups is not None:
+        by, long = groups.columns, exact_percentiles_of(df, groups, fields, probs, accuracy)
+    else:
+        long = exact_percentiles(df, fields, probs, by=by, accuracy=accuracy, staged=staged)
     aggs = [
         F.max(F.when((F.col("field") == f) & (F.col("p") == F.lit(p)), F.col("value"))).alias(out)
         for out, f, p in spec_keys

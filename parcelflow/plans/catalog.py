@@ -583,7 +583,7 @@ def _fences_sql(fields, probs, src, p=""):
 
 @reg("iqr_fences", S + ", " + _fences_sql(C.IQR_FIELDS, C.PERCENTILES, "districted") + "\nSELECT * FROM fall")
 def q_iqr_fences(spark, sf):
-    return rnd(outliers.iqr_fences(P.sold(spark, sf).measure_stage, accuracy=ACC, staged=True),
+    return rnd(outliers.iqr_fences(P.sold(spark, sf).metrics, accuracy=ACC),
                "q1", "q3", "iqr", "lo", "hi", *[f"p{int(round(p * 100))}" for p in C.PERCENTILES])
 
 
@@ -611,7 +611,7 @@ def q_iqr_share(spark, sf):
                                                "districted") + """
 SELECT field, p50 AS median, p95, p99, lo, hi, flagged AS would_flag, flagged_pct_of_rows AS would_flag_pct FROM fall""")
 def q_iqr_diagnostics(spark, sf):
-    return rnd(outliers.iqr_diagnostics(P.sold(spark, sf).measure_stage, accuracy=ACC, staged=True),
+    return rnd(outliers.iqr_diagnostics(P.sold(spark, sf).metrics, accuracy=ACC),
                "median", "p95", "p99", "lo", "hi")
 
 
@@ -665,7 +665,7 @@ def q_status_counts(spark, sf):
 SELECT 'sold' AS dataset, field, q1, q3, lo, hi, below, above, flagged_pct_of_rows FROM fall
 UNION ALL SELECT 'listings' AS dataset, field, q1, q3, lo, hi, below, above, flagged_pct_of_rows FROM l_fall""")
 def q_fence_rates_both(spark, sf):
-    return rnd(outliers.fence_rates_both(P.sold(spark, sf).measure_stage, P.listings(spark, sf).measure_stage, accuracy=ACC, staged=True),
+    return rnd(outliers.fence_rates_both(P.sold(spark, sf).metrics, P.listings(spark, sf).metrics, accuracy=ACC),
                "q1", "q3", "lo", "hi")
 
 

@@ -52,7 +52,28 @@ def _reads(monkeypatch, spark, tables, query):
 
 
 @pytest.mark.parametrize("query, most", [("contract_report", 1), ("logged_probes", 2), ("extract_sold", 1),
-                                         ("iqr_filtered", 1), ("extract_listings", 1), ("preview", 1), ("avg_dom", 1), ("avg_ratio", 1)])
+                                         ("iqr_filtered", 1), ("extract_listings", 1), ("preview", 1), ("avg_dom", 1), ("avg_ratio", 1),
+                                         ("iqr_fences", 1), ("fence_rates_both", 2)])
 def test_a_query_joins_its_input_once(monkeypatch, spark, tables, query, most):
     reads, rows = _reads(monkeypatch, spark, tables, query)
     assert rows and reads == most
+
+
+@pytest.mark.parametrize("query", ["iqr_fences"])
+def test_medians_shuffle_no_values(monkeypatch, spark, tables, query):
+    plans = []
+    write = session.stage_table
+    monkeypatch.setattr(session, "stage_table", lambda df, name: (plans.append(df.columns), write(df, name))[1])
+    assert catalog.queries()[query](spark, tables).count()
+    assert len(plans) == 1  # no stage of ranked values, only the clean rows
+    assert len(plans[0]) <= 6
+
+
+def test_many_brackets_of_a_column(spark):
+    from parcelflow.functions.quantiles import exact_percentiles
+    df = spark.range(5000).select((F.pmod(F.col("id") * 7919, F.lit(5003)) / 3).alias("x"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("y"))
+    probs = [i / 40 for i in range(41)]
+    got = {(r.field, r.p): r.value for r in exact_percentiles(df, ["x", "y"], probs, accuracy=4, small_n=1, bracket_limit=300).collect()}
+    for f in ("x", "y"):
+        want = df.selectExpr(f"percentile({f}, array({','.join(map(str, probs))})) AS q").first().q
+        assert [got[f, p] for p in probs] == pytest.approx(want, abs=1e-9)
