@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.functions.quantiles import exact_percentiles_wide
+from parcelflow.functions.quantiles import FEW, exact_percentiles_wide
 from parcelflow.functions.scalars import month_key, round_half_even, rows_or_null, safe_ratio
 from parcelflow.session import cut_lineage
 
@@ -46,14 +46,15 @@ def segment(df: DataFrame, by: str | Sequence[str], top: int = 10, accuracy: int
     keyed = df.dropna(subset=by)
     counts = keyed.groupBy(*by).agg(F.count(F.lit(1)).alias("n_sales"))
     top_keys = counts.orderBy(F.desc("n_sales"), *by).limit(top)
-    # medians only for the top segments: a broadcast semi-join of <= top keys
-    sub = keyed.join(F.broadcast(top_keys.select(*by)), by, "left_semi")
-    med = exact_percentiles_wide(sub, [
-        ("median_close", "ClosePrice", 0.5),
-        ("median_ppsf", "price_per_sqft", 0.5),
-        ("median_price_ratio", "price_ratio", 0.5),
-        ("median_dom", "days_on_market", 0.5),
-    ], by=by, accuracy=accuracy)
+    specs = [("median_close", "ClosePrice", 0.5), ("median_ppsf", "price_per_sqft", 0.5),
+             ("median_price_ratio", "price_ratio", 0.5), ("median_dom", "days_on_market", 0.5)]
+    # medians only for the top segments, at most ``top`` keys
+    if top * len(specs) <= FEW:
+        top_keys = df.sparkSession.createDataFrame(top_keys.collect(), top_keys.schema)
+        med = exact_percentiles_wide(keyed, specs, accuracy=accuracy, groups=top_keys.select(*by))
+    else:
+        sub = keyed.join(F.broadcast(top_keys.select(*by)), by, "left_semi")
+        med = exact_percentiles_wide(sub, specs, by=by, accuracy=accuracy)
     meds = ["median_close", "median_ppsf", "median_price_ratio", "median_dom"]
     rnd = (lambda c: F.col(c)) if digits is None else (lambda c: round_half_even(c, digits).alias(c))
     return (top_keys.join(med, by, "left")

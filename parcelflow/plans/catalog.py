@@ -444,12 +444,14 @@ FROM top t JOIN districted d ON {" AND ".join(f"t.{b} = d.{b}" for b in by)}
 GROUP BY {", ".join(f"t.{b}" for b in by)}, t.n_sales"""
 
 
+_MEASURES = ["ClosePrice", "price_per_sqft", "price_ratio", "days_on_market"]
+
 for _name, _by in [("segment_subtype", ["PropertySubType"]), ("segment_county", ["CountyOrParish"]),
                    ("segment_area", ["MLSAreaMajor"]), ("segment_list_office", ["ListOfficeName"]),
                    ("segment_buyer_office", ["BuyerOfficeName"]),
                    ("segment_county_area", ["CountyOrParish", "MLSAreaMajor"])]:
     reg(_name, _segment_sql(_by))(
-        (lambda by: lambda spark, sf: metrics.segment(P.sold(spark, sf).measure_stage, by, digits=D,
+        (lambda by: lambda spark, sf: metrics.segment(P.sold(spark, sf).staged("metrics", *by, *_MEASURES).metrics, by, digits=D,
                                                       accuracy=ACC))(_by))
 
 

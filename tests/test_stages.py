@@ -53,13 +53,13 @@ def _reads(monkeypatch, spark, tables, query):
 
 @pytest.mark.parametrize("query, most", [("contract_report", 1), ("logged_probes", 2), ("extract_sold", 1),
                                          ("iqr_filtered", 1), ("extract_listings", 1), ("preview", 1), ("avg_dom", 1), ("avg_ratio", 1),
-                                         ("iqr_fences", 1), ("fence_rates_both", 2)])
+                                         ("iqr_fences", 1), ("fence_rates_both", 2), ("segment_area", 1)])
 def test_a_query_joins_its_input_once(monkeypatch, spark, tables, query, most):
     reads, rows = _reads(monkeypatch, spark, tables, query)
     assert rows and reads == most
 
 
-@pytest.mark.parametrize("query", ["iqr_fences"])
+@pytest.mark.parametrize("query", ["iqr_fences", "segment_area"])
 def test_medians_shuffle_no_values(monkeypatch, spark, tables, query):
     plans = []
     write = session.stage_table
@@ -69,6 +69,20 @@ def test_medians_shuffle_no_values(monkeypatch, spark, tables, query):
     assert len(plans[0]) <= 6
 
 
+def test_medians_of_few_groups_equal_those_by_ranges(spark):
+    from parcelflow.functions.quantiles import exact_percentiles, exact_percentiles_of
+    big = 1.7e308
+    rows = [(g, float((i * 37) % 101) if i % 7 else None, [-big, big, 0.0, float("nan"), 1e-3][i % 5]) for g in ("a", "b", None) for i in range(300)]
+    rows += [("c", 5.0, None), ("d", None, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    keys = df.where("g IS NOT NULL").select("g").distinct()
+    probs = [0.0, 0.25, 0.5, 0.99]
+    want = exact_percentiles(df, ["x", "y"], probs, by=["g"]).collect()
+    for accuracy, limit in ((10_000, 200_000), (3, 16)):
+        got = exact_percentiles_of(df, keys, ["x", "y"], probs, accuracy=accuracy, bracket_limit=limit).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 def test_many_brackets_of_a_column(spark):
     from parcelflow.functions.quantiles import exact_percentiles
     df = spark.range(5000).select((F.pmod(F.col("id") * 7919, F.lit(5003)) / 3).alias("x"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("y"))
