@@ -461,7 +461,7 @@ def _two_digits(sql: str) -> str:
 
 @reg("segment_county_rounded", _two_digits(_segment_sql(["CountyOrParish"])))
 def q_segment_county_rounded(spark, sf):
-    return metrics.segment(P.sold(spark, sf).measure_stage, "CountyOrParish", accuracy=ACC)
+    return metrics.segment(P.sold(spark, sf).staged("metrics", "CountyOrParish", *_MEASURES).metrics, "CountyOrParish", accuracy=ACC)
 
 
 @reg("ask_split", S + f"""
@@ -470,14 +470,14 @@ SELECT count(*) AS n, {_pct('count(*) FILTER (WHERE price_ratio > 1)', 'count(*)
   {_pct('count(*) FILTER (WHERE price_ratio < 1)', 'count(*)')} AS below_pct,
   round(quantile_cont(price_ratio, 0.5), 6) AS median_ratio FROM districted WHERE price_ratio IS NOT NULL""")
 def q_ask_split(spark, sf):
-    return rnd(metrics.ask_split(P.sold(spark, sf).measure_stage, accuracy=ACC), "median_ratio")
+    return rnd(metrics.ask_split(P.sold(spark, sf).metrics, accuracy=ACC), "median_ratio")
 
 
 @reg("median_durations", S + f"""
 SELECT {R(_q('listing_to_contract_days', 0.5))} AS median_listing_to_contract,
        {R(_q('contract_to_close_days', 0.5))} AS median_contract_to_close FROM districted""")
 def q_median_durations(spark, sf):
-    return rnd(metrics.median_durations(P.sold(spark, sf).measure_stage, accuracy=ACC),
+    return rnd(metrics.median_durations(P.sold(spark, sf).metrics, accuracy=ACC),
                "median_listing_to_contract", "median_contract_to_close")
 
 
@@ -487,7 +487,7 @@ SELECT CountyOrParish, round(quantile_cont(price_per_sqft, 0.5), 6) AS median_pp
 WHERE CountyOrParish IS NOT NULL GROUP BY 1
 HAVING count(price_per_sqft) + count(price_ratio) > 0""")
 def q_county_ppsf_ratio(spark, sf):
-    return rnd(metrics.county_ppsf_ratio(P.sold(spark, sf).measure_stage, accuracy=ACC), "median_ppsf", "median_price_ratio")
+    return rnd(metrics.county_ppsf_ratio(P.sold(spark, sf).staged("metrics", "CountyOrParish", "price_per_sqft", "price_ratio").metrics, accuracy=ACC), "median_ppsf", "median_price_ratio")
 
 
 # ---------------------------------------------------------------- phase 6

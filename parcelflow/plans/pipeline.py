@@ -116,15 +116,6 @@ class Stages:
     def enriched_counted(self) -> DataFrame:
         return spatial.district_join(self.metrics, self.polygons, self.params, keep_match_count=True)
 
-    @cached_property
-    def measure_stage(self) -> DataFrame:
-        """The clean rows' measures and segment keys, for fences and medians that
-        read them in several passes. No district is among them, so the spatial
-        join isn't run for them."""
-        names = [*C.IQR_FIELDS, "price_per_sqft", "price_ratio", "close_to_original_list_ratio", "days_on_market",
-                 "listing_to_contract_days", "contract_to_close_days", *C.SEGMENT_DIMS, *C.SEGMENT_PAIR]
-        return cut_lineage(self.metrics.select(*dict.fromkeys(names)))
-
     @cached_property
     def fences(self) -> DataFrame:
         """Of the clean rows, which need no district for them."""

@@ -53,13 +53,13 @@ def _reads(monkeypatch, spark, tables, query):
 
 @pytest.mark.parametrize("query, most", [("contract_report", 1), ("logged_probes", 2), ("extract_sold", 1),
                                          ("iqr_filtered", 1), ("extract_listings", 1), ("preview", 1), ("avg_dom", 1), ("avg_ratio", 1),
-                                         ("iqr_fences", 1), ("fence_rates_both", 2), ("segment_area", 1)])
+                                         ("iqr_fences", 1), ("fence_rates_both", 2), ("segment_area", 1), ("segment_subtype", 1)])
 def test_a_query_joins_its_input_once(monkeypatch, spark, tables, query, most):
     reads, rows = _reads(monkeypatch, spark, tables, query)
     assert rows and reads == most
 
 
-@pytest.mark.parametrize("query", ["iqr_fences", "segment_area"])
+@pytest.mark.parametrize("query", ["iqr_fences", "segment_area", "segment_subtype"])
 def test_medians_shuffle_no_values(monkeypatch, spark, tables, query):
     plans = []
     write = session.stage_table
