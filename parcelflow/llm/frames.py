@@ -15,6 +15,9 @@ BROADCAST_ROWS = 1_000_000
 #: Bytes of a batch of rows that goes to Python.
 BATCH_BYTES = 4 << 20
 
+#: Whether shuffle files are removed at the end of the query that wrote them.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def small_batches(spark: SparkSession) -> None:
     """Rows of whole texts go to Python in batches of 1000 and of a few MB each,
@@ -30,7 +33,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    return stage_table(df, f"llm-{name}")
+    """A stage table; the shuffle files of its job go when it is written, not
+    when the driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, "false")
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        return stage_table(df, f"llm-{name}")
+    finally:
+        conf.set(SHUFFLE_CLEANUP, before)
 
 
 def free_name(df: DataFrame, name: str) -> str:

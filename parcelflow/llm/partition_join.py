@@ -39,9 +39,13 @@ signature that a third of all sets have is thus one row per flush.
 Candidates are verified exactly, on the words of both texts. Equal sets count
 as one class, found by grouping. Within an index bucket not all pairs are made:
 first each member meets the smallest member of its buckets; then only members
-of different components meet, pair by pair in small buckets. Crowded buckets
-are joined block by block (``crowded_links``), which returns only links that
-join components. So no link between components is lost.
+of different components meet, pair by pair in small buckets. In crowded buckets
+only members that chains of likely pairs connect (``likely_links``) are joined
+block by block (``crowded_links``), which returns only links that join
+components. A pair is likely if the sketches of its sets, bits that differ in no
+more places than the sets, allow a link; only texts of likely pairs are moved, for
+strangers that share a part grow faster than the documents. So no link between
+components is lost.
 
 Defined results: a null text is an empty one; texts without words have an empty
 set, link with nothing and are their own component; a row without an id takes
@@ -74,6 +78,8 @@ FLUSH = 500_000
 PAIRS_PER_ROW = 4
 #: Bounds of a block in a crowd.
 BLOCK_SETS, BLOCK_ELEMENTS = 2000, 1_500_000
+#: Least bits of a sketch, and words of 64 bits of sketches compared at a time.
+SKETCH_BITS, SKETCH_WORDS = 256, 1 << 21
 _COLUMNS = 4096
 _LONG = (1 << 63) - 1
 
@@ -277,17 +283,32 @@ def segment_costs(docs: DataFrame, shingle: int, percent: int) -> np.ndarray:
     return costs
 
 
-def index_rows(docs: DataFrame, shingle: int) -> DataFrame:
-    """Per row its set's size and digests."""
+def _sketches(element: np.ndarray, doc: np.ndarray, n: np.ndarray, bands: Bands) -> pa.Array:
+    """Sketch of each set: for each of its bits the parity of the elements dealt
+    to it; as many bits as the least power of two over eight times the largest
+    difference of two sets of that size. Sets that differ in d elements have
+    sketches that differ in d bits at most, also when a wider one is folded."""
+    bits = np.maximum(SKETCH_BITS, 1 << np.ceil(np.log2(8 * bands.differ(2 * n) + 1)).astype(np.int64))
+    bits[n == 0] = 0
+    at = np.cumsum(bits) - bits
+    spot = at[doc] + (T.mix64(element + np.uint64(3)) & (bits[doc] - 1).astype(np.uint64)).astype(np.int64)
+    data = np.packbits((np.bincount(spot, minlength=int(bits.sum())) & 1).astype(np.uint8))
+    off = (np.append(at, bits.sum()) // 8).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(off), pa.py_buffer(data)])
+
+
+def index_rows(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Per row its set's size, digests and sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(percent)
         for piece in T.pieces(batches):
-            element, _, n = _sets(piece, shingle)
+            element, doc, n = _sets(piece, shingle)
             one, two = _digests(element, n)
-            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n, pa.int64()), pa.array(T.signed(one)), pa.array(T.signed(two))],
-                                             names=["doc_id", "n", "one", "two"])
+            yield pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(n, pa.int64()), pa.array(T.signed(one)), pa.array(T.signed(two)), _sketches(element, doc, n, bands)],
+                                             names=["doc_id", "n", "one", "two", "sketch"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, one long, two long")
+    return docs.mapInArrow(run, "doc_id long, n long, one long, two long, sketch binary")
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -444,16 +465,119 @@ def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     return out
 
 
-def crowded_links(left: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _folded(sketch: list[bytes]) -> np.ndarray:
+    """Sketches as rows of words, the wider ones folded to the narrowest."""
+    width = np.array([len(x) for x in sketch])
+    out = np.empty((len(sketch), width.min() // 8), np.uint64)
+    for w in np.unique(width).tolist():
+        at = np.flatnonzero(width == w)
+        rows = np.frombuffer(b"".join(sketch[i] for i in at), np.uint64).reshape(len(at), -1)
+        while rows.shape[1] > out.shape[1]:
+            rows = rows[:, : rows.shape[1] // 2] ^ rows[:, rows.shape[1] // 2 :]
+        out[at] = rows
+    return out
+
+
+def joined(head: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``head``, of each node the least one of its group, with the groups of
+    each x and y made one."""
+    while len(x):
+        low, high = np.minimum(head[x], head[y]), np.maximum(head[x], head[y])
+        x, y, low, high = (v[low < high] for v in (x, y, low, high))
+        np.minimum.at(head, high, low)
+        while (head[head] < head).any():
+            head = head[head]
+    return head
+
+
+def likely(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches in ``marks(doc_id, n, sketch)``
+    allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(percent)
+        for batch in batches:
+            most = bands.differ(batch.column("a_n").to_numpy() + batch.column("b_n").to_numpy())
+            left, right = (batch.column(c).to_pylist() for c in ("a_sketch", "b_sketch"))
+            wide = np.array([(len(x), len(y)) for x, y in zip(left, right, strict=True)]).reshape(-1, 2)
+            keep = np.zeros(len(most), bool)
+            for w in np.unique(wide, axis=0):
+                at = np.flatnonzero((wide == w).all(1))
+                words = _folded([left[i] for i in at] + [right[i] for i in at])
+                keep[at] = np.bitwise_count(words[: len(at)] ^ words[len(at) :]).sum(1, dtype=np.int64) <= most[at]
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
+
+    for side in ("a", "b"):
+        pairs = pairs.join(marks.select(F.col("doc_id").alias(side), F.col("n").alias(f"{side}_n"), F.col("sketch").alias(f"{side}_sketch")), side)
+    return pairs.select("a", "b", "a_n", "b_n", "a_sketch", "b_sketch").mapInArrow(run, "a long, b long").distinct()
+
+
+def likely_groups(n: np.ndarray, comp: np.ndarray, sketch: list[bytes], bands: Bands) -> np.ndarray:
+    """Of each set the first one of its group: groups are connected by pairs of
+    different components whose sizes and sketches allow a link."""
+    order = np.argsort(n, kind="stable")
+    size, comp, words = n[order], comp[order], _folded([sketch[i] for i in order])
+    top = np.searchsorted(size, bands.partner(size), "right")  # larger ones can't be partners
+    head = np.arange(len(n))
+    step = max(1, min(1024, int((SKETCH_WORDS / words.shape[1]) ** 0.5)))
+    for i in range(0, len(n), step):
+        for j in range(i, int(top[i : i + step].max()), step):
+            a, b = np.arange(i, min(i + step, len(n))), np.arange(j, min(j + step, len(n)))
+            open_ = (comp[a][:, None] != comp[b][None, :]) & (head[a][:, None] != head[b][None, :]) & (a[:, None] < b[None, :]) & (b[None, :] < top[a][:, None])
+            differ = np.bitwise_count(words[a][:, None, :] ^ words[b][None, :, :]).sum(2, dtype=np.int64)
+            x, y = np.nonzero(open_ & (differ <= bands.differ(size[a][:, None] + size[b][None, :])))
+            head = joined(head, a[x], b[y])
+    out = np.empty(len(n), np.int64)
+    out[order] = order[head]
+    return out
+
+
+def likely_links(left: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """(a, b), which connect the members of each bucket that chains of likely
+    pairs of different components connect.
+
+    A bucket gives at most one row a member, whatever the number of its pairs, and
+    a sketch has a few bits an element: the rows grow as the buckets do, not as
+    the crowds of strangers that buckets with shared members would make."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands, held, last = Bands(percent), [], None
+
+        def close() -> pa.RecordBatch:
+            ids, n, comp = (np.concatenate([h.column(c).to_numpy() for h in held]) for c in ("doc_id", "n", "comp"))
+            head = likely_groups(n, comp, [x for h in held for x in h.column("sketch").to_pylist()], bands)
+            own = head != np.arange(len(head))
+            return pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(ids[head[own]])], names=["a", "b"])
+
+        for batch in batches:
+            sig = batch.column("sig").to_numpy()
+            cuts = [0, *(np.flatnonzero(sig[1:] != sig[:-1]) + 1).tolist(), len(sig)]
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                if a == b:
+                    continue
+                if held and sig[a] != last:
+                    yield close()
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = sig[a]
+        if held:
+            yield close()
+        held = []
+        T.release()
+
+    return (left.select("sig", "doc_id", "comp").join(marks.select("doc_id", "n", "sketch"), "doc_id").repartition("sig").sortWithinPartitions("sig")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def crowded_links(left: DataFrame, texts: DataFrame, marks: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) that join the components of crowded buckets.
 
-    Buckets that share members form a crowd; its sets are dealt to blocks of
-    bounded size, each pair of blocks is one group, and within it all pairs of
-    different components are counted as matrix products. Of the links only those
-    that join two components are returned, so neither pairs nor links are made
-    by the square of the crowd."""
-    hubs = left.groupBy("sig").agg(F.min("doc_id").alias("b"))
-    crowd = components(left.join(hubs, "sig").select(F.col("doc_id").alias("a"), "b").distinct())
+    Members that likely pairs connect form a crowd; its sets are
+    dealt to blocks of bounded size, each pair of blocks is one group, and within
+    it all pairs of different components are counted as matrix products. Of the
+    links only those that join two components are returned, so neither pairs nor
+    links are made by the square of the crowd."""
+    crowd = components(likely_links(left, marks, percent))
     members = left.select("doc_id", "n", "comp").distinct().join(crowd, F.col("doc_id") == F.col("node")).drop("node")
     size = members.groupBy("component").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_ELEMENTS)).cast("int").alias("blocks"))
     members = staged(members.join(size, "component"), "crowds")
@@ -520,7 +644,7 @@ def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90,
     them, so a document's number of links is not known."""
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = staged(index_rows(texts, shingle), "index")
+    rows = staged(index_rows(texts, shingle, percent), "index")
     known = rows.where("doc_id is not null and n > 0")
     classes = staged(known.groupBy("one", "two", "n").agg(F.min("doc_id").alias("rep")), "classes")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -534,7 +658,7 @@ def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90,
     pivots = buckets.groupBy("sig").agg(F.min(F.struct("doc_id", "n")).alias("p"))
     pairs = (buckets.join(pivots, "sig").select("doc_id", "n", F.col("p.doc_id").alias("b"), F.col("p.n").alias("pivot_n")).where("doc_id <> b").where(_near(percent))
              .groupBy("doc_id").agg(F.min("b").alias("b")).select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct())
-    answers = staged(verify(staged(pairs, "pivot-pairs"), texts, shingle, percent), "pivot-answers")
+    answers = staged(verify(staged(likely(pairs, known, percent), "pivot-pairs"), texts, shingle, percent), "pivot-answers")
     found = answers.where("link").select("a", "b")
     comp = components(found)
     left = buckets.join(comp.select(F.col("node").alias("doc_id"), F.col("component").alias("comp")), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
@@ -545,8 +669,8 @@ def similarity_components(docs: DataFrame, shingle: int = 3, percent: int = 90,
     few = left.where("small")
     other = few.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("pivot_n"), F.col("comp").alias("other"))
     pairs = few.join(other, "sig").where("comp < other").where(_near(percent)).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")).distinct()
-    near = staged(pairs.join(answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-                  .union(crowded_links(left.where("not small"), texts, shingle, percent)).distinct(), "pairs")
+    pairs = likely(pairs.join(answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), known, percent)
+    near = staged(pairs.union(crowded_links(left.where("not small"), texts, known, shingle, percent)).distinct(), "pairs")
     found = staged(same.union(found).union(verify(near, texts, shingle, percent).where("link").select("a", "b")), "found")
     comp = components(found)
     return (rows.select("doc_id", F.col("n").alias("n_shingles")).join(comp, F.col("doc_id") == F.col("node"), "left")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from parcelflow.llm import fm_dedup, fm_index, line_crf, partition_join, pseudonyms, queries, secret_scan, tiling, vector_packing, window_packing, window_tokens
+from parcelflow.llm import fm_dedup, fm_index, frames, line_crf, partition_join, pseudonyms, queries, secret_scan, tiling, vector_packing, window_packing, window_tokens
 from parcelflow.llm.frames import components
 from tests.llm.helpers import frame, odd_rows, prose
 
@@ -119,6 +119,73 @@ def test_similarity_join(spark, monkeypatch, shingle, percent, per_row, block):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == join_brute(rows, shingle, percent)
 
 
+def test_strangers_in_crowded_buckets_stay_apart(spark, monkeypatch):
+    """Texts that share only a passage meet in buckets and chain through them;
+    neither their sets nor their texts are moved for it, and no link is lost."""
+    monkeypatch.setattr(partition_join, "PAIRS_PER_ROW", 0.1)
+    rows_of = {}
+
+    def staged(df, name, stage=partition_join.staged):
+        out = stage(df, name)
+        rows_of[name] = rows_of.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(partition_join, "staged", staged)
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        own = [f"d{i}x{j}" for j in range(40)]
+        rows.append((i, " ".join(passage + own)))
+        if i % 15 == 0:  # with a near copy, and one that is near only to that
+            for k in (1, 2):
+                own[rng.randrange(40)] = f"e{i}k{k}"
+                rows.append((1000 * k + i, " ".join(passage[3 * k :] + own)))
+    got = partition_join.similarity_components(frame(spark, rows), 5, 80).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == join_brute(rows, 5, 80)
+    assert rows_of["open"] > 300  # they do meet
+    assert rows_of["crowds"] <= 30 and rows_of["verify-texts"] <= 60
+
+
+def test_sketches_lose_no_pair():
+    """Sets within the bound are likely and in one group, also where sketches of
+    different widths meet, and where a chain of blocks connects them."""
+    rng = np.random.default_rng(12)
+    for percent, sizes in ((80, (1, 4, 30)), (80, (288, 300, 320)), (90, (330, 340, 420)), (80, (2400, 2500))):
+        bands = partition_join.Bands(percent)
+        sets = []
+        for size in sizes:
+            base = rng.integers(0, 1 << 52, size * 2, dtype=np.uint64)
+            for _ in range(12):  # a window of the base, its ends anywhere
+                a = int(rng.integers(0, max(1, size // 3)))
+                sets.append(np.unique(base[a : a + size + int(rng.integers(0, max(1, size // 4)))]))
+        n = np.array([len(x) for x in sets])
+        marks = partition_join._sketches(np.concatenate(sets), np.repeat(np.arange(len(sets)), n), n, bands).to_pylist()
+        comp = np.arange(len(sets))
+        comp[1] = comp[0]
+        words = partition_join._folded(marks)
+        for step in (1 << 21, 40):
+            partition_join.SKETCH_WORDS, kept = step, partition_join.SKETCH_WORDS
+            head = partition_join.likely_groups(n, comp, marks, bands)
+            partition_join.SKETCH_WORDS = kept
+            for i in range(len(sets)):
+                for j in range(i):
+                    both = len(np.intersect1d(sets[i], sets[j]))
+                    if 100 * both >= percent * (n[i] + n[j] - both):
+                        assert np.bitwise_count(words[i] ^ words[j]).sum() <= bands.differ(n[i] + n[j])
+                        assert comp[i] == comp[j] or head[i] == head[j]
+        assert len(set(head.tolist())) >= len(sizes)  # strangers stay apart
+
+
+def test_stage_tables_leave_no_shuffle_files(spark, monkeypatch):
+    """The setting holds while a table is written and is put back."""
+    seen = []
+    monkeypatch.setattr(frames, "stage_table", lambda df, name: seen.append(spark.conf.get(frames.SHUFFLE_CLEANUP)) or df)
+    before = spark.conf.get(frames.SHUFFLE_CLEANUP)
+    frames.staged(spark.range(1), "x")
+    assert seen == ["true"] and spark.conf.get(frames.SHUFFLE_CLEANUP) == before
+
+
 def test_similarity_join_counts_no_links(spark):
     """Links are made only as far as components need them: no column counts them."""
     base = prose(random.Random(5), 200)
